@@ -304,10 +304,10 @@ class Catalog:
         if self.dataset(dataset_id).isEmpty():
             raise related.NotFoundError(f"dataset {dataset_id} not found")
 
-    def _put(self, name: str, *, absent_only: bool = False, **values: Any) -> None:
+    def _put(self, into: str, /, *, absent_only: bool = False, **values: Any) -> None:
         # The range keeps the one row free of Python tasks.
         row = self.spark.range(1).select(*[F.lit(v).cast("string").alias(c) for c, v in values.items()])
-        table = self._table(name)
+        table = self._table(into)
         (table.insert_if_absent if absent_only else table.upsert)(row.coalesce(1))
 
     def _put_flow(

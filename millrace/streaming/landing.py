@@ -15,9 +15,9 @@ BUCKET_FORMAT = "yyyy-MM-dd--HH"
 ROLL_SECONDS = 15
 
 
-def bucket_of(moment: Column) -> Column:
-    """Name of the hourly landing directory for a time."""
-    return F.date_format(moment, BUCKET_FORMAT)
+def bucket_of(moment: Column, bucket_format: str = BUCKET_FORMAT) -> Column:
+    """Name of the landing directory for a time; hourly by default."""
+    return F.date_format(moment, bucket_format)
 
 
 def bucket_column(names: list[str]) -> str:
@@ -36,6 +36,8 @@ def land_stream(
     checkpoint: str,
     time: Column | None = None,
     bucket: str = "bucket",
+    bucket_format: str = BUCKET_FORMAT,
+    files_per_bucket: int | None = None,
     trigger: Mapping[str, Any] | None = None,
     max_records_per_file: int | None = None,
     name: str | None = None,
@@ -48,9 +50,19 @@ def land_stream(
     bounds their size.  There is no idle timer: an idle stream has no open file.
     Files count once the sink's log lists them, which makes landing exactly
     once for scans of ``path``.
+
+    Each task writes its own file in every directory it has lines for.  That is
+    one directory at a time for processing time, but a backlog spread by
+    ``time`` meets many: ``files_per_bucket`` then shuffles the lines so that
+    one directory is written by that many tasks, which also splits an hour that
+    holds most of the lines.
     """
     moment = F.current_timestamp() if time is None else time
-    lines = df.select(F.col("value"), bucket_of(moment).alias(bucket))
+    lines = df.select(F.col("value"), bucket_of(moment, bucket_format).alias(bucket))
+    if files_per_bucket:
+        # Spread by content and not at random: a lost task is redone with the same lines.
+        part = F.pmod(F.xxhash64("value"), F.lit(files_per_bucket))
+        lines = lines.repartition(F.col(f"`{bucket}`"), part)
     writer = (
         lines.writeStream.format("text")
         .partitionBy(bucket)
