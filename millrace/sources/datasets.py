@@ -15,12 +15,15 @@ from millrace.functions.schema import to_struct
 CORRUPT = "_corrupt_record"
 
 
-def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, bucket: str | None = None):
+def dataset_struct(schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrupt: bool = False) -> T.StructType:
+    """The columns that a scan of a dataset returns."""
     struct = schema if isinstance(schema, T.StructType) else to_struct(schema)
-    names = [f.name for f in struct]
-    if corrupt:
-        struct = T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())])
-        names.append(CORRUPT)
+    return T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else struct
+
+
+def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, bucket: str | None = None):
+    struct = dataset_struct(schema, corrupt=corrupt)
+    names = struct.names
     reader = reader.schema(struct).option("header", "false").option("sep", ",").option("mode", mode)
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)

@@ -271,6 +271,8 @@ class KeyedTable:
         ]
 
     def _state(self, where: str | Column | None = None) -> DataFrame | None:
+        # The log is listed first: a compaction in between then shows some rows
+        # twice, which a maximum does not mind, and never hides any.
         log, base = self._log(), self._base()
         if log is not None:
             groups = self._groups()
@@ -312,10 +314,11 @@ class KeyedTable:
         # Bucketing is a property of catalog tables; a session that has not
         # seen this version yet declares it over the existing files.
         keys = ", ".join(self._k)
+        location = f"{self.path}/base/{version['folder']}".replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({version['ddl']}) USING parquet "
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {version['buckets']} BUCKETS "
-            f"LOCATION '{self.path}/base/{version['folder']}'"
+            f"LOCATION '{location}'"
         )
         return self.spark.table(name)
 

@@ -24,13 +24,13 @@ class Broker:
     options: Mapping[str, str] = field(default_factory=dict)
     format: str = "kafka"
 
-    def read(self, spark: SparkSession, topics: list[str], start: Mapping[str, str]) -> DataFrame:
+    def read(self, spark: SparkSession, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
         return self._load(spark.read, topics, start)
 
-    def read_stream(self, spark: SparkSession, topics: list[str], start: Mapping[str, str]) -> DataFrame:
+    def read_stream(self, spark: SparkSession, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
         return self._load(spark.readStream, topics, start)
 
-    def _load(self, reader, topics: list[str], start: Mapping[str, str]) -> DataFrame:
+    def _load(self, reader, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
         return reader.format(self.format).options(**self.options, **start).option("subscribe", ",".join(topics)).load()
 
     def write(self, records: DataFrame, topic: str) -> None:
@@ -66,10 +66,15 @@ def read_topic_stream(
     earliest: bool = False,
     latest: bool = False,
     group_id: str | None = None,
+    options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """The values of one topic as a stream of text in a column ``value``."""
+    """The values of one topic as a stream of text in a column ``value``.
+
+    ``options`` reach the source, for example ``maxOffsetsPerTrigger`` to bound
+    one micro-batch over a large backlog.
+    """
     start = start_options(earliest=earliest, latest=latest, group_id=group_id)
-    return broker.read_stream(spark, [topic], start).select(F.col("value").cast("string").alias("value"))
+    return broker.read_stream(spark, [topic], {**start, **(options or {})}).select(F.col("value").cast("string").alias("value"))
 
 
 def inspect_topics(spark: SparkSession, broker: Broker, topics: list[str], *, stream: bool = False) -> DataFrame:

@@ -13,14 +13,14 @@ from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.rows import encode_rows
-from millrace.functions.schema import to_struct
 from millrace.operators.project import project
 from millrace.plans.shape import is_row_local
 from millrace.sources import storage
-from millrace.sources.datasets import scan_dataset, scan_dataset_stream
+from millrace.sources.datasets import dataset_struct, scan_dataset, scan_dataset_stream
 from millrace.sources.keyed_table import KeyedTable
 from millrace.sources.topics import Broker, write_topic, write_topic_stream
 
@@ -37,9 +37,9 @@ def _writer_name(spark: SparkSession, checkpoint: str) -> str:
     return storage.read_text(spark, path)
 
 
-def _per_file(spark: SparkSession, schema, exprs: Sequence[str], where: str | Column | None) -> bool:
+def _per_file(spark: SparkSession, columns: T.StructType, exprs: Sequence[str], where: str | Column | None) -> bool:
     """Whether the projection may be evaluated on new files alone; asks an empty frame, so no file is listed."""
-    return is_row_local(project(spark.createDataFrame([], to_struct(schema)), exprs, where))
+    return is_row_local(project(spark.createDataFrame([], columns), exprs, where))
 
 
 def stream_to_table(
@@ -64,7 +64,7 @@ def stream_to_table(
     the change log after that many micro-batches.
     """
     scan = dict(scan_options or {})
-    incremental = _per_file(spark, schema, exprs, where)
+    incremental = _per_file(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
     files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
     writer_name = _writer_name(spark, checkpoint)
 
@@ -105,7 +105,7 @@ def stream_to_topic(
     scan = dict(scan_options or {})
     trigger = trigger or DEFAULT_TRIGGER
     files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
-    if _per_file(spark, schema, exprs, where):
+    if _per_file(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where):
         values = encode_rows(project(files, exprs, where), quoted=quoted)
         return write_topic_stream(values, broker, topic, checkpoint=checkpoint, trigger=trigger, name=name)
 

@@ -60,9 +60,11 @@ def land_stream(
     moment = F.current_timestamp() if time is None else time
     lines = df.select(F.col("value"), bucket_of(moment, bucket_format).alias(bucket))
     if files_per_bucket:
-        # Spread by content and not at random: a lost task is redone with the same lines.
-        part = F.pmod(F.xxhash64("value"), F.lit(files_per_bucket))
-        lines = lines.repartition(F.col(f"`{bucket}`"), part)
+        # Spread by content and input partition, not at random, so that a lost
+        # task is redone with the same lines; many copies of one line come from
+        # several input partitions and spread as well.
+        part = F.pmod(F.xxhash64("value", F.spark_partition_id()), F.lit(files_per_bucket))
+        lines = lines.withColumn("__part", part).repartition(F.col(f"`{bucket}`"), F.col("__part")).drop("__part")
     writer = (
         lines.writeStream.format("text")
         .partitionBy(bucket)
