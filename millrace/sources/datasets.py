@@ -16,9 +16,14 @@ CORRUPT = "_corrupt_record"
 
 
 def dataset_struct(schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrupt: bool = False) -> T.StructType:
-    """The columns that a scan of a dataset returns."""
+    """The columns that a scan of a dataset returns.
+
+    All are nullable: text can always lack a value.  A scan through a sink's
+    log would otherwise trust NOT NULL flags and fail on such a line.
+    """
     struct = schema if isinstance(schema, T.StructType) else to_struct(schema)
-    return T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else struct
+    fields = [T.StructField(f.name, f.dataType) for f in struct]
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())] if corrupt else fields)
 
 
 def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, bucket: str | None = None):
