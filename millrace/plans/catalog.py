@@ -52,6 +52,9 @@ CATALOG_TABLES: dict[str, list[SchemaColumn]] = {
 # What a flow does: fill a dataset from its topic, load a table, or fill an output topic.
 LANDING, LOAD, OUTPUT = "landing", "load", "output"
 
+# Every change to the catalog is a batch of one row; this many are folded together.
+COMPACT_AFTER = 64
+
 
 class Registered(NamedTuple):
     """What was registered; ``query`` is set while a continuous flow runs."""
@@ -220,6 +223,7 @@ class Catalog:
     ) -> Registered:
         """Create a table under a live dataset and load it, continuously by default."""
         checked = check_schema(schema, need_key=True)
+        flows.need_expressions(exprs)
         self._need_dataset(dataset_id)
         table_id = ids.new_table_id()
         self._put(
@@ -309,6 +313,8 @@ class Catalog:
         row = self.spark.range(1).select(*[F.lit(v).cast("string").alias(c) for c, v in values.items()])
         table = self._table(into)
         (table.insert_if_absent if absent_only else table.upsert)(row.coalesce(1))
+        if table.pending() >= COMPACT_AFTER:
+            table.compact()
 
     def _put_flow(
         self, flow_id: str, kind: str, dataset_id: str, *, table_id: str | None = None, run_id: str | None = None

@@ -60,7 +60,11 @@ def dataset_to_table(
     scan_options: Mapping[str, Any] | None = None,
     **options: Any,
 ) -> StreamingQuery | bool:
-    """Load the projection of a dataset into a keyed table, once or continuously."""
+    """Load the projection of a dataset into a keyed table, once or continuously.
+
+    A table load needs select expressions; ``["*"]`` takes all columns.
+    """
+    need_expressions(exprs)
     if continuous:
         return stream_to_table(
             spark,
@@ -125,6 +129,11 @@ def table_to_topic(
     write_topic(encode_rows(project(scan_table(spark, table_path), (), where), quoted=quoted), broker, topic)
 
 
+def need_expressions(exprs: Sequence[str]) -> None:
+    if not exprs:
+        raise ValueError("a table load needs at least one select expression")
+
+
 def _needed(checkpoint: str | None) -> str:
     if not checkpoint:
         raise ValueError("a continuous flow needs a checkpoint directory")

@@ -39,6 +39,15 @@ from millrace.operators.constraints import not_null
 from millrace.sources import storage
 
 
+# A log of at most this many bytes on disk is small enough to be looked up from
+# the base instead of merged with it.
+SMALL_LOG_BYTES = 8 << 20
+# Compaction doubles the number of buckets while a bucket would hold more than
+# this, up to Spark's own limit for a bucketed table.
+BUCKET_BYTES = 512 << 20
+MAX_BUCKETS = 100_000
+
+
 class TableExistsError(ValueError):
     pass
 
@@ -270,10 +279,19 @@ class KeyedTable:
             for i, v in enumerate(self._v)
         ]
 
-    def _state(self, where: str | Column | None = None) -> DataFrame | None:
+    def _state(self, where: str | Column | None = None, *, rewrite: bool = False) -> DataFrame | None:
+        """One row per key: the keys and the winning structs, by position.
+
+        A small log is looked up from the base, which then streams through
+        without being sorted; keys that only the log has come from a second
+        scan of the base's key columns.  Any other log, and a rewrite of the
+        whole table, goes through one merge join on the base's buckets.  In
+        both, Spark chooses the join strategies.
+        """
         # The log is listed first: a compaction in between then shows some rows
         # twice, which a maximum does not mind, and never hides any.
-        log, base = self._log(), self._base()
+        log, small = self._log(), not rewrite and self._log_is_small()
+        base = self._base()
         if log is not None:
             groups = self._groups()
             maxima = [F.max(value).alias(name) for name, value in groups] or [F.max("_batch").alias("_g")]
@@ -285,7 +303,19 @@ class KeyedTable:
         names = [c for c in base.columns if c not in self._k]
         newer = log.select(*self._k, *[F.col(n).alias(f"new_{n}") for n in names])
         merged = [F.greatest(F.col(n), F.col(f"new_{n}")).alias(n) for n in names]
-        return base.join(newer, self._k, "full_outer").select(*self._k, *merged)
+        if not small:
+            return base.join(newer, self._k, "full_outer").select(*self._k, *merged)
+        present = base.select(*self._k).join(log.select(*self._k), self._k, "left_semi")
+        fresh = log.join(present, self._k, "left_anti").select(*self._k, *names)
+        return base.join(newer, self._k, "left").select(*self._k, *merged).unionByName(fresh)
+
+    def _log_is_small(self) -> bool:
+        stored = 0
+        for commit in self._commits():
+            stored += storage.size(self.spark, f"{self.path}/log/{commit.folder}")
+            if stored > SMALL_LOG_BYTES:
+                return False
+        return True
 
     def _restrict(self, df: DataFrame, where: str | Column | None) -> DataFrame:
         if where is None:
@@ -336,19 +366,23 @@ class KeyedTable:
 
     # ---- maintenance
 
+    def pending(self) -> int:
+        """Committed batches that the next compaction will fold."""
+        return len(self._commits())
+
     def compact(self, buckets: int | None = None) -> bool:
         """Fold the log into a new bucketed base; readers switch to it when it is complete."""
         commits = self._commits()
         if not commits:
             return False
-        buckets = buckets or self.buckets
+        old = self._version()
+        buckets = buckets or self._bucket_count(old)
         # A session of its own: its shuffles then have as many partitions as the
         # base has buckets, and writing the buckets needs no shuffle more.
         session = self.spark.newSession()
         session.conf.set("spark.sql.shuffle.partitions", str(buckets))
         session.conf.set("spark.sql.session.timeZone", self.spark.conf.get("spark.sql.session.timeZone"))
-        old = self._version()
-        state = KeyedTable.open(session, self.path)._state()
+        state = KeyedTable.open(session, self.path)._state(rewrite=True)
         folder = f"{old['version'] + 1:08d}-{uuid4().hex[:12]}"
         (
             state.write.format("parquet")
@@ -372,6 +406,16 @@ class KeyedTable:
         storage.put_text(self.spark, f"{self.path}/versions/{name}", json.dumps(version))
         return True
 
+    def _bucket_count(self, old: Mapping[str, Any]) -> int:
+        """Buckets for the next base; doubling keeps each old bucket's rows in buckets of their own."""
+        stored = sum(storage.size(self.spark, f"{self.path}/log/{c.folder}") for c in self._commits())
+        if old["folder"]:
+            stored += storage.size(self.spark, f"{self.path}/base/{old['folder']}")
+        buckets = max(self.buckets, old.get("buckets", 0))
+        while buckets * BUCKET_BYTES < stored and buckets * 2 <= MAX_BUCKETS:
+            buckets *= 2
+        return buckets
+
     def vacuum(self) -> None:
         """Delete log batches and bases that the current version replaced.
 

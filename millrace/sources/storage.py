@@ -30,6 +30,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a directory."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.mkdirs(target)

@@ -2,6 +2,7 @@ import pytest
 
 from millrace.operators.related import AmbiguousNameError, NotFoundError, to_records
 from millrace.functions.schema import SchemaError
+from millrace.plans import catalog as catalog_module
 from millrace.plans.catalog import Catalog
 from millrace.sources import topics
 from millrace.sources.directory_broker import DirectoryBroker
@@ -89,6 +90,15 @@ def test_names_within_a_dataset(spark, catalog):
         catalog.register_table_output(dataset, "nothing")
 
 
+def test_changes_are_folded_together(spark, catalog, monkeypatch):
+    monkeypatch.setattr(catalog_module, "COMPACT_AFTER", 3)
+    ids = [catalog.register_dataset(f"d{n}", SCHEMA, land=False).id for n in range(4)]
+    catalog.soft_delete("datasets", ids[0])
+    assert catalog._table("datasets").pending() == 2
+    assert rows(catalog.datasets().select("name")) == [("d1",), ("d2",), ("d3",)]
+    assert catalog.dump("datasets").count() == 4
+
+
 def test_bad_schemas_leave_no_row(catalog):
     with pytest.raises(SchemaError):
         catalog.register_dataset("bad", [{"column_name": "a", "column_type": "decimal"}])
@@ -96,6 +106,8 @@ def test_bad_schemas_leave_no_row(catalog):
     dataset = catalog.register_dataset("good", SCHEMA, land=False).id
     with pytest.raises(SchemaError):
         catalog.register_table(dataset, "no-key", SCHEMA[1:], ["*"])
+    with pytest.raises(ValueError):
+        catalog.register_table(dataset, "no-exprs", TABLE, [])
     assert catalog.dataset_tables(dataset).isEmpty()
 
 

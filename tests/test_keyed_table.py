@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.keyed import absent_rows, first_by_key, latest_by_key
-from millrace.sources import storage
+from millrace.sources import keyed_table, storage
 from millrace.sources.keyed_table import (
     ColumnMismatchError,
     ConcurrentWriteError,
@@ -23,6 +23,14 @@ SCHEMA = [
     {"column_name": "seq", "column_type": "biginteger"},
 ]
 BATCHES = [[(1, "a", 1), (2, "b", 1)], [(1, "c", 3), (3, "d", 1)], [(1, "z", 2), (2, None, 2)]]
+
+
+@pytest.fixture(params=[8 << 20, -1], ids=["small-log", "large-log"])
+def any_log(request, monkeypatch):
+    """Both ways of putting a log and a base together."""
+    monkeypatch.setattr(keyed_table, "SMALL_LOG_BYTES", request.param)
+
+
 LATEST = [(1, "c", 3), (2, None, 2), (3, "d", 1)]
 
 
@@ -36,7 +44,7 @@ def sequenced(spark, work, **more):
 
 @pytest.mark.parametrize("partial", [False, True])
 @pytest.mark.parametrize("compact_after", [(), (0,), (1,), (0, 1, 2)])
-def test_fixture_batches(spark, work, partial, compact_after):
+def test_fixture_batches(spark, work, any_log, partial, compact_after):
     table = sequenced(spark, work, partial_updates=partial, buckets=3)
     for n, batch in enumerate(BATCHES):
         assert table.upsert(frame(spark, batch), writer="w", epoch=n)
@@ -83,7 +91,7 @@ def test_insert_if_absent(spark, work):
     assert rows(table.lookup(id=9)) == [(9, "early", 4)]
 
 
-def test_partial_updates_keep_other_columns(spark, work):
+def test_partial_updates_keep_other_columns(spark, work, any_log):
     schema = [*SCHEMA[:2], {"column_name": "w", "column_type": "double"}]
     table = KeyedTable.create(spark, work, schema, partial_updates=True)
     table.upsert(frame(spark, [(1, "a", 1.5), (2, "b", 2.5)], "id long, v string, w double"))
@@ -168,7 +176,7 @@ def test_second_writer_of_a_batch_is_refused(spark, work, monkeypatch):
     assert rows(table.read()) == [(1, "a", 1), (2, "b", 1)]
 
 
-def test_composite_key_and_odd_names(spark, work):
+def test_composite_key_and_odd_names(spark, work, any_log):
     schema = [
         {"column_name": "a b", "column_type": "string", "nullable": False, "primary_key": True},
         {"column_name": "x.y", "column_type": "integer", "nullable": False, "primary_key": True},
@@ -185,7 +193,7 @@ def test_composite_key_and_odd_names(spark, work):
         table.lookup(**{"a b": "p"})
 
 
-def test_key_only_table(spark, work):
+def test_key_only_table(spark, work, any_log):
     table = KeyedTable.create(spark, work, SCHEMA[:1])
     for _ in range(2):
         table.upsert(frame(spark, [(1,), (2,)], "id long"))
@@ -206,7 +214,8 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_compacted_read_has_no_shuffle_and_merge_shuffles_only_the_log(spark, work, events):
+@pytest.fixture
+def users(spark, work, events):
     schema = [
         {"column_name": "user_id", "column_type": "biginteger", "nullable": False, "primary_key": True},
         {"column_name": "event_id", "column_type": "biginteger"},
@@ -214,13 +223,40 @@ def test_compacted_read_has_no_shuffle_and_merge_shuffles_only_the_log(spark, wo
     table = KeyedTable.create(spark, work, schema, sequence_by=["event_id"], buckets=4)
     table.upsert(events.select("user_id", "event_id"))
     table.compact()
-    assert "Exchange" not in plan(table.read())
-    table.upsert(events.select("user_id", "event_id").limit(5))
-    merged = plan(table.read())
+    return table
+
+
+def test_compacted_read_has_no_shuffle(users):
+    assert "Exchange" not in plan(users.read())
+    assert "ReadSchema: struct<_k0:bigint>" in plan(users.read().select("user_id"))
+
+
+def test_small_log_leaves_the_base_unsorted(users, events):
+    users.upsert(events.select("user_id", "event_id").limit(5))
+    merged = plan(users.read())
+    assert "SortMergeJoin" not in merged and "BroadcastHashJoin [_k0" in merged
+
+
+def test_large_log_is_merged_bucket_by_bucket(users, events, monkeypatch):
+    users.upsert(events.select("user_id", "event_id").limit(5))
+    monkeypatch.setattr(keyed_table, "SMALL_LOG_BYTES", -1)
+    merged = plan(users.read())
     base_side = merged.split("millrace_base")[0].split("FullOuter")[1]
     assert "Bucketed: true" in merged and "Exchange" not in base_side
-    filtered = plan(table.read("user_id = 3"))
-    assert filtered.count("EqualTo(_k0,3)") == 2
+    assert plan(users.read("user_id = 3")).count("EqualTo(_k0,3)") == 2
+
+
+def test_buckets_double_as_the_table_grows(users, events, monkeypatch, spark, work):
+    assert users._version()["buckets"] == 4
+    users.upsert(events.select("user_id", (F.col("event_id") + 1).alias("event_id")))
+    monkeypatch.setattr(keyed_table, "BUCKET_BYTES", 500)
+    before = rows(users.read())
+    users.compact()
+    assert users._version()["buckets"] > 4 and users._version()["buckets"] % 4 == 0
+    assert rows(users.read()) == before
+    base = f"{work}/base/{users._version()['folder']}"
+    buckets = [n.split("_")[-1] for n in os.listdir(base) if n.endswith(".parquet") and not n.startswith(".")]
+    assert len(buckets) == len(set(buckets))
 
 
 def test_write_has_no_shuffle(spark, work, events):
