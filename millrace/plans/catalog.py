@@ -20,7 +20,7 @@ from millrace.operators import related
 from millrace.operators.project import matches, select_columns
 from millrace.plans import flows
 from millrace.sources import storage
-from millrace.sources.keyed_table import KeyedTable
+from millrace.sources.keyed_table import ConcurrentWriteError, KeyedTable
 from millrace.sources.topics import Broker
 from millrace.streaming.landing import bucket_column
 
@@ -54,6 +54,8 @@ LANDING, LOAD, OUTPUT = "landing", "load", "output"
 
 # Every change to the catalog is a batch of one row; this many are folded together.
 COMPACT_AFTER = 64
+# Tries for a change that meets another process changing the catalog.
+WRITE_ATTEMPTS = 5
 
 
 class Registered(NamedTuple):
@@ -312,7 +314,14 @@ class Catalog:
         # The range keeps the one row free of Python tasks.
         row = self.spark.range(1).select(*[F.lit(v).cast("string").alias(c) for c, v in values.items()])
         table = self._table(into)
-        (table.insert_if_absent if absent_only else table.upsert)(row.coalesce(1))
+        write = table.insert_if_absent if absent_only else table.upsert
+        for attempt in range(WRITE_ATTEMPTS):
+            try:
+                write(row.coalesce(1))
+                break
+            except ConcurrentWriteError:
+                if attempt + 1 == WRITE_ATTEMPTS:
+                    raise
         if table.pending() >= COMPACT_AFTER:
             table.compact()
 

@@ -378,7 +378,7 @@ def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = from_struct(_tombstoned(events).select("event_id", "user_id", "event_type", "tombstone").schema, ["event_id"])
     target = KeyedTable.create(spark, path, schema, partial_updates=True)
     target.upsert(events.select("event_id", "user_id", "event_type"))
-    target.upsert(events.where("event_type = 'error'").select("event_id", F.col("ts").alias("tombstone")))
+    target.soft_delete(events.where("event_type = 'error'"), moment=F.col("ts"))
     return related.live_rows(target.read()).drop("tombstone")
 
 
@@ -608,6 +608,15 @@ def topic_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, broker, "copy")
 
 
+@query("SELECT doc_id::varchar AS key, text AS value FROM documents")
+def topic_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as values: a record, unlike a landed line, may hold line breaks."""
+    broker = DirectoryBroker(f"{workspace(spark)}/topics")
+    texts = project(table(spark, sf_dir, "documents"), ["CAST(doc_id AS STRING) AS key", "text AS value"])
+    write_topic(texts, broker, "documents", keyed=True)
+    return inspect_topics(spark, broker, ["documents"]).select("key", "value")
+
+
 @query(
     f"""SELECT 'events' AS topic, (user_id % 4)::int AS "partition", event_id AS "offset", user_id::varchar AS key,
         {EVENT_LINE} AS value FROM events

@@ -181,6 +181,17 @@ class KeyedTable:
         """Insert rows whose key the table does not have; the first by ``sequence_by`` wins within ``df``."""
         return self._append(df, writer, epoch, absent_only=True)
 
+    def soft_delete(self, keys: DataFrame, *, moment: Column | None = None, column: str = "tombstone") -> bool:
+        """Set ``column`` to a time (now by default) in the rows with these keys; other columns stay.
+
+        Needs a table with partial updates.  Keys that the table does not have are left out.
+        """
+        if not self.partial_updates:
+            raise ColumnMismatchError("a soft delete needs a table with partial updates")
+        names = [F.col(f"`{k}`") for k in self.keys]
+        marked = keys.select(*names, (F.current_timestamp() if moment is None else moment).alias(column))
+        return self.upsert(marked.join(self.read().select(*names), self.keys, "left_semi"))
+
     def _append(self, df: DataFrame, writer: str | None, epoch: int, absent_only: bool) -> bool:
         writer = writer or f"load-{uuid4().hex}"
         if "." in writer or "/" in writer:

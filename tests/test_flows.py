@@ -95,6 +95,18 @@ def test_publish_keyed(spark, broker):
     assert (record.topic, record.key, record.value) == ("t", "17", "17,u-my-value,default_name")
 
 
+def test_inspect_several_topics_as_a_stream(spark, broker, work):
+    for topic in ("a", "b"):
+        topics.write_topic(spark.createDataFrame([(topic, f"{topic},1")], "key string, value string"), broker, topic, keyed=True)
+    stream = topics.inspect_topics(spark, broker, ["a", "b"], stream=True)
+    assert stream.isStreaming and stream.columns == ["topic", "partition", "offset", "key", "value"]
+    writer = stream.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/cp")
+    writer.trigger(**ONCE).start().awaitTermination()
+    assert rows(spark.read.parquet(f"{work}/out")) == rows(topics.inspect_topics(spark, broker, ["a", "b"]))
+    with pytest.raises(ValueError):
+        topics.read_topic_stream(spark, broker, "a", latest=True)
+
+
 def test_landing_resumes_without_repeating(spark, broker, work):
     def run():
         flows.topic_to_dataset(

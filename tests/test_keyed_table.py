@@ -101,6 +101,17 @@ def test_partial_updates_keep_other_columns(spark, work, any_log):
     assert rows(table.read()) == [(1, None, 1.5), (2, "b", 9.5), (3, None, 3.5)]
 
 
+def test_soft_delete_leaves_out_unknown_keys(spark, work):
+    schema = [*SCHEMA[:2], {"column_name": "tombstone", "column_type": "timestamp"}]
+    table = KeyedTable.create(spark, work, schema, partial_updates=True)
+    table.upsert(frame(spark, [(1, "a"), (2, "b")], "id long, v string"))
+    table.soft_delete(frame(spark, [(2,), (9,)], "id long"))
+    assert rows(table.read().selectExpr("id", "v", "tombstone IS NULL")) == [(1, "a", True), (2, "b", False)]
+    whole = KeyedTable.create(spark, f"{work}/whole", schema)
+    with pytest.raises(ColumnMismatchError):
+        whole.soft_delete(frame(spark, [(2,)], "id long"))
+
+
 def test_columns_match_by_name_and_are_cast(spark, work):
     table = sequenced(spark, work)
     table.upsert(frame(spark, [("7", 3, "x")], "SEQ string, ID int, V string"))
