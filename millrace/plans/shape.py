@@ -1,28 +1,62 @@
-"""Which projections may be evaluated file by file."""
+"""How a projection can be kept up to date while its dataset grows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 
-# Analyzed-plan nodes whose result for one row depends on other rows.
-WHOLE_INPUT_NODES = {"Aggregate", "Window"}
+# Node names of analyzed plans.  The first two make a row's result
+# depend on other rows; with the others, an aggregate can be kept as state.
+AGGREGATE = "Aggregate"
+WINDOW = "Window"
+SIMPLE_NODES = {AGGREGATE, "Project", "Filter", "SubqueryAlias"}
 
+# Each row by itself; a running state of all rows; or all rows again.
+ROWS, STATE, WHOLE = "rows", "state", "whole"
 
-def is_row_local(df: DataFrame) -> bool:
-    """Whether each input row's result depends on that row alone.
 
-    Looks at the node names of the analyzed plan: an aggregate, a window or a
-    subquery anywhere means the whole input counts.  A continuous load can
-    then not be evaluated per batch of new files and recomputes instead.
-    """
-    plan = df._jdf.queryExecution().analyzed()
-    if not plan.subqueriesAll().isEmpty():
-        return False
-    pending = [plan]
+def _walk(node) -> Iterator:
+    """A plan node or expression and everything below it."""
+    pending = [node]
     while pending:
-        node = pending.pop()
-        if node.nodeName() in WHOLE_INPUT_NODES:
-            return False
-        children = node.children()
+        found = pending.pop()
+        yield found
+        children = found.children()
         pending.extend(children.apply(i) for i in range(children.size()))
+
+
+def _mergeable(aggregate) -> bool:
+    """Whether a stream can carry the aggregate on: not over distinct values, and not in Python."""
+    expressions = aggregate.expressions()
+    for i in range(expressions.size()):
+        for part in _walk(expressions.apply(i)):
+            if part.nodeName() == "PythonUDAF" or (part.nodeName() == "AggregateExpression" and part.isDistinct()):
+                return False
     return True
+
+
+def growth(df: DataFrame) -> str:
+    """What it takes to follow a growing input: ``rows``, ``state`` or ``whole``.
+
+    Looks at the node names of the analyzed plan, never at its text.  Without
+    an aggregate, window or subquery, new rows can be evaluated alone.  A plain
+    aggregate can be continued from its state.  Anything else has to see the
+    whole input again.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.subqueriesAll().isEmpty():
+        return WHOLE
+    nodes = list(_walk(plan))
+    names = [node.nodeName() for node in nodes]
+    if AGGREGATE not in names and WINDOW not in names:
+        return ROWS
+    aggregates = [node for node in nodes if node.nodeName() == AGGREGATE]
+    inner = {node.nodeName() for node in nodes if not node.children().isEmpty()}
+    simple = inner <= SIMPLE_NODES and len(aggregates) == 1
+    return STATE if simple and _mergeable(aggregates[0]) else WHOLE
+
+
+def is_row_local(df: DataFrame) -> bool:
+    """Whether each input row's result depends on that row alone."""
+    return growth(df) == ROWS

@@ -188,7 +188,7 @@ def project_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT event_id, upper(event_type) AS kind, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-        CASE WHEN value > 10 THEN 'high' ELSE 'low' END AS band, year(ts) AS y FROM events"""
+        CASE WHEN value > 10 THEN 'high' ELSE 'low' END AS band, CAST(year(ts) AS INTEGER) AS y FROM events"""
 )
 def project_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
     exprs = [
@@ -206,7 +206,7 @@ def project_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(table(spark, sf_dir, "events"), ["count(*) AS n", "max(event_id) AS m"])
 
 
-@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events")
+@query("SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS rn FROM events")
 def project_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(
         table(spark, sf_dir, "events"),
@@ -702,7 +702,33 @@ def stream_dataset_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_table(spark, f"{root}/table"))
 
 
-@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events")
+@query("SELECT 1 AS id, count(*) AS n, max(event_id) AS m, min(event_type) AS first_type FROM events")
+def stream_dataset_to_table_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = workspace(spark)
+    for number, batch in enumerate(_event_batches(table(spark, sf_dir, "events"))):
+        schema = land(batch, f"{root}/landed/{number}")
+    target = [
+        {"column_name": "id", "column_type": "integer", "nullable": False, "primary_key": True},
+        {"column_name": "n", "column_type": "biginteger"},
+        {"column_name": "m", "column_type": "biginteger"},
+        {"column_name": "first_type", "column_type": "string"},
+    ]
+    KeyedTable.create(spark, f"{root}/table", target)
+    flows.dataset_to_table(
+        spark,
+        f"{root}/landed",
+        schema,
+        f"{root}/table",
+        ["1 AS id", "count(*) AS n", "max(event_id) AS m", "min(event_type) AS first_type"],
+        continuous=True,
+        checkpoint=f"{root}/checkpoint",
+        trigger=ONCE,
+        source_options={"maxFilesPerTrigger": 1},
+    ).awaitTermination()
+    return scan_table(spark, f"{root}/table")
+
+
+@query("SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS rn FROM events")
 def stream_dataset_to_table_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)
     schema = land(table(spark, sf_dir, "events"), f"{root}/landed")

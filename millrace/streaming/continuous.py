@@ -1,9 +1,10 @@
 """Continuous loads: keep a table or a topic up to date with a growing dataset.
 
-Row-local projections read every landed file once.  A projection with an
-aggregate, a window or a subquery needs all history, so each trigger that
-finds new files evaluates it over the whole dataset; its cost grows with the
-dataset.
+Every landed file is read once where the projection allows it: row by row, or
+by carrying a plain aggregate on from the state of the stream.  A window, a
+subquery or a distinct aggregate needs all rows again, so each trigger that
+finds new files evaluates the projection over the whole dataset, and its cost
+grows with the dataset.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.rows import encode_rows
 from millrace.operators.project import project
-from millrace.plans.shape import is_row_local
+from millrace.plans.shape import ROWS, STATE, WHOLE, growth
 from millrace.sources import storage
 from millrace.sources.datasets import dataset_struct, scan_dataset, scan_dataset_stream
 from millrace.sources.keyed_table import KeyedTable
@@ -37,9 +38,9 @@ def _writer_name(spark: SparkSession, checkpoint: str) -> str:
     return storage.read_text(spark, path)
 
 
-def _per_file(spark: SparkSession, columns: T.StructType, exprs: Sequence[str], where: str | Column | None) -> bool:
-    """Whether the projection may be evaluated on new files alone; asks an empty frame, so no file is listed."""
-    return is_row_local(project(spark.createDataFrame([], columns), exprs, where))
+def _growth(spark: SparkSession, columns: T.StructType, exprs: Sequence[str], where: str | Column | None) -> str:
+    """How the projection follows new files; asks an empty frame, so no file is listed."""
+    return growth(project(spark.createDataFrame([], columns), exprs, where))
 
 
 def stream_to_table(
@@ -64,19 +65,24 @@ def stream_to_table(
     the change log after that many micro-batches.
     """
     scan = dict(scan_options or {})
-    incremental = _per_file(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
+    follow = _growth(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
     files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
+    if follow != WHOLE:
+        files = project(files, exprs, where)
     writer_name = _writer_name(spark, checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        rows = batch if incremental else scan_dataset(session, dataset_path, schema, **scan)
+        if follow == WHOLE:
+            batch = project(scan_dataset(session, dataset_path, schema, **scan), exprs, where)
         table = KeyedTable.open(session, table_path)
-        table.upsert(project(rows, exprs, where), writer=writer_name, epoch=epoch)
+        table.upsert(batch, writer=writer_name, epoch=epoch)
         if compact_every and (epoch + 1) % compact_every == 0:
             table.compact()
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if follow == STATE:
+        writer = writer.outputMode("update")
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
@@ -100,20 +106,27 @@ def stream_to_topic(
 ) -> StreamingQuery:
     """Send the encoded projection of every new file to a topic, at least once.
 
-    A projection that is not row-local is sent anew, in full, for each round.
+    A projection that is not row-local is sent anew, in full, for each round;
+    an aggregate is a single row.
     """
     scan = dict(scan_options or {})
     trigger = trigger or DEFAULT_TRIGGER
+    follow = _growth(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
     files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
-    if _per_file(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where):
-        values = encode_rows(project(files, exprs, where), quoted=quoted)
+    if follow != WHOLE:
+        files = project(files, exprs, where)
+    if follow == ROWS:
+        values = encode_rows(files, quoted=quoted)
         return write_topic_stream(values, broker, topic, checkpoint=checkpoint, trigger=trigger, name=name)
 
     def send(batch: DataFrame, epoch: int) -> None:
-        rows = scan_dataset(batch.sparkSession, dataset_path, schema, **scan)
-        write_topic(encode_rows(project(rows, exprs, where), quoted=quoted), broker, topic)
+        if follow == WHOLE:
+            batch = project(scan_dataset(batch.sparkSession, dataset_path, schema, **scan), exprs, where)
+        write_topic(encode_rows(batch, quoted=quoted), broker, topic)
 
     writer = files.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
+    if follow == STATE:
+        writer = writer.outputMode("update")
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**trigger).start()

@@ -218,17 +218,35 @@ def test_continuous_table_reads_each_file_once(spark, work):
     assert rows(scan_table(spark, f"{work}/t")) == [(1, "a"), (2, "c"), (3, "d")]
 
 
-def test_continuous_aggregate_sees_all_history(spark, work):
+AGGREGATES = [
+    # count(*) goes on from the stream's state and reads the new rows alone.
+    ("count(*)", [2, 3, 5], [2, 1, 2]),
+    # count(DISTINCT) scans the dataset again and leaves the stream's rows unread.
+    ("count(DISTINCT my_column)", [2, 2, 4], [0, 0, 0]),
+]
+
+
+@pytest.mark.parametrize("aggregate,expected,new_rows", AGGREGATES)
+def test_continuous_aggregate_sees_all_history(spark, work, aggregate, expected, new_rows):
     schema = [
         {"column_name": "id", "column_type": "integer", "nullable": False, "primary_key": True},
         {"column_name": "n", "column_type": "biginteger"},
     ]
     KeyedTable.create(spark, f"{work}/t", schema)
-    for number, text in enumerate(["1,a,x\n2,b,y\n", "3,c,z\n", "4,d,w\n5,e,v\n"]):
+    for number, text in enumerate(["1,a,x\n2,b,y\n", "3,b,z\n", "4,d,w\n5,e,v\n"]):
+        drop(f"{work}/ds", f"p{number}", text)
+        query = run_table(spark, work, ["1 AS id", f"{aggregate} AS n"])
+        assert sum(p["numInputRows"] for p in query.recentProgress) == new_rows[number]
+        assert rows(scan_table(spark, f"{work}/t")) == [(1, expected[number])]
+
+
+def test_continuous_window_sees_all_history(spark, work):
+    schema = [*TABLE[:1], {"column_name": "rank", "column_type": "integer"}]
+    KeyedTable.create(spark, f"{work}/t", schema)
+    for number, text in enumerate(["1,a,x\n3,a,y\n", "2,a,z\n"]):
         drop(f"{work}/ds", f"p{number}", text)
-        run_table(spark, work, ["1 AS id", "count(*) AS n"])
-        expected = [2, 3, 5][number]
-        assert rows(scan_table(spark, f"{work}/t")) == [(1, expected)]
+        run_table(spark, work, ["timestamp AS id", "row_number() OVER (ORDER BY timestamp) AS rank"])
+    assert rows(scan_table(spark, f"{work}/t")) == [(1, 1), (2, 2), (3, 3)]
 
 
 def test_replayed_batch_changes_nothing(spark, work):
@@ -294,11 +312,14 @@ def test_continuous_output(spark, broker, work):
     drop(f"{work}/ds", "p0", "1,a,x\n2,b,y\n")
     run("rows", ["timestamp"])
     run("total", ["count(*)"])
-    drop(f"{work}/ds", "p1", "3,c,z\n")
+    run("distinct", ["count(DISTINCT name)"])
+    drop(f"{work}/ds", "p1", "3,c,x\n")
     run("rows", ["timestamp"])
     run("total", ["count(*)"])
+    run("distinct", ["count(DISTINCT name)"])
     assert values(spark, broker, "rows") == ["1", "2", "3"]
     assert values(spark, broker, "total") == ["2", "3"]
+    assert values(spark, broker, "distinct") == ["2", "2"]
 
 
 def test_batch_and_stream_load_the_same_table(spark, events, work):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from millrace.operators import related
 from millrace.operators.constraints import check_constraints, null_violations
 from millrace.operators.project import NoSuchColumnError, matches, project, select_columns
-from millrace.plans.shape import is_row_local
+from millrace.plans.shape import growth, is_row_local
 from tests.conftest import rows
 
 ROW_LOCAL = [
@@ -16,9 +16,12 @@ ROW_LOCAL = [
     "transform(array(1, 2), x -> x + user_id) AS t",
     "get_json_object(props, '$.k') AS k",
 ]
+STATE = ["count(*)", "max(value) + 1", "percentile_approx(value, 0.5) AS p", "max_by(event_type, event_id) AS e"]
 WHOLE_INPUT = [
-    "count(*)",
-    "max(value) + 1",
+    "count(DISTINCT user_id)",
+    "explode(collect_set(event_type)) AS e",
+    "max(value) / (SELECT max(id) FROM range(5)) AS r",
+    "count(*) OVER (PARTITION BY user_id) AS n",
     "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn",
     "sum(value) OVER () AS s",
     "(SELECT max(id) FROM range(5)) AS m",
@@ -34,7 +37,17 @@ def test_row_local(events, expr):
 
 @pytest.mark.parametrize("expr", WHOLE_INPUT)
 def test_needs_whole_input(events, expr):
-    assert not is_row_local(project(events, [expr]))
+    assert growth(project(events, [expr])) == "whole"
+
+
+@pytest.mark.parametrize("expr", STATE)
+def test_aggregate_goes_on_from_state(events, expr):
+    assert growth(project(events, [expr], "value > 1")) == "state"
+
+
+def test_python_aggregate_needs_whole_input(spark, events):
+    spark.udf.register("pmax", F.pandas_udf(lambda v: float(v.max()), "double", functionType=F.PandasUDFType.GROUPED_AGG))
+    assert growth(project(events, ["pmax(value) AS m"])) == "whole"
 
 
 def test_where_counts_too(events):
