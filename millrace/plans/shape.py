@@ -6,11 +6,13 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-# Node names of analyzed plans.  The first two make a row's result
-# depend on other rows; with the others, an aggregate can be kept as state.
+# Names of analyzed-plan nodes and expressions.  The first two make a
+# row's result depend on other rows.  An aggregate among simple nodes can be kept
+# as state.  Streams refuse the unstreamable ones.
 AGGREGATE = "Aggregate"
 WINDOW = "Window"
 SIMPLE_NODES = {AGGREGATE, "Project", "Filter", "SubqueryAlias"}
+UNSTREAMABLE = {"monotonically_increasing_id", "PythonUDAF"}
 
 # Each row by itself; a running state of all rows; or all rows again.
 ROWS, STATE, WHOLE = "rows", "state", "whole"
@@ -26,13 +28,18 @@ def _walk(node) -> Iterator:
         pending.extend(children.apply(i) for i in range(children.size()))
 
 
-def _mergeable(aggregate) -> bool:
-    """Whether a stream can carry the aggregate on: not over distinct values, and not in Python."""
-    expressions = aggregate.expressions()
+def _parts(node) -> Iterator:
+    """Every expression of a plan node, with what it is made of."""
+    expressions = node.expressions()
     for i in range(expressions.size()):
-        for part in _walk(expressions.apply(i)):
-            if part.nodeName() == "PythonUDAF" or (part.nodeName() == "AggregateExpression" and part.isDistinct()):
-                return False
+        yield from _walk(expressions.apply(i))
+
+
+def _streamable(nodes: list) -> bool:
+    """Whether no expression is of a kind that streams refuse: row numbering, distinct or Python aggregates."""
+    for part in (part for node in nodes for part in _parts(node)):
+        if part.nodeName() in UNSTREAMABLE or (part.nodeName() == "AggregateExpression" and part.isDistinct()):
+            return False
     return True
 
 
@@ -49,12 +56,12 @@ def growth(df: DataFrame) -> str:
         return WHOLE
     nodes = list(_walk(plan))
     names = [node.nodeName() for node in nodes]
+    if not _streamable(nodes):
+        return WHOLE
     if AGGREGATE not in names and WINDOW not in names:
         return ROWS
-    aggregates = [node for node in nodes if node.nodeName() == AGGREGATE]
     inner = {node.nodeName() for node in nodes if not node.children().isEmpty()}
-    simple = inner <= SIMPLE_NODES and len(aggregates) == 1
-    return STATE if simple and _mergeable(aggregates[0]) else WHOLE
+    return STATE if inner <= SIMPLE_NODES and names.count(AGGREGATE) == 1 else WHOLE
 
 
 def is_row_local(df: DataFrame) -> bool:

@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources import storage
 from millrace.sources.topics import Broker
 
 # The columns of Spark's Kafka source that a record carries.
@@ -26,7 +27,20 @@ class DirectoryBroker(Broker):
     def topic_path(self, topic: str) -> str:
         return f"{self.options['root']}/{topic}"
 
-    def _load(self, reader, topics: list[str], start: Mapping[str, str]) -> DataFrame:
+    def read(self, spark: SparkSession, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
+        self._make(spark, topics)
+        return super().read(spark, topics, start)
+
+    def read_stream(self, spark: SparkSession, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
+        self._make(spark, topics)
+        return super().read_stream(spark, topics, start)
+
+    def _make(self, spark: SparkSession, topics: list[str]) -> None:
+        """A topic exists from its first mention on, as with a broker that creates topics by itself."""
+        for topic in topics:
+            storage.make_dir(spark, self.topic_path(topic))
+
+    def _load(self, reader, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
         if start.get("startingOffsets") == "latest":
             raise ValueError("a directory has no latest offset to start from")
         loaded = [

@@ -125,3 +125,16 @@ def test_table_registered_before_anything_landed(spark, catalog):
     loaded = catalog.register_table(dataset, "t", TABLE, EXPRS, trigger=ONCE)
     loaded.query.awaitTermination()
     assert scan_table(spark, catalog.table_path(loaded.id)).isEmpty()
+
+
+def test_landing_starts_with_the_registration(spark, catalog):
+    registered = catalog.register_dataset("now", SCHEMA, start={"earliest": True}, trigger={"processingTime": "1 second"})
+    try:
+        topics.write_topic(spark.createDataFrame([("1,a,x",)], "value string"), catalog.broker, registered.topic)
+        registered.query.processAllAvailable()
+    finally:
+        registered.query.stop()
+    out = catalog.register_dataset_output(registered.id, ["my_column"])
+    assert values(spark, catalog.broker, out.topic) == ["a"]
+    flow = catalog.dataset_details(registered.id)["stream_flows"].first()
+    assert (flow.id, flow.run_id) == (registered.flow_id, str(registered.query.id))

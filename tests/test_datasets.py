@@ -1,4 +1,5 @@
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,19 @@ def test_bucket_filter_prunes_directories(spark, work):
     assert rows(scan) == [(1, "a", "2024-01-01--01", "2024-01-01--01")]
     assert "PartitionFilters: [isnotnull(bucket" in scan._jdf.queryExecution().toString()
     assert scan_dataset(spark, work, SCHEMA).columns == ["timestamp", "my_column", "name"]
+
+
+def test_all_six_types(spark, work):
+    os.makedirs(work)
+    with open(f"{work}/part", "w") as f:
+        f.write("t,1,3000000000,true,1.5,2024-02-03 04:05:06.789012\nt,3000000000,x,yes,one,yesterday\n")
+    kinds = ["string", "integer", "biginteger", "boolean", "double", "timestamp"]
+    schema = [{"column_name": k, "column_type": k} for k in kinds]
+    good, bad = sorted(scan_dataset(spark, work, schema).collect(), key=lambda r: r.integer is None)
+    assert good == ("t", 1, 3000000000, True, 1.5, datetime(2024, 2, 3, 4, 5, 6, 789012))
+    assert bad == ("t", None, None, None, None, None)
+
+
+def test_empty_directory(spark, work):
+    os.makedirs(work)
+    assert scan_dataset(spark, work, SCHEMA).isEmpty()

@@ -292,3 +292,48 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert rows(latest) == [(1, 99999)]
     text = plan(latest)
     assert text.index("partial_max") > text.index("Exchange")
+
+
+def merged_by_hand(writes, partial):
+    """What the table must hold: per key and column, the value of the greatest (sequence, batch)."""
+    state = {}
+    for batch, (columns, data) in enumerate(writes):
+        for row in data:
+            given = dict(zip(columns, row))
+            key, seq = given.pop("id"), given["seq"]
+            cells = state.setdefault(key, {})
+            if partial:
+                for name, value in given.items():
+                    order = (seq, batch, value is not None, str(value))
+                    if name not in cells or order > cells[name][0]:
+                        cells[name] = (order, value)
+            else:
+                order = (seq, batch, given["v"] is not None, str(given["v"]))
+                if not cells or order > cells["v"][0]:
+                    cells["v"], cells["seq"] = (order, given["v"]), (order, seq)
+    return sorted(
+        ((key, cells.get("v", (0, None))[1], cells["seq"][1]) for key, cells in state.items()),
+        key=lambda r: tuple((x is None, str(x)) for x in r),
+    )
+
+
+@pytest.mark.parametrize("turn", range(4))
+@pytest.mark.parametrize("partial", [False, True])
+def test_random_writes_against_a_model(spark, work, any_log, partial, turn):
+    random_ = random.Random(turn)
+    table = sequenced(spark, work, partial_updates=partial, buckets=random_.choice([1, 2, 5]))
+    writes = []
+    for _ in range(6):
+        columns = ["id", "seq"] if partial and random_.random() < 0.4 else ["id", "seq", "v"]
+        data = [
+            (random_.randint(0, 6), random_.randint(0, 9), random_.choice(["a", "b", None]))[: len(columns)]
+            for _ in range(random_.randint(1, 12))
+        ]
+        kinds = {"id": "id long", "seq": "seq long", "v": "v string"}
+        table.upsert(frame(spark, data, ", ".join(kinds[c] for c in columns)))
+        writes.append((columns, data))
+        if random_.random() < 0.35:
+            table.compact()
+        if random_.random() < 0.3:
+            table.vacuum()
+    assert rows(table.read()) == merged_by_hand(writes, partial)

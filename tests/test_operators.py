@@ -18,6 +18,7 @@ ROW_LOCAL = [
 ]
 STATE = ["count(*)", "max(value) + 1", "percentile_approx(value, 0.5) AS p", "max_by(event_type, event_id) AS e"]
 WHOLE_INPUT = [
+    "monotonically_increasing_id() AS i",
     "count(DISTINCT user_id)",
     "explode(collect_set(event_type)) AS e",
     "max(value) / (SELECT max(id) FROM range(5)) AS r",
