@@ -94,24 +94,26 @@ def resolve_labels(
 
     One live match gives its id.  Several give the label itself if it is the id
     of one of them, and are ``ambiguous`` otherwise; no match is ``missing``.
-    Matches are counted per label before the join, so a name shared by very
-    many rows reaches the join as one row.
+    Ids are keys, so they are matched as they are.  Rows are counted per name
+    before the join: a name shared by very many rows reaches it as one row.
     """
-    found = (
-        _labelled(live_rows(df, tombstone), id_column, name_column, label_column)
-        .groupBy(parent_column, label_column)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.max(F.col(id_column).cast("string") == F.col(label_column)).alias("_exact"),
-            F.min(F.col(id_column).cast("string")).alias("_only"),
-        )
+    rows = live_rows(df, tombstone).select(
+        F.col(parent_column),
+        F.col(id_column).cast("string").alias("_id"),
+        F.col(name_column).cast("string").alias("_name"),
     )
-    asked = requests.select(parent_column, label_column).distinct()
-    joined = asked.join(found, [parent_column, label_column], "left")
-    outcome = (
-        F.when(F.col("_n").isNull(), "missing").when((F.col("_n") == 1) | F.col("_exact"), "found").otherwise("ambiguous")
+    by_id = rows.select(parent_column, F.col("_id").alias(label_column), F.lit(1).alias("_exact"))
+    by_name = (
+        # A row that has its id as its name counts once, by its id.
+        rows.where("_name IS NOT NULL AND _name <> _id")
+        .groupBy(parent_column, F.col("_name").alias(label_column))
+        .agg(F.count(F.lit(1)).alias("_named"), F.min("_id").alias("_first"))
     )
-    resolved = F.when(F.col("_n") == 1, F.col("_only")).when(F.col("_exact"), F.col(label_column))
+    asked = requests.select(parent_column, label_column).distinct()
+    joined = asked.join(by_name, [parent_column, label_column], "left").join(by_id, [parent_column, label_column], "left")
+    exact, named = F.col("_exact").isNotNull(), F.coalesce("_named", F.lit(0))
+    outcome = F.when(exact | (named == 1), "found").when(named == 0, "missing").otherwise("ambiguous")
+    resolved = F.when(exact, F.col(label_column)).when(named == 1, F.col("_first"))
     return joined.select(parent_column, label_column, resolved.alias("id"), outcome.alias("outcome"))
 
 

@@ -39,9 +39,10 @@ from millrace.operators.constraints import not_null
 from millrace.sources import storage
 
 
-# A log of at most this many bytes on disk is small enough to be looked up from
-# the base instead of merged with it.
+# A log of at most this many bytes on disk, in at most this many batches, is small
+# enough to be looked up from the base instead of merged with it.
 SMALL_LOG_BYTES = 8 << 20
+SMALL_LOG_BATCHES = 64
 # Compaction doubles the number of buckets while a bucket would hold more than
 # this, up to Spark's own limit for a bucketed table.
 BUCKET_BYTES = 512 << 20
@@ -321,8 +322,10 @@ class KeyedTable:
         return base.join(newer, self._k, "left").select(*self._k, *merged).unionByName(fresh)
 
     def _log_is_small(self) -> bool:
-        stored = 0
-        for commit in self._commits():
+        stored, commits = 0, self._commits()
+        if len(commits) > SMALL_LOG_BATCHES:
+            return False
+        for commit in commits:
             stored += storage.size(self.spark, f"{self.path}/log/{commit.folder}")
             if stored > SMALL_LOG_BYTES:
                 return False

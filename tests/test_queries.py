@@ -34,6 +34,9 @@ def test_query_equals_sql(spark, duck, name):
     expected_rows = comparable(expected.fetchall())
     assert comparable(tuple(r) for r in result.select(*[f"`{c}`" for c in columns]).collect()) == expected_rows
     assert expected_rows, "the query should return something at this scale"
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for unscalable in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
+        assert unscalable not in plan
 
 
 def test_entry(spark):
