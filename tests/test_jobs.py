@@ -1,0 +1,53 @@
+import pytest
+from pyspark.sql import SparkSession
+
+from millrace.__main__ import main
+from millrace.functions.schema import to_json
+from millrace.sources import storage, topics
+from millrace.sources.directory_broker import DirectoryBroker
+from millrace.sources.keyed_table import scan_table
+from tests.conftest import rows
+from tests.test_flows import SCHEMA, TABLE, values
+
+
+def test_jobs_in_a_row(spark: SparkSession, work):
+    broker = DirectoryBroker(f"{work}/topics")
+
+    def run(job, *options):
+        main([job, *options], spark, broker)
+
+    topics.write_topic(spark.createDataFrame([("1,a,x",), ("2,b,y",)], "value string"), broker, "in")
+    storage.put_text(spark, f"{work}/schemas/ds", to_json(SCHEMA))
+    storage.put_text(spark, f"{work}/schemas/t", to_json(TABLE))
+    bootstrap = ["--bootstrap-servers", "unused:9092"]
+    run(
+        "topic-to-dataset", *bootstrap, "--topic", "in", "--path", f"{work}/ds", "--checkpoint", f"{work}/c1",
+        "--start-from-earliest", "--once",
+    )
+    run(
+        "topic-to-topic", *bootstrap, "--topic", "in", "--target", "copy", "--checkpoint", f"{work}/c2",
+        "--start-from-earliest", "--once",
+    )
+    assert values(spark, broker, "copy") == ["1,a,x", "2,b,y"]
+    run("create-table", "--table", f"{work}/t", "--schema-path", f"{work}/schemas/t", "--buckets", "2")
+    load = ["--path", f"{work}/ds", "--schema-path", f"{work}/schemas/ds", "--table", f"{work}/t"]
+    load += ["--select-expr", "timestamp AS id", "--select-expr", "my_column"]
+    run("dataset-to-table", *load, "--where", "name = 'x'")
+    assert rows(scan_table(spark, f"{work}/t")) == [(1, "a")]
+    run("dataset-to-table", *load, "--continuous", "--checkpoint", f"{work}/c3", "--once")
+    run("compact-table", "--table", f"{work}/t", "--vacuum")
+    assert rows(scan_table(spark, f"{work}/t")) == [(1, "a"), (2, "b")]
+    run("table-to-topic", "--table", f"{work}/t", *bootstrap, "--topic", "out", "--where", "id = 2")
+    assert values(spark, broker, "out") == ["2,b"]
+    run(
+        "dataset-to-topic", *load[:4], *bootstrap, "--topic", "names", "--select-expr", "name",
+        "--continuous", "--checkpoint", f"{work}/c4", "--once",
+    )
+    assert values(spark, broker, "names") == ["x", "y"]
+
+
+def test_missing_options(spark):
+    with pytest.raises(SystemExit):
+        main(["dataset-to-table", "--path", "x"], spark)
+    with pytest.raises(SystemExit):
+        main([], spark)
