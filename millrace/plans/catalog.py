@@ -58,6 +58,11 @@ COMPACT_AFTER = 64
 WRITE_ATTEMPTS = 5
 
 
+def _now() -> str:
+    """The present as catalog rows store it; the zone keeps it right in any session time zone."""
+    return ids.now_text() + "Z"
+
+
 class Registered(NamedTuple):
     """What was registered; ``query`` is set while a continuous flow runs."""
 
@@ -179,7 +184,7 @@ class Catalog:
         """Record a dataset and start landing the topic named by its id."""
         checked = check_schema(schema)
         dataset_id = ids.new_id("dataset")
-        self._put("datasets", id=dataset_id, name=name, timestamp=ids.now_text(), tombstone=None)
+        self._put("datasets", id=dataset_id, name=name, timestamp=_now(), tombstone=None)
         self._put_schema(dataset_id, checked)
         storage.make_dir(self.spark, self.dataset_path(dataset_id))
         if not land:
@@ -234,7 +239,7 @@ class Catalog:
             id=table_id,
             dataset_id=dataset_id,
             name=name,
-            timestamp=ids.now_text(),
+            timestamp=_now(),
             tombstone=None,
         )
         KeyedTable.create(
@@ -302,7 +307,7 @@ class Catalog:
         found = related.live_rows(self._table(name).lookup(id=id))
         if found.isEmpty():
             raise related.NotFoundError(f"no live row {id} in {name}")
-        self._put(name, id=id, tombstone=ids.now_text())
+        self._put(name, id=id, tombstone=_now())
 
     # ---- writing
 
@@ -335,7 +340,7 @@ class Catalog:
             run_id=run_id,
             dataset_id=dataset_id,
             data_table_id=table_id,
-            timestamp=ids.now_text(),
+            timestamp=_now(),
             tombstone=None,
         )
 

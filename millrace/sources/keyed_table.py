@@ -44,8 +44,9 @@ from millrace.sources import storage
 SMALL_LOG_BYTES = 8 << 20
 SMALL_LOG_BATCHES = 64
 # Compaction doubles the number of buckets while a bucket would hold more than
-# this, up to Spark's own limit for a bucketed table.
-BUCKET_BYTES = 512 << 20
+# this on disk, up to Spark's own limit for a bucketed table.
+BUCKET_BYTES = 128 << 20
+MIN_BUCKETS = 8
 MAX_BUCKETS = 100_000
 
 
@@ -137,7 +138,7 @@ class KeyedTable:
             "schema": checked,
             "sequence_by": list(sequence_by),
             "partial_updates": partial_updates,
-            "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
+            "buckets": buckets or MIN_BUCKETS,
         }
         storage.put_text(spark, f"{path}/_table.json", json.dumps(properties, indent=1))
         return cls(spark, path, properties)
