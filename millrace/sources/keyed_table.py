@@ -86,6 +86,20 @@ class Commit(NamedTuple):
         return cls(int(batch), int(epoch), writer, attempt)
 
 
+class Snapshot(NamedTuple):
+    """One view of a table: its current version and the batches committed since."""
+
+    version: dict[str, Any]
+    commits: list[Commit]
+
+    @property
+    def last_batch(self) -> int:
+        return max([self.version["folded"], *[c.batch for c in self.commits]])
+
+    def last_epoch(self, writer: str) -> int:
+        return max([self.version["writers"].get(writer, -1), *[c.epoch for c in self.commits if c.writer == writer]])
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, properties: Mapping[str, Any]):
         self.spark = spark
@@ -198,19 +212,16 @@ class KeyedTable:
         writer = writer or f"load-{uuid4().hex}"
         if "." in writer or "/" in writer:
             raise ValueError("a writer name may hold no dot or slash")
-        commits = self._commits()
-        version = self._version()
-        done = max([version["writers"].get(writer, -1), *[c.epoch for c in commits if c.writer == writer]])
-        if epoch <= done:
+        now = self._snapshot()
+        if epoch <= now.last_epoch(writer):
             return False
-        batch = 1 + max([version["folded"], *[c.batch for c in commits]])
+        batch = now.last_batch + 1
         rows = self._internal(df, batch)
         if absent_only:
-            rows = self._absent(rows)
+            rows = self._absent(rows, now)
         commit = Commit(batch, epoch, writer, uuid4().hex[:12])
         rows.write.mode("overwrite").parquet(f"{self.path}/log/{commit.folder}")
-        taken = [m for m in storage.names(self.spark, f"{self.path}/commits") if m.startswith(f"{batch:012d}.")]
-        if taken or self._version()["folded"] >= batch:
+        if self._snapshot().last_batch >= batch:
             raise ConcurrentWriteError(f"batch {batch} of {self.path} was committed by another writer")
         storage.put_text(self.spark, f"{self.path}/commits/{commit.marker}", "")
         return True
@@ -241,14 +252,13 @@ class KeyedTable:
             columns += [F.lit(c.lower() in given).alias(f"_s{i}") for i, c in enumerate(self._values)]
         return safe.select(*columns)
 
-    def _absent(self, rows: DataFrame) -> DataFrame:
+    def _absent(self, rows: DataFrame, now: Snapshot) -> DataFrame:
         """First row per key of ``rows``, without the keys that the table already holds."""
         carried = [c for c in rows.columns if c not in self._k]
         first = rows.groupBy(*self._k).agg(F.min(F.struct(*carried)).alias("row")).select(*self._k, "row.*")
-        log = self._log()
+        log, base = self._log(now), self._base(now)
         if log is not None:
             first = first.join(log.select(*self._k).distinct(), self._k, "left_anti")
-        base = self._base()
         # The base holds each key once and is bucketed by key: this side is not shuffled.
         return first if base is None else first.join(base.select(*self._k), self._k, "left_anti")
 
@@ -260,7 +270,8 @@ class KeyedTable:
         ``where`` may use key columns only.  It is applied below the merge, so
         it reaches the Parquet scans and prunes buckets of the base.
         """
-        state = self._state(where)
+        now = self._snapshot()
+        state = self._state(now, where, small=self._log_is_small(now))
         if state is None:
             return self.spark.createDataFrame([], self._struct())
         columns = {k: F.col(i) for k, i in zip(self.keys, self._k)}
@@ -292,19 +303,15 @@ class KeyedTable:
             for i, v in enumerate(self._v)
         ]
 
-    def _state(self, where: str | Column | None = None, *, rewrite: bool = False) -> DataFrame | None:
+    def _state(self, now: Snapshot, where: str | Column | None = None, *, small: bool = False) -> DataFrame | None:
         """One row per key: the keys and the winning structs, by position.
 
         A small log is looked up from the base, which then streams through
         without being sorted; keys that only the log has come from a second
-        scan of the base's key columns.  Any other log, and a rewrite of the
-        whole table, goes through one merge join on the base's buckets.  In
-        both, Spark chooses the join strategies.
+        scan of the base's key columns.  Any other log goes through one merge
+        join on the base's buckets.  In both, Spark chooses the join strategies.
         """
-        # The log is listed first: a compaction in between then shows some rows
-        # twice, which a maximum does not mind, and never hides any.
-        log, small = self._log(), not rewrite and self._log_is_small()
-        base = self._base()
+        log, base = self._log(now), self._base(now)
         if log is not None:
             groups = self._groups()
             maxima = [F.max(value).alias(name) for name, value in groups] or [F.max("_batch").alias("_g")]
@@ -322,15 +329,13 @@ class KeyedTable:
         fresh = log.join(present, self._k, "left_anti").select(*self._k, *names)
         return base.join(newer, self._k, "left").select(*self._k, *merged).unionByName(fresh)
 
-    def _log_is_small(self) -> bool:
-        stored, commits = 0, self._commits()
-        if len(commits) > SMALL_LOG_BATCHES:
+    def _log_is_small(self, now: Snapshot) -> bool:
+        if not now.version["folder"] or len(now.commits) > SMALL_LOG_BATCHES:
             return False
-        for commit in commits:
-            stored += storage.size(self.spark, f"{self.path}/log/{commit.folder}")
-            if stored > SMALL_LOG_BYTES:
-                return False
-        return True
+        return self._log_bytes(now) <= SMALL_LOG_BYTES
+
+    def _log_bytes(self, now: Snapshot) -> int:
+        return sum(storage.size(self.spark, f"{self.path}/log/{c.folder}") for c in now.commits)
 
     def _restrict(self, df: DataFrame, where: str | Column | None) -> DataFrame:
         if where is None:
@@ -338,10 +343,10 @@ class KeyedTable:
         named = df.withColumnsRenamed(dict(zip(self._k, self.keys))).where(where)
         return named.withColumnsRenamed(dict(zip(self.keys, self._k)))
 
-    def _log(self) -> DataFrame | None:
-        folders = [f"{self.path}/log/{c.folder}" for c in self._commits()]
-        if not folders:
+    def _log(self, now: Snapshot) -> DataFrame | None:
+        if not now.commits:
             return None
+        folders = [f"{self.path}/log/{c.folder}" for c in now.commits]
         return self.spark.read.schema(self._log_struct()).parquet(*folders)
 
     def _log_struct(self) -> T.StructType:
@@ -351,8 +356,8 @@ class KeyedTable:
             fields += [T.StructField(f"_s{i}", T.BooleanType()) for i in range(len(self._values))]
         return T.StructType(fields)
 
-    def _base(self) -> DataFrame | None:
-        version = self._version()
+    def _base(self, now: Snapshot) -> DataFrame | None:
+        version = now.version
         if not version["folder"]:
             return None
         name = _base_name(version["folder"])
@@ -367,37 +372,36 @@ class KeyedTable:
         )
         return self.spark.table(name)
 
-    def _commits(self) -> list[Commit]:
-        """Committed batches that the base does not hold yet."""
-        folded = self._version()["folded"]
-        markers = [Commit.parse(m) for m in storage.names(self.spark, f"{self.path}/commits") if not m.startswith(".")]
-        return [c for c in markers if c.batch > folded]
-
-    def _version(self) -> dict[str, Any]:
-        versions = [n for n in storage.names(self.spark, f"{self.path}/versions") if n.endswith(".json") and n[0] != "."]
-        if not versions:
-            return {"version": 0, "folded": -1, "folder": None, "writers": {}}
-        return json.loads(storage.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
+    def _snapshot(self) -> Snapshot:
+        # Commits are listed before the version is read.  If a compaction ends in
+        # between, its version covers some of them, and none is missed.
+        markers = storage.names(self.spark, f"{self.path}/commits")
+        versions = [n for n in storage.names(self.spark, f"{self.path}/versions") if not n.startswith(".")]
+        version = {"version": 0, "folded": -1, "folder": None, "writers": {}}
+        if versions:
+            version = json.loads(storage.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
+        commits = [Commit.parse(m) for m in markers if not m.startswith(".")]
+        return Snapshot(version, [c for c in commits if c.batch > version["folded"]])
 
     # ---- maintenance
 
     def pending(self) -> int:
         """Committed batches that the next compaction will fold."""
-        return len(self._commits())
+        return len(self._snapshot().commits)
 
     def compact(self, buckets: int | None = None) -> bool:
         """Fold the log into a new bucketed base; readers switch to it when it is complete."""
-        commits = self._commits()
-        if not commits:
+        now = self._snapshot()
+        if not now.commits:
             return False
-        old = self._version()
-        buckets = buckets or self._bucket_count(old)
+        old = now.version
+        buckets = buckets or self._bucket_count(now)
         # A session of its own: its shuffles then have as many partitions as the
         # base has buckets, and writing the buckets needs no shuffle more.
         session = self.spark.newSession()
         session.conf.set("spark.sql.shuffle.partitions", str(buckets))
         session.conf.set("spark.sql.session.timeZone", self.spark.conf.get("spark.sql.session.timeZone"))
-        state = KeyedTable.open(session, self.path)._state(rewrite=True)
+        state = KeyedTable.open(session, self.path)._state(now)
         folder = f"{old['version'] + 1:08d}-{uuid4().hex[:12]}"
         (
             state.write.format("parquet")
@@ -407,11 +411,11 @@ class KeyedTable:
             .saveAsTable(_base_name(folder))
         )
         writers = dict(old["writers"])
-        for c in commits:
+        for c in now.commits:
             writers[c.writer] = max(c.epoch, writers.get(c.writer, -1))
         version = {
             "version": old["version"] + 1,
-            "folded": max(c.batch for c in commits),
+            "folded": now.last_batch,
             "folder": folder,
             "buckets": buckets,
             "writers": writers,
@@ -421,12 +425,12 @@ class KeyedTable:
         storage.put_text(self.spark, f"{self.path}/versions/{name}", json.dumps(version))
         return True
 
-    def _bucket_count(self, old: Mapping[str, Any]) -> int:
+    def _bucket_count(self, now: Snapshot) -> int:
         """Buckets for the next base; doubling keeps each old bucket's rows in buckets of their own."""
-        stored = sum(storage.size(self.spark, f"{self.path}/log/{c.folder}") for c in self._commits())
-        if old["folder"]:
-            stored += storage.size(self.spark, f"{self.path}/base/{old['folder']}")
-        buckets = max(self.buckets, old.get("buckets", 0))
+        stored, buckets = self._log_bytes(now), self.buckets
+        if now.version["folder"]:
+            stored += storage.size(self.spark, f"{self.path}/base/{now.version['folder']}")
+            buckets = max(buckets, now.version["buckets"])
         while buckets * BUCKET_BYTES < stored and buckets * 2 <= MAX_BUCKETS:
             buckets *= 2
         return buckets
@@ -436,7 +440,7 @@ class KeyedTable:
 
         Call it when no reader of an older version is left.
         """
-        version = self._version()
+        version = self._snapshot().version
         if not version["folder"]:
             return
         for marker in storage.names(self.spark, f"{self.path}/commits"):
