@@ -329,6 +329,7 @@ class Catalog:
                     raise
         if table.pending() >= COMPACT_AFTER:
             table.compact()
+            table.vacuum(keep_previous=True)
 
     def _put_flow(
         self, flow_id: str, kind: str, dataset_id: str, *, table_id: str | None = None, run_id: str | None = None

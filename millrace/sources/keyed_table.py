@@ -38,7 +38,6 @@ from millrace.functions.schema import check_schema, key_columns, required_column
 from millrace.operators.constraints import not_null
 from millrace.sources import storage
 
-
 # A log of at most this many bytes on disk, in at most this many batches, is small
 # enough to be looked up from the base instead of merged with it.
 SMALL_LOG_BYTES = 8 << 20
@@ -187,9 +186,9 @@ class KeyedTable:
         updates, and is an error otherwise; an explicit NULL overwrites.  A
         NULL in a required column fails the write before anything is visible.
 
-        ``writer`` and ``epoch`` name the write.  A write that was committed
-        under the same name is not done again; the result says whether it was
-        done.
+        ``writer`` and ``epoch`` name the write.  A named write that was
+        committed before, or came before a committed one of the same writer, is
+        not done again; the result says whether it was done.
         """
         return self._append(df, writer, epoch, absent_only=False)
 
@@ -209,17 +208,16 @@ class KeyedTable:
         return self.upsert(marked.join(self.read().select(*names), self.keys, "left_semi"))
 
     def _append(self, df: DataFrame, writer: str | None, epoch: int, absent_only: bool) -> bool:
-        writer = writer or f"load-{uuid4().hex}"
-        if "." in writer or "/" in writer:
-            raise ValueError("a writer name may hold no dot or slash")
+        if writer is not None and (not writer or "." in writer or "/" in writer):
+            raise ValueError("a writer name may not be empty and may hold no dot or slash")
         now = self._snapshot()
-        if epoch <= now.last_epoch(writer):
+        if writer and epoch <= now.last_epoch(writer):
             return False
         batch = now.last_batch + 1
         rows = self._internal(df, batch)
         if absent_only:
             rows = self._absent(rows, now)
-        commit = Commit(batch, epoch, writer, uuid4().hex[:12])
+        commit = Commit(batch, epoch, writer or "", uuid4().hex[:12])
         rows.write.mode("overwrite").parquet(f"{self.path}/log/{commit.folder}")
         if self._snapshot().last_batch >= batch:
             raise ConcurrentWriteError(f"batch {batch} of {self.path} was committed by another writer")
@@ -412,13 +410,15 @@ class KeyedTable:
         )
         writers = dict(old["writers"])
         for c in now.commits:
-            writers[c.writer] = max(c.epoch, writers.get(c.writer, -1))
+            if c.writer:
+                writers[c.writer] = max(c.epoch, writers.get(c.writer, -1))
         version = {
             "version": old["version"] + 1,
             "folded": now.last_batch,
             "folder": folder,
             "buckets": buckets,
             "writers": writers,
+            "previous": {"folder": old["folder"], "folded": old["folded"]},
             "ddl": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema),
         }
         name = f"{version['version']:08d}.json"
@@ -435,22 +435,25 @@ class KeyedTable:
             buckets *= 2
         return buckets
 
-    def vacuum(self) -> None:
+    def vacuum(self, *, keep_previous: bool = False) -> None:
         """Delete log batches and bases that the current version replaced.
 
-        Call it when no reader of an older version is left.
+        Call it when no reader of an older version is left; ``keep_previous``
+        leaves what readers of the version before the current one need.
         """
         version = self._snapshot().version
         if not version["folder"]:
             return
+        kept = {"folder": version["folder"], "folded": version["folded"]}
+        oldest = version["previous"] if keep_previous else kept
         for marker in storage.names(self.spark, f"{self.path}/commits"):
-            if not marker.startswith(".") and Commit.parse(marker).batch <= version["folded"]:
+            if not marker.startswith(".") and Commit.parse(marker).batch <= oldest["folded"]:
                 storage.remove(self.spark, f"{self.path}/commits/{marker}")
         for folder in storage.names(self.spark, f"{self.path}/log"):
-            if int(folder.split("-")[0]) <= version["folded"]:
+            if int(folder.split("-")[0]) <= oldest["folded"]:
                 storage.remove(self.spark, f"{self.path}/log/{folder}")
         for folder in storage.names(self.spark, f"{self.path}/base"):
-            if folder != version["folder"]:
+            if folder not in (kept["folder"], oldest["folder"]):
                 self.spark.sql(f"DROP TABLE IF EXISTS {_base_name(folder)}")
                 storage.remove(self.spark, f"{self.path}/base/{folder}")
 

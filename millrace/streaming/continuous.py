@@ -62,7 +62,8 @@ def stream_to_table(
 
     A failed constraint fails its micro-batch and stops the query.  A replayed
     micro-batch is recognised and not written twice.  ``compact_every`` folds
-    the change log after that many micro-batches.
+    the change log after that many micro-batches and deletes what the version
+    before last still needed.
     """
     scan = dict(scan_options or {})
     follow = _growth(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
@@ -79,6 +80,7 @@ def stream_to_table(
         table.upsert(batch, writer=writer_name, epoch=epoch)
         if compact_every and (epoch + 1) % compact_every == 0:
             table.compact()
+            table.vacuum(keep_previous=True)
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if follow == STATE:

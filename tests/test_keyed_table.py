@@ -176,6 +176,33 @@ def test_crashed_write_is_invisible(spark, work, monkeypatch):
     assert rows(table.read()) == [(1, "c", 3), (2, "b", 1), (3, "d", 1)]
 
 
+def test_readers_of_the_previous_version_outlive_vacuum(spark, work):
+    table = sequenced(spark, work)
+    seen = []
+    for n, batch in enumerate(BATCHES):
+        table.upsert(frame(spark, batch), writer="w", epoch=n)
+        seen.append((table.read(), rows(table.read())))
+        table.compact()
+        table.vacuum(keep_previous=True)
+        # This frame was planned before the compaction and still gives its rows.
+        assert rows(seen[n][0]) == seen[n][1]
+    # The first base served the second reader only, and is gone by now.
+    assert len(os.listdir(f"{work}/base")) == 2
+    assert rows(table.read()) == LATEST
+    assert not table.upsert(frame(spark, BATCHES[0]), writer="w", epoch=2)
+
+
+def test_only_named_writers_are_remembered(spark, work):
+    table = sequenced(spark, work)
+    table.upsert(frame(spark, BATCHES[0]))
+    table.upsert(frame(spark, BATCHES[1]), writer="feed", epoch=4)
+    table.compact()
+    assert table._snapshot().version["writers"] == {"feed": 4}
+    assert not table.upsert(frame(spark, BATCHES[2]), writer="feed", epoch=3)
+    with pytest.raises(ValueError):
+        table.upsert(frame(spark, BATCHES[2]), writer="a.b")
+
+
 def test_second_writer_of_a_batch_is_refused(spark, work, monkeypatch):
     table = sequenced(spark, work)
     other = KeyedTable.open(spark, work)
