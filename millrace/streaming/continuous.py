@@ -14,8 +14,7 @@ from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.functions.rows import encode_rows
 from millrace.operators.project import project
@@ -38,9 +37,37 @@ def _writer_name(spark: SparkSession, checkpoint: str) -> str:
     return storage.read_text(spark, path)
 
 
-def _growth(spark: SparkSession, columns: T.StructType, exprs: Sequence[str], where: str | Column | None) -> str:
-    """How the projection follows new files; asks an empty frame, so no file is listed."""
-    return growth(project(spark.createDataFrame([], columns), exprs, where))
+def _follow(
+    spark: SparkSession,
+    dataset_path: str,
+    schema: Sequence[Mapping[str, Any]],
+    exprs: Sequence[str],
+    where: str | Column | None,
+    source_options: Mapping[str, Any] | None,
+    scan: Mapping[str, Any],
+) -> tuple[str, DataFrame]:
+    """How the projection follows new files, and the stream that drives it."""
+    # An empty frame is enough to analyze the projection; no file is listed for it.
+    empty = spark.createDataFrame([], dataset_struct(schema, corrupt=scan.get("corrupt", False)))
+    how = growth(project(empty, exprs, where))
+    options = dict(source_options or {})
+    if how == WHOLE:
+        # The new files only say that there is work; taking them in portions
+        # would repeat the whole evaluation for each.
+        options = {k: v for k, v in options.items() if k.lower() not in ("maxfilespertrigger", "maxbytespertrigger")}
+    files = scan_dataset_stream(spark, dataset_path, schema, options=options, **scan)
+    return how, files if how == WHOLE else project(files, exprs, where)
+
+
+def _start(
+    writer: DataStreamWriter, how: str, checkpoint: str, trigger: Mapping[str, Any] | None, name: str | None
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
+    if how == STATE:
+        writer = writer.outputMode("update")
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()
 
 
 def stream_to_table(
@@ -66,15 +93,12 @@ def stream_to_table(
     before last still needed.
     """
     scan = dict(scan_options or {})
-    follow = _growth(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
-    files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
-    if follow != WHOLE:
-        files = project(files, exprs, where)
+    how, stream = _follow(spark, dataset_path, schema, exprs, where, source_options, scan)
     writer_name = _writer_name(spark, checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        if follow == WHOLE:
+        if how == WHOLE:
             batch = project(scan_dataset(session, dataset_path, schema, **scan), exprs, where)
         table = KeyedTable.open(session, table_path)
         table.upsert(batch, writer=writer_name, epoch=epoch)
@@ -82,12 +106,7 @@ def stream_to_table(
             table.compact()
             table.vacuum(keep_previous=True)
 
-    writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    if follow == STATE:
-        writer = writer.outputMode("update")
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+    return _start(stream.writeStream.foreachBatch(load), how, checkpoint, trigger, name)
 
 
 def stream_to_topic(
@@ -112,23 +131,16 @@ def stream_to_topic(
     an aggregate is a single row.
     """
     scan = dict(scan_options or {})
-    trigger = trigger or DEFAULT_TRIGGER
-    follow = _growth(spark, dataset_struct(schema, corrupt=scan.get("corrupt", False)), exprs, where)
-    files = scan_dataset_stream(spark, dataset_path, schema, options=source_options, **scan)
-    if follow != WHOLE:
-        files = project(files, exprs, where)
-    if follow == ROWS:
-        values = encode_rows(files, quoted=quoted)
-        return write_topic_stream(values, broker, topic, checkpoint=checkpoint, trigger=trigger, name=name)
+    how, stream = _follow(spark, dataset_path, schema, exprs, where, source_options, scan)
+    if how == ROWS:
+        values = encode_rows(stream, quoted=quoted)
+        return write_topic_stream(
+            values, broker, topic, checkpoint=checkpoint, trigger=trigger or DEFAULT_TRIGGER, name=name
+        )
 
     def send(batch: DataFrame, epoch: int) -> None:
-        if follow == WHOLE:
+        if how == WHOLE:
             batch = project(scan_dataset(batch.sparkSession, dataset_path, schema, **scan), exprs, where)
         write_topic(encode_rows(batch, quoted=quoted), broker, topic)
 
-    writer = files.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
-    if follow == STATE:
-        writer = writer.outputMode("update")
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**trigger).start()
+    return _start(stream.writeStream.foreachBatch(send), how, checkpoint, trigger, name)

@@ -245,7 +245,11 @@ def test_continuous_window_sees_all_history(spark, work):
     KeyedTable.create(spark, f"{work}/t", schema)
     for number, text in enumerate(["1,a,x\n3,a,y\n", "2,a,z\n"]):
         drop(f"{work}/ds", f"p{number}", text)
-        run_table(spark, work, ["timestamp AS id", "row_number() OVER (ORDER BY timestamp) AS rank"])
+        drop(f"{work}/ds", f"q{number}", "")
+        exprs = ["timestamp AS id", "row_number() OVER (ORDER BY timestamp) AS rank"]
+        query = run_table(spark, work, exprs, source_options={"maxFilesPerTrigger": 1})
+        # Two new files, one evaluation.
+        assert len([p for p in query.recentProgress if "addBatch" in p["durationMs"]]) == 1
     assert rows(scan_table(spark, f"{work}/t")) == [(1, 1), (2, 2), (3, 3)]
 
 
