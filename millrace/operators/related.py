@@ -143,6 +143,8 @@ def related_rows(
     children: Mapping[str, tuple[DataFrame, str]],
     *,
     own: str = "self",
+    parent_as: str = "parent",
+    group_as: str = "group",
 ) -> DataFrame:
     """Parents with everything that refers to them, as rows tagged with their group.
 
@@ -150,12 +152,16 @@ def related_rows(
     parent appears in group ``own``; the rows of each other group follow, with
     columns that a group does not have left NULL.  The groups stay rows: a
     parent with very many children is never gathered into one value.
+    ``parent_as`` and ``group_as`` name the two tag columns.
     """
-    keys = parents.select(F.col(parent_key).alias("parent"))
-    groups = [parents.select(F.col(parent_key).alias("parent"), F.lit(own).alias("group"), "*")]
+
+    def tagged(frame: DataFrame, key: str, name: str) -> DataFrame:
+        return frame.select(F.col(key).alias(parent_as), F.lit(name).alias(group_as), "*")
+
+    keys = parents.select(F.col(parent_key).alias(parent_as))
+    groups = [tagged(parents, parent_key, own)]
     for name, (frame, column) in children.items():
-        tagged = frame.select(F.col(column).alias("parent"), F.lit(name).alias("group"), "*")
-        groups.append(tagged.join(keys, "parent", "left_semi"))
+        groups.append(tagged(frame, column, name).join(keys, parent_as, "left_semi"))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
 
 

@@ -130,6 +130,9 @@ def test_table_registered_before_anything_landed(spark, catalog):
 def test_landing_starts_with_the_registration(spark, catalog):
     registered = catalog.register_dataset("now", SCHEMA, start={"earliest": True}, trigger={"processingTime": "1 second"})
     try:
+        # Nothing has landed yet.
+        empty = catalog.register_dataset_output(registered.id)
+        assert values(spark, catalog.broker, empty.topic) == []
         topics.write_topic(spark.createDataFrame([("1,a,x",)], "value string"), catalog.broker, registered.topic)
         registered.query.processAllAvailable()
     finally:

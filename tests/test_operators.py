@@ -164,6 +164,13 @@ def test_related_rows_keep_childless_parents(spark):
     ]
 
 
+def test_related_rows_with_names_of_their_own(spark):
+    parents = spark.createDataFrame([(1, "a")], "id int, group string")
+    children = spark.createDataFrame([(10, 1)], "child int, parent int")
+    found = related.related_rows(parents, "id", {"c": (children, "parent")}, parent_as="_parent", group_as="_group")
+    assert rows(found.select("_parent", "_group", "group", "child")) == [(1, "c", None, 10), (1, "self", "a", None)]
+
+
 def test_to_records_refuses_to_cut(spark):
     df = spark.range(5).select("id", F.lit("x").alias("v"))
     assert related.to_records(df.where("id = 3"), ["v", "id"]) == [{"v": "x", "id": 3}]
