@@ -33,11 +33,12 @@ SQL: dict[str, str] = {}
 ONCE = {"availableNow": True}
 
 
-def query(sql: str | None) -> Callable[[Query], Query]:
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, or under that of the operator it is for."""
+
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        SQL[name or function.__name__] = sql
         return function
 
     return register
@@ -133,7 +134,7 @@ def stream_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(f"{path}/out"))
 
 
-@query(LATEST_EVENT)
+@query(LATEST_EVENT, name="scan_table")
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
     KeyedTable.create(spark, path, events_schema("user_id"), sequence_by=["event_id"])
@@ -167,7 +168,8 @@ def row_encode_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT event_id::varchar AS event_id, ts::varchar AS ts, user_id::varchar AS user_id, event_type,
-        value::varchar AS value, props FROM events"""
+        value::varchar AS value, props FROM events""",
+    name="cast_all_to_string",
 )
 def cast_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_all_to_string(table(spark, sf_dir, "events"))
@@ -234,7 +236,7 @@ def project_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT o_orderpriority, o_orderkey FROM orders")
+@query("SELECT o_orderpriority, o_orderkey FROM orders", name="select_columns")
 def columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_columns(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey")
 
@@ -371,18 +373,32 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related.live_rows(_tombstoned(table(spark, sf_dir, "events"))).select("event_id", "user_id", "event_type")
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
-def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = workspace(spark)
+def _soft_deleted(spark: SparkSession, sf_dir: str, path: str) -> KeyedTable:
+    """A table of the events in which the errors were deleted."""
     events = table(spark, sf_dir, "events")
-    schema = from_struct(_tombstoned(events).select("event_id", "user_id", "event_type", "tombstone").schema, ["event_id"])
-    target = KeyedTable.create(spark, path, schema, partial_updates=True)
+    columns = _tombstoned(events).select("event_id", "user_id", "event_type", "tombstone")
+    target = KeyedTable.create(spark, path, from_struct(columns.schema, ["event_id"]), partial_updates=True)
     target.upsert(events.select("event_id", "user_id", "event_type"))
     target.soft_delete(events.where("event_type = 'error'"), moment=F.col("ts"))
-    return related.live_rows(target.read()).drop("tombstone")
+    return target
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
+def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark)
+    return related.live_rows(_soft_deleted(spark, sf_dir, path).read()).drop("tombstone")
+
+
+@query(
+    """SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' THEN ts END AS tombstone FROM events""",
+    name="dump",
+)
+def dump_with_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark)
+    return plain(_soft_deleted(spark, sf_dir, path).read())
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 42 AND o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 42 AND o_orderstatus <> 'P'", name="get_by_key")
 def row_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     marked = orders.withColumn("tombstone", F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")))
@@ -404,7 +420,7 @@ def table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(target.lookup(user_id=7))
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 7 AND o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 7 AND o_orderstatus <> 'P'", name="list_children")
 def children_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     marked = orders.withColumn("tombstone", F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")))
@@ -622,7 +638,8 @@ def topic_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {EVENT_LINE} AS value FROM events
     UNION ALL SELECT 'orders', (o_custkey % 4)::int, o_orderkey, o_custkey::varchar,
         concat_ws(',', o_orderkey::varchar, o_custkey::varchar, o_orderstatus, o_totalprice::varchar,
-            o_orderdate::varchar, o_orderpriority) FROM orders"""
+            o_orderdate::varchar, o_orderpriority) FROM orders""",
+    name="inspect_topics",
 )
 def topics_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     broker = DirectoryBroker(f"{workspace(spark)}/topics")
@@ -641,7 +658,8 @@ def topics_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey::varchar AS key, concat_ws(',', o_orderkey::varchar, o_custkey::varchar, o_orderstatus,
-        o_totalprice::varchar, o_orderdate::varchar, o_orderpriority) AS value FROM orders"""
+        o_totalprice::varchar, o_orderdate::varchar, o_orderpriority) AS value FROM orders""",
+    name="publish_keyed",
 )
 def publish_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     broker = DirectoryBroker(f"{workspace(spark)}/topics")
