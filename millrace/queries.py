@@ -398,11 +398,11 @@ def dump_with_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_soft_deleted(spark, sf_dir, path).read())
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 42 AND o_orderstatus <> 'P'", name="get_by_key")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 7 AND o_orderstatus <> 'P'", name="get_by_key")
 def row_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     marked = orders.withColumn("tombstone", F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")))
-    found = related.get_by_key(marked, 42, key="o_orderkey")
+    found = related.get_by_key(marked, 7, key="o_orderkey")
     return found.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
