@@ -208,12 +208,20 @@ def project_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(table(spark, sf_dir, "events"), ["count(*) AS n", "max(event_id) AS m"])
 
 
-@query("SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS rn FROM events")
+@query(
+    """SELECT l_orderkey, l_partkey, sum(l_quantity) OVER (PARTITION BY l_orderkey) AS order_quantity,
+        CAST(rank() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC) AS INTEGER) AS price_rank
+    FROM lineitem"""
+)
 def project_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(
-        table(spark, sf_dir, "events"),
-        ["event_id", "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn"],
-    )
+    """Windows over the few lines of one order; quantities are whole numbers, so their sum is exact."""
+    exprs = [
+        "l_orderkey",
+        "l_partkey",
+        "sum(l_quantity) OVER (PARTITION BY l_orderkey) AS order_quantity",
+        "rank() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC) AS price_rank",
+    ]
+    return project(table(spark, sf_dir, "lineitem"), exprs)
 
 
 @query("SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS part FROM orders")
@@ -746,13 +754,16 @@ def stream_dataset_to_table_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, f"{root}/table")
 
 
-@query("SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS rn FROM events")
+@query("SELECT l_orderkey, sum(l_quantity) AS order_quantity FROM lineitem GROUP BY l_orderkey")
 def stream_dataset_to_table_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of one order arrive in several files, and the window has to see them all."""
     root = workspace(spark)
-    schema = land(table(spark, sf_dir, "events"), f"{root}/landed")
+    lines = table(spark, sf_dir, "lineitem")
+    for flag in ("R", "A", "N"):
+        schema = land(lines.where(F.col("l_returnflag") == flag), f"{root}/landed/{flag}")
     target = [
-        {"column_name": "event_id", "column_type": "biginteger", "nullable": False, "primary_key": True},
-        {"column_name": "rn", "column_type": "integer"},
+        {"column_name": "l_orderkey", "column_type": "biginteger", "nullable": False, "primary_key": True},
+        {"column_name": "order_quantity", "column_type": "double"},
     ]
     KeyedTable.create(spark, f"{root}/table", target)
     flows.dataset_to_table(
@@ -760,7 +771,7 @@ def stream_dataset_to_table_window(spark: SparkSession, sf_dir: str) -> DataFram
         f"{root}/landed",
         schema,
         f"{root}/table",
-        ["event_id", "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn"],
+        ["l_orderkey", "sum(l_quantity) OVER (PARTITION BY l_orderkey) AS order_quantity"],
         continuous=True,
         checkpoint=f"{root}/checkpoint",
         trigger=ONCE,
