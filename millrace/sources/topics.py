@@ -34,7 +34,7 @@ class Broker:
         return reader.format(self.format).options(**self.options, **start).option("subscribe", ",".join(topics)).load()
 
     def write(self, records: DataFrame, topic: str) -> None:
-        records.write.format(self.format).options(**self.options).option("topic", topic).save()
+        records.write.format(self.format).mode("append").options(**self.options).option("topic", topic).save()
 
     def write_stream(self, records: DataFrame, topic: str, writer_options: Mapping[str, Any]):
         return (

@@ -1,0 +1,156 @@
+"""The broker's own reads and writes, against a data source that takes the Kafka connector's options."""
+
+import glob
+import json
+import os
+import sys
+import time
+from uuid import uuid4
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamWriter,
+    DataSourceWriter,
+    InputPartition,
+    SimpleDataSourceStreamReader,
+    WriterCommitMessage,
+)
+
+from millrace.plans import flows
+from millrace.sources import topics
+from tests.conftest import rows
+
+
+def stored(options):
+    """Records of the subscribed topics in the order of their files; each file is one offset."""
+    root = options["kafka.bootstrap.servers"]
+    for topic in options["subscribe"].split(","):
+        for path in sorted(glob.glob(f"{root}/{topic}/*.json")):
+            with open(path) as f:
+                for offset, (key, value) in enumerate(json.load(f)):
+                    yield [key and key.encode(), value and value.encode(), topic, 0, offset]
+
+
+class Writer:
+    def __init__(self, schema, options):
+        self.columns = schema.names
+        self.folder = f"{options['kafka.bootstrap.servers']}/{options['topic']}"
+        assert set(self.columns) <= {"key", "value"}, self.columns
+
+    def write(self, iterator):
+        records = [[getattr(r, "key", None) if "key" in self.columns else None, r.value] for r in iterator]
+        os.makedirs(self.folder, exist_ok=True)
+        with open(f"{self.folder}/{time.time_ns():020d}-{uuid4().hex}.json", "w") as f:
+            json.dump(records, f)
+        return WriterCommitMessage()
+
+
+class BatchWriter(Writer, DataSourceWriter):
+    pass
+
+
+class StreamWriter(Writer, DataSourceStreamWriter):
+    def commit(self, messages, batchId):
+        pass
+
+    def abort(self, messages, batchId):
+        pass
+
+
+class Reader(DataSourceReader):
+    def __init__(self, options):
+        self.options = options
+
+    def partitions(self):
+        return [InputPartition(0)]
+
+    def read(self, partition):
+        yield from (tuple(r) for r in stored(self.options))
+
+
+class StreamReader(SimpleDataSourceStreamReader):
+    def __init__(self, options):
+        self.options = options
+
+    def initialOffset(self):
+        earliest = self.options.get("startingOffsets") == "earliest"
+        return {"n": 0 if earliest else len(list(stored(self.options)))}
+
+    def read(self, start):
+        records = [tuple(r) for r in stored(self.options)][start["n"] :]
+        return iter(records), {"n": start["n"] + len(records)}
+
+    def readBetweenOffsets(self, start, end):
+        return iter([tuple(r) for r in stored(self.options)][start["n"] : end["n"]])
+
+    def commit(self, end):
+        pass
+
+
+class LogSource(DataSource):
+    @classmethod
+    def name(cls):
+        return "kafkalike"
+
+    def schema(self):
+        return "key binary, value binary, topic string, partition int, offset bigint"
+
+    def reader(self, schema):
+        return Reader(self.options)
+
+    def simpleStreamReader(self, schema):
+        return StreamReader(self.options)
+
+    def writer(self, schema, overwrite):
+        return BatchWriter(schema, self.options)
+
+    def streamWriter(self, schema, overwrite):
+        return StreamWriter(schema, self.options)
+
+
+@pytest.fixture
+def broker(spark, work):
+    # Python workers need not be able to import the tests.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(LogSource)
+    return topics.Broker({"kafka.bootstrap.servers": work}, format="kafkalike")
+
+
+def send(spark, broker, topic, *data):
+    df = spark.createDataFrame(data, "key string, value string").coalesce(1)
+    broker.write(df, topic)
+
+
+def test_reads_and_streams(spark, broker, work):
+    send(spark, broker, "a", ("k", "1,x"), (None, "2,y"))
+    send(spark, broker, "b", ("q", "3,z"))
+    assert rows(topics.inspect_topics(spark, broker, ["a", "b"])) == [
+        ("a", 0, 0, "k", "1,x"),
+        ("a", 0, 1, None, "2,y"),
+        ("b", 0, 0, "q", "3,z"),
+    ]
+    query = flows.topic_to_topic(spark, broker, "a", "copy", checkpoint=f"{work}/cp", start={"earliest": True})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    copied = topics.inspect_topics(spark, broker, ["copy"]).select("key", "value")
+    assert rows(copied) == [(None, "1,x"), (None, "2,y")]
+
+
+def test_latest_wins_over_earliest(spark, broker, work):
+    send(spark, broker, "a", ("k", "old"))
+
+    query = flows.topic_to_topic(
+        spark, broker, "a", "copy", checkpoint=f"{work}/cp", start={"earliest": True, "latest": True}
+    )
+    try:
+        query.processAllAvailable()
+        send(spark, broker, "a", ("k", "new"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert [r.value for r in topics.inspect_topics(spark, broker, ["copy"]).collect()] == ["new"]

@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,7 +48,10 @@ def test_aggregate_goes_on_from_state(events, expr):
 
 
 def test_python_aggregate_needs_whole_input(spark, events):
-    spark.udf.register("pmax", F.pandas_udf(lambda v: float(v.max()), "double", functionType=F.PandasUDFType.GROUPED_AGG))
+    def largest(values: pd.Series) -> float:
+        return float(values.max())
+
+    spark.udf.register("pmax", F.pandas_udf(largest, "double"))
     assert growth(project(events, ["pmax(value) AS m"])) == "whole"
 
 
