@@ -129,8 +129,8 @@ SQL["op7_lines"] = f"""
 
 SQL["op8_top_k"] = """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vec FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
         SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_dot_product(q.vec, r.vec)::BIGINT AS score
         FROM v q JOIN v r ON len(q.vec) = len(r.vec) AND q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
