@@ -27,8 +27,8 @@ LEAF = 64
 BASE = 1.15
 #: Rows of a chunk and queries of a group at most (about: chunks are dealt by hash), and pivots.
 CHUNK_ROWS, GROUP_ROWS, PIVOTS = 8192, 1024, 32
-#: Chunks that a group searches first.
-FIRST = 2
+#: Chunks that a group searches first, and shares that the chunks' summaries are dealt into to meet the groups'.
+FIRST, SHARES = 2, 32
 
 
 class Node:
@@ -256,11 +256,13 @@ def _of_length(rows: DataFrame, dim: int, k: int, every: int, chunk_rows: int, g
         least = zeros.orderBy("vec_id").limit(k + 1)
         return _top(asked.select(F.col("id").alias("query_id")).join(least, F.col("query_id") != F.col("vec_id")), k).select("query_id", "rank", "vec_id", "score")
     q_balls, r_balls = _balls(groups, dim, "q"), _balls(chunks, dim, "r")
-    # Groups and chunks are few for the rows they hold; what is compared here is one row of each.
+    # Groups and chunks are few for the rows they hold; what meets here is one row of each, a share of the
+    # chunks at a time.
     product = F.aggregate(F.zip_with("q_mean", "r_mean", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     limit = product + F.col("q_radius") * F.col("r_norm") + F.col("r_radius") * F.col("q_norm") + F.col("q_radius") * F.col("r_radius")
     limit = limit + F.abs(limit) * 1e-9 + F.col("q_norm") * F.col("r_norm") * 1e-9 + 1e-6
-    met = q_balls.withColumn("one", F.lit(1)).join(r_balls.withColumn("one", F.lit(1)), "one")
+    asking = q_balls.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    met = asking.join(r_balls.withColumn("share", F.pmod(F.xxhash64("r_chunk"), F.lit(SHARES)).cast("int")), "share")
     pairs = written(met.select("q_chunk", "r_chunk", product.alias("near"), limit.alias("limit")), f"{path}/pairs")
     nearest = Window.partitionBy("q_chunk").orderBy(F.desc("near"), "r_chunk")
     first = pairs.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= FIRST).select("q_chunk", "r_chunk")
