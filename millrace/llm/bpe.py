@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts
+from millrace.llm.common import column, in_tasks, raw_texts, with_row
 
 #: Bytes of text whose new pieces are merged together, and pieces that a task remembers.
 BLOCK_BYTES, REMEMBERED = 32_000_000, 400_000
@@ -245,8 +245,7 @@ def encoded(docs: DataFrame, vocabulary: Broadcast, text_column: str = "text", b
     rows = docs.select(
         F.struct(*[column(c) for c in docs.columns if c != text_column]).alias("row"), column(text_column).alias("text")
     )
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, ids binary"
-    return in_tasks(rows, _encoder(vocabulary, kind), schema)
+    return in_tasks(rows, _encoder(vocabulary, kind), with_row(rows, "ids binary"))
 
 
 def _encoder(vocabulary: Broadcast, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
@@ -275,7 +274,7 @@ def decoded(rows: DataFrame, vocabulary: Broadcast) -> DataFrame:
             texts = [_decode(decode(x, tokens)) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("ids"), pa.array(texts, pa.string())], ["row", "ids", "text"])
 
-    return in_tasks(rows.select("row", "ids"), run, f"row {rows.schema['row'].dataType.simpleString()}, ids binary, text string")
+    return in_tasks(rows.select("row", "ids"), run, with_row(rows, "ids binary, text string"))
 
 
 def digests(

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.sources import storage
 
@@ -34,10 +35,17 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_tasks(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def with_row(df: DataFrame, others: str) -> StructType:
+    """A schema of the frame's column ``row`` as it is, and others."""
+    return StructType([df.schema["row"], *StructType.fromDDL(others).fields])
+
+
 def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A text column as UTF-8 bytes."""
     return batch.column(name).cast(pa.binary()).to_pylist()

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts, work_dir, written
+from millrace.llm.common import column, in_tasks, raw_texts, with_row, work_dir, written
 from millrace.sources import storage
 
 #: Words are runs of digits, lower-cased ASCII letters and all non-ASCII characters.
@@ -206,8 +206,7 @@ def overlaps(
         F.array().cast(SPANS).alias("spans"),
         F.array().cast("array<string>").alias("item_ids"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, text string, n_words bigint, spans {SPANS}, item_ids array<string>"
+    schema = with_row(rows, f"text string, n_words bigint, spans {SPANS}, item_ids array<string>")
     blocks = _blocks(items, item_column, item_text_column, block_bytes)
     path = before = None
     for k, (block, is_last) in enumerate(blocks):
@@ -270,7 +269,6 @@ def decontaminated(
     """
     found = overlaps(docs, items, window, text_column, keep_text=True, **named)
     found = found.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
-    schema = f"row {found.schema['row'].dataType.simpleString()}, text string, changed boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +277,7 @@ def decontaminated(
             text = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("row"), text, pa.array(list(map(bool, spans)))], ["row", "text", "changed"])
 
-    rows = in_tasks(found.select("row", "text", "spans"), run, schema)
+    rows = in_tasks(found.select("row", "text", "spans"), run, with_row(found, "text string, changed boolean"))
     new = {text_column: F.col("text")}
     if "n_chars" in docs.columns and text_column != "n_chars":
         own = F.col("row").getField("n_chars")

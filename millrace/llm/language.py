@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, plain_words, raw_texts
+from millrace.llm.common import column, in_tasks, plain_words, raw_texts, with_row
 
 LEVEL = 6
 #: A text is compressed in pieces of so many bytes, so that the dictionary counts all the way.
@@ -113,8 +113,7 @@ def predicted(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     rows = docs.select(
         F.struct(*[column(c) for c in docs.columns if c != text_column]).alias("row"), column(text_column).alias("text")
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    return in_tasks(rows, run, f"row {kind}, text string, lang_pred string, score double, accepted boolean")
+    return in_tasks(rows, run, with_row(rows, "text string, lang_pred string, score double, accepted boolean"))
 
 
 def _best(sizer: Sizer, text: bytes | None) -> tuple[str, float]:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts, work_dir, written
+from millrace.llm.common import column, in_tasks, raw_texts, with_row, work_dir, written
 
 #: Registers of a sketch as a power of two, and its standard error.
 SKETCH_BITS = 10
@@ -75,8 +75,7 @@ def deduplicated(docs: DataFrame, min_sites: int = 6, site: str = "source") -> D
     gone = gone.groupBy(key(F.col("doc_id"), F.col("text_hash")).alias("_key")).agg(F.collect_set("pos").alias("gone"))
     rows = docs.select(F.struct(*[column(c) for c in docs.columns if c != "text"]).alias("row"), column("text").alias("text"))
     marked = rows.withColumn("_key", key(F.col("row.doc_id"), F.xxhash64("text"))).join(gone, "_key", "left")
-    kind = rows.schema["row"].dataType.simpleString()
-    return in_tasks(marked.select("row", "text", "gone"), _without, f"row {kind}, text string, n_lines bigint, n_removed bigint")
+    return in_tasks(marked.select("row", "text", "gone"), _without, with_row(rows, "text string, n_lines bigint, n_removed bigint"))
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:

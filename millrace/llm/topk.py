@@ -144,16 +144,17 @@ def _below(node: Node) -> np.ndarray:
 
 
 def _vectors(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """``id`` and ``vec`` (integers) of the rows that take part."""
+    """``id``, ``dim`` and ``vec`` (integers; one zero where there is no component) of the rows that take part."""
     values = F.transform(column(vector_column), lambda x: x.cast("double"))
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(column(id_column).cast("bigint").alias("id"), values.alias("values"))
     rows = rows.where(F.col("id").isNotNull() & F.col("values").isNotNull()).where(F.forall("values", fine))
-    return rows.select("id", F.transform("values", lambda x: F.floor(x * scale)).alias("vec"))
+    whole = F.transform("values", lambda x: F.floor(x * scale))
+    return rows.select("id", F.size("values").alias("dim"), F.when(F.size("values") > 0, whole).otherwise(F.array(F.lit(0).cast("bigint"))).alias("vec"))
 
 
 def _matrix(batch_column: pa.Array, dim: int) -> np.ndarray:
-    return batch_column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return batch_column.flatten().to_numpy(zero_copy_only=False).reshape(len(batch_column), dim)
 
 
 def _dealt(rows: DataFrame, dim: int, pivots: np.ndarray, size: int) -> DataFrame:
@@ -228,10 +229,10 @@ def top_k(
     """
     spark = vectors.sparkSession
     path = work_dir(spark, "topk")
-    rows = written(_vectors(vectors, id_column, vector_column, scale).withColumn("dim", F.size("vec")), f"{path}/rows")
+    rows = written(_vectors(vectors, id_column, vector_column, scale), f"{path}/rows")
     out = []
     for dim in sorted(r["dim"] for r in rows.select("dim").distinct().collect()):
-        found = _of_length(rows.where(F.col("dim") == dim).select("id", "vec"), dim, k, every, chunk_rows, group_rows, f"{path}/{dim}")
+        found = _of_length(rows.where(F.col("dim") == dim).select("id", "vec"), max(dim, 1), k, every, chunk_rows, group_rows, f"{path}/{dim}")
         if found is not None:
             out.append(found)
     if not out:
@@ -251,10 +252,6 @@ def _of_length(rows: DataFrame, dim: int, k: int, every: int, chunk_rows: int, g
     groups = written(_dealt(asked, dim, pivots[: max(1, PIVOTS // 8)], group_rows), f"{path}/groups")
     if groups.isEmpty():
         return None
-    if dim == 0:  # nothing to tell rows apart by: every score is zero
-        zeros = rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("bigint").alias("score"))
-        least = zeros.orderBy("vec_id").limit(k + 1)
-        return _top(asked.select(F.col("id").alias("query_id")).join(least, F.col("query_id") != F.col("vec_id")), k).select("query_id", "rank", "vec_id", "score")
     q_balls, r_balls = _balls(groups, dim, "q"), _balls(chunks, dim, "r")
     # Groups and chunks are few for the rows they hold; what meets here is one row of each, a share of the
     # chunks at a time.

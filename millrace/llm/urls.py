@@ -44,7 +44,9 @@ def _labelled() -> list[tuple[str, int]]:
         for k, name in enumerate(names):
             for prefix, top, path in (turns[k % 10], turns[(k + 7) % 10]):
                 out.append((f"https://{prefix}{name}.example.{top}/{path.format(100 + k)}", label))
-    return out
+    # Short hosts and texts without a host say little, and little is no reason to block.
+    short = [(f"http://{letter}.{top}{path}", 0) for letter in "abcdefghijklmnopqrstuvwxyz" for top, path in (("net", ""), ("org", "/FR/"), ("com", "/1"))]
+    return out + short + [(text, 0) for text in ("", "about", "mailto", "none", "unknown", "://", "local", "file", "page", "null")]
 
 
 LABELLED = _labelled()

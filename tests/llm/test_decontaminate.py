@@ -1,0 +1,71 @@
+import hashlib
+import random
+
+import pytest
+
+from millrace.llm import decontaminate
+from tests.llm import brute
+
+ITEM = "item_id long, text string"
+
+
+def items():
+    draw = random.Random(4)
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zé9", "Eta"]
+    own = [(k, " ".join(draw.choice(words) for _ in range(draw.choice([3, 5, 9, 10, 11, 14, 25])))) for k in range(30)]
+    return [*own, (40, None), (41, ""), (42, "--- !!"), (7, own[7][1]), (50, own[3][1].upper()), (60, "sole")]
+
+
+def documents():
+    draw, own = random.Random(5), [t for _, t in items() if t]
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zé9", "eta", "other", "more"]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 80))) for _ in range(60)]
+    texts += [f"{draw.choice(texts)}, {x.replace(' ', ' - ')}. {draw.choice(texts)}" for x in own]
+    return [*texts, "", None, "\x00 \x7f", "alpha " * 30_000]
+
+
+@pytest.mark.parametrize("block_bytes", [4_000_000, 300])
+def test_report_equals_brute_force(spark, block_bytes):
+    frame = brute.awkward(spark, documents())
+    known = spark.createDataFrame(items(), ITEM)
+    expected = []
+    for i, text in frame.select("doc_id", "text").collect():
+        words, hit, found = brute.hits(text, items())
+        sha = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        expected.append((str(i), len(words), len(hit), len(found), sha, bool(hit)))
+    rows = decontaminate.report(frame, known, block_bytes=block_bytes).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in rows) == sorted(expected)
+
+
+def test_spans_are_cut_and_covered_documents_go(spark):
+    long = " ".join(f"w{k}" for k in range(14))
+    filler = " ".join(f"own{k}" for k in range(40))
+    docs = [(1, f"{filler}. {long.upper()}, {filler}!", None, None, 9), (2, f"few {long}", None, None, 9), (3, filler, None, None, 9), (4, None, None, None, None)]
+    frame = spark.createDataFrame(docs, brute.DOCUMENT)
+    left = {r["doc_id"]: r for r in decontaminate.decontaminated(frame, spark.createDataFrame([(1, long)], ITEM)).collect()}
+    assert set(left) == {1, 3, 4}
+    assert left[1]["text"] == f"{filler}. , {filler}!" and left[1]["n_chars"] == len(left[1]["text"])
+    assert left[3]["text"] == filler and left[3]["n_chars"] == 9 and left[4]["text"] is None
+
+
+def test_columns_and_rows_are_kept(spark):
+    frame = brute.awkward(spark, documents())
+    left = decontaminate.decontaminated(frame, spark.createDataFrame(items(), ITEM))
+    assert left.dtypes == frame.dtypes
+    expected = sorted(str((i, t)) for i, t in frame.select("doc_id", "text").collect() if t is None or brute.without_hits(t, items()) == t)
+    unchanged = {str((i, t)) for i, t in left.select("doc_id", "text").collect()}
+    assert set(expected) <= unchanged
+
+
+def test_empty_tables(spark):
+    docs, none = spark.createDataFrame([], brute.DOCUMENT), spark.createDataFrame([], ITEM)
+    some = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    assert decontaminate.report(docs, spark.createDataFrame(items(), ITEM)).collect() == []
+    assert [tuple(r)[1:4] for r in decontaminate.report(some, none).collect()] == [(2, 0, 0)]
+    assert decontaminate.decontaminated(some, none).collect() == some.collect()
+
+
+def test_null_item_ids_hit_without_a_name(spark):
+    known = spark.createDataFrame([(None, "some words")], ITEM)
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
+    assert [tuple(r)[1:4] for r in decontaminate.report(docs, known).collect()] == [(3, 2, 0)]
