@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import column, in_tasks, raw_texts, with_row
 
 #: Bytes of text whose new pieces are merged together, and pieces that a task remembers.
-BLOCK_BYTES, REMEMBERED = 32_000_000, 400_000
+BLOCK_BYTES, REMEMBERED = 6_000_000, 250_000
 NONE = np.int64(1 << 40)
 #: The pattern that ``Vocabulary.split`` knows, and its contractions.
 COMMON_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
