@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 
 from millrace.sources import storage
 
-#: Columns of the ``documents`` table.
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 1000
 
 
 def column(name: str) -> Column:
@@ -38,6 +38,13 @@ def written(df: DataFrame, path: str) -> DataFrame:
 def in_tasks(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
+    """``mapInArrow``, in batches of few enough rows that long texts fit in a worker's memory.
+
+    The session's limit of rows a batch is lowered to ``BATCH_ROWS``, if it is higher: Spark reads it as a task starts.
+    """
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(limit)) <= BATCH_ROWS:
+        conf.set(limit, str(BATCH_ROWS))
     return df.mapInArrow(function, schema)
 
 
