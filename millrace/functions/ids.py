@@ -1,31 +1,23 @@
-"""Identifiers and stamps given to catalog rows."""
+"""Names given to rows: what the row is, then one random id."""
 
 from __future__ import annotations
 
-import secrets
-from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def new_id(prefix: str | None = None) -> str:
-    """``prefix-<uuid4>-<32 hex digits>``; without a prefix the leading part is left out."""
-    body = f"{uuid4()}-{secrets.token_hex(16)}"
-    return body if prefix is None else f"{prefix}-{body}"
+def new_id(kind: str) -> str:
+    """``kind-<random id>``."""
+    return f"{kind}-{uuid4()}"
 
 
 def new_table_id() -> str:
-    """Table ids are valid SQL names: underscores only."""
-    return "table_" + new_id().replace("-", "_")
+    """A new table's id, which is a valid SQL name as it stands."""
+    return f"table_{uuid4().hex}"
 
 
-def now_text() -> str:
-    """Current UTC time as text with nine fractional digits, the last three always zero."""
-    return datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ", timespec="microseconds") + "000"
-
-
-def row_id(prefix: str) -> Column:
-    """A fresh id for every row, in the same shape as :func:`new_id`."""
-    return F.concat_ws("-", F.lit(prefix), F.expr("uuid()"), F.expr("replace(uuid(), '-', '')"))
+def row_id(kind: str) -> Column:
+    """A fresh id for every row, of the same form as :func:`new_id`."""
+    return F.concat(F.lit(f"{kind}-"), F.uuid())

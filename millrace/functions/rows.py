@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_TEXT = "\\N"
+# How quoted text is written and read: outer spaces are part of a value.
+QUOTED = {"nullValue": NULL_TEXT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def by_position(df: DataFrame) -> DataFrame:
@@ -24,7 +26,9 @@ def cast_all_to_string(df: DataFrame) -> DataFrame:
 def _line(columns: list[str], quoted: bool) -> Column:
     texts = [F.col(c).cast("string").alias(c) for c in columns]
     if quoted:
-        return F.to_csv(F.struct(*texts), {"nullValue": NULL_TEXT})
+        line = F.to_csv(F.struct(*texts), QUOTED)
+        broken = F.raise_error(F.lit("a quoted line cannot hold a line break"))
+        return F.when(line.rlike("[\r\n]"), broken).otherwise(line)
     return F.concat_ws(",", *texts)
 
 
@@ -33,8 +37,9 @@ def encode_rows(df: DataFrame, *, quoted: bool = False) -> DataFrame:
 
     The default joins the columns as they are: NULLs are left out, so later
     fields move left, and a comma inside a field is not protected.
-    ``quoted=True`` keeps NULLs apart from empty text and protects commas; scan
-    the result with ``quoted=True`` too.  Only ``value`` is returned, so no
+    ``quoted=True`` keeps NULLs apart from empty text and protects commas and
+    outer spaces; a value with a line break fails.  Scan the result with
+    ``quoted=True`` too.  Only ``value`` is returned, so no
     user column can act as a topic sink's routing column.
     """
     safe = by_position(df)

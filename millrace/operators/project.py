@@ -31,20 +31,26 @@ def project(df: DataFrame, exprs: Sequence[str] = (), where: str | Column | None
     return df.selectExpr(*exprs) if exprs else df
 
 
+def named(name: str) -> Column:
+    """The column of this very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def select_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns in the order asked for, or all of them."""
-    unknown = [c for c in columns if c not in df.columns]
+    """The named columns in the order asked for, or all of them; case does not matter, and names come as asked."""
+    known = {c.lower() for c in df.columns}
+    unknown = [c for c in columns if c.lower() not in known]
     if unknown:
         raise NoSuchColumnError(unknown)
-    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
+    return df.select(*[named(c).alias(c) for c in columns]) if columns else df
 
 
 def matches(
     *, equal: Mapping[str, Any] | None = None, null: Sequence[str] = (), either: Mapping[str, Any] | None = None
 ) -> Column:
     """All of ``equal`` hold, all of ``null`` are NULL, and any one of ``either`` holds."""
-    terms = [F.col(name) == F.lit(value) for name, value in (equal or {}).items()]
-    terms += [F.col(name).isNull() for name in null]
+    terms = [named(name) == F.lit(value) for name, value in (equal or {}).items()]
+    terms += [named(name).isNull() for name in null]
     if either:
-        terms.append(reduce(or_, [F.col(name) == F.lit(value) for name, value in either.items()]))
+        terms.append(reduce(or_, [named(name) == F.lit(value) for name, value in either.items()]))
     return reduce(and_, terms, F.lit(True))

@@ -9,10 +9,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.project import matches, select_columns
+from millrace.operators.project import matches, named, select_columns
 
 TOMBSTONE = "tombstone"
 
@@ -31,7 +31,7 @@ class TooManyRowsError(ValueError):
 
 def live_rows(df: DataFrame, tombstone: str = TOMBSTONE) -> DataFrame:
     """Rows that are not soft-deleted."""
-    return df.where(F.col(tombstone).isNull())
+    return df.where(named(tombstone).isNull())
 
 
 def get_by_key(df: DataFrame, value: Any, *, key: str = "id", tombstone: str = TOMBSTONE) -> DataFrame:
@@ -44,6 +44,18 @@ def list_children(df: DataFrame, parent: Any, *, parent_column: str, tombstone:
     return live_rows(df.where(matches(equal={parent_column: parent})), tombstone)
 
 
+def _reads(df: DataFrame, column: str, label: Any) -> Column:
+    """Whether the text of a column is ``label``.
+
+    A label that the column's type can hold is compared as such too, which
+    reaches the scan; one that it can't hold is no match, not an error.
+    """
+    text, kind = F.lit(str(label)), df.select(named(column)).schema[0].dataType
+    if kind.typeName() == "string":
+        return named(column) == text
+    return (named(column) == text.try_cast(kind)) & (named(column).cast("string") == text)
+
+
 def find_by_id_or_name(
     df: DataFrame,
     label: Any,
@@ -54,15 +66,15 @@ def find_by_id_or_name(
     name_column: str = "name",
     tombstone: str = TOMBSTONE,
 ) -> DataFrame:
-    """Live rows whose id or name is ``label``, within one parent if one is given."""
-    within = {parent_column: parent} if parent_column else None
-    return live_rows(df.where(matches(equal=within, either={id_column: label, name_column: label})), tombstone)
+    """Live rows whose id or name, as text, is ``label``, within one parent if one is given."""
+    within = matches(equal={parent_column: parent} if parent_column else None)
+    return live_rows(df.where(within & (_reads(df, id_column, label) | _reads(df, name_column, label))), tombstone)
 
 
 def _labelled(df: DataFrame, id_column: str, name_column: str, label: str) -> DataFrame:
     """Each row once for its id and once for its name, so that both match by equality."""
-    both = F.array_distinct(F.array(F.col(id_column).cast("string"), F.col(name_column).cast("string")))
-    return df.withColumn(label, F.explode(both)).where(F.col(label).isNotNull())
+    both = F.array_distinct(F.array(named(id_column).cast("string"), named(name_column).cast("string")))
+    return df.withColumn(label, F.explode(both)).where(named(label).isNotNull())
 
 
 def find_labels(
@@ -77,7 +89,7 @@ def find_labels(
 ) -> DataFrame:
     """:func:`find_by_id_or_name` for a whole column of ``(parent, label)`` requests."""
     found = _labelled(live_rows(df, tombstone), id_column, name_column, label_column)
-    return requests.select(parent_column, label_column).distinct().join(found, [parent_column, label_column])
+    return requests.select(named(parent_column), named(label_column)).distinct().join(found, [parent_column, label_column])
 
 
 def resolve_labels(
@@ -98,33 +110,34 @@ def resolve_labels(
     before the join: a name shared by very many rows reaches it as one row.
     """
     rows = live_rows(df, tombstone).select(
-        F.col(parent_column),
-        F.col(id_column).cast("string").alias("_id"),
-        F.col(name_column).cast("string").alias("_name"),
+        named(parent_column),
+        named(id_column).cast("string").alias("_id"),
+        named(name_column).cast("string").alias("_name"),
     )
-    by_id = rows.select(parent_column, F.col("_id").alias(label_column), F.lit(1).alias("_exact"))
+    by_id = rows.select(named(parent_column), F.col("_id").alias(label_column), F.lit(1).alias("_exact"))
     by_name = (
         # A row that has its id as its name counts once, by its id.
         rows.where("_name IS NOT NULL AND _name <> _id")
-        .groupBy(parent_column, F.col("_name").alias(label_column))
+        .groupBy(named(parent_column), F.col("_name").alias(label_column))
         .agg(F.count(F.lit(1)).alias("_named"), F.min("_id").alias("_first"))
     )
-    asked = requests.select(parent_column, label_column).distinct()
+    asked = requests.select(named(parent_column), named(label_column)).distinct()
     joined = asked.join(by_name, [parent_column, label_column], "left").join(by_id, [parent_column, label_column], "left")
-    exact, named = F.col("_exact").isNotNull(), F.coalesce("_named", F.lit(0))
-    outcome = F.when(exact | (named == 1), "found").when(named == 0, "missing").otherwise("ambiguous")
-    resolved = F.when(exact, F.col(label_column)).when(named == 1, F.col("_first"))
-    return joined.select(parent_column, label_column, resolved.alias("id"), outcome.alias("outcome"))
+    exact, count = F.col("_exact").isNotNull(), F.coalesce("_named", F.lit(0))
+    outcome = F.when(exact | (count == 1), "found").when(count == 0, "missing").otherwise("ambiguous")
+    resolved = F.when(exact, named(label_column)).when(count == 1, F.col("_first"))
+    return joined.select(named(parent_column), named(label_column), resolved.alias("id"), outcome.alias("outcome"))
 
 
 def resolve_id(df: DataFrame, label: str, *, id_column: str = "id", **find: Any) -> Any:
-    """The id that one id or name stands for; raises when there is none or no single one."""
+    """The stored id that one id or name stands for; raises when there is none or no single one."""
+    stored = named(id_column)
     summary = (
         find_by_id_or_name(df, label, id_column=id_column, **find)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.max(F.col(id_column).cast("string") == F.lit(str(label))).alias("exact"),
-            F.min(id_column).alias("only"),
+            F.max(F.when(stored.cast("string") == F.lit(str(label)), stored)).alias("exact"),
+            F.min(stored).alias("only"),
         )
         .first()
     )
@@ -132,8 +145,8 @@ def resolve_id(df: DataFrame, label: str, *, id_column: str = "id", **find: Any)
         raise NotFoundError(f"nothing is called {label}")
     if summary["n"] == 1:
         return summary["only"]
-    if summary["exact"]:
-        return label
+    if summary["exact"] is not None:
+        return summary["exact"]
     raise AmbiguousNameError(f"{label} names {summary['n']} rows")
 
 
@@ -156,9 +169,9 @@ def related_rows(
     """
 
     def tagged(frame: DataFrame, key: str, name: str) -> DataFrame:
-        return frame.select(F.col(key).alias(parent_as), F.lit(name).alias(group_as), "*")
+        return frame.select(named(key).alias(parent_as), F.lit(name).alias(group_as), "*")
 
-    keys = parents.select(F.col(parent_key).alias(parent_as))
+    keys = parents.select(named(parent_key).alias(parent_as))
     groups = [tagged(parents, parent_key, own)]
     for name, (frame, column) in children.items():
         groups.append(tagged(frame, column, name).join(keys, parent_as, "left_semi"))

@@ -7,6 +7,7 @@ their tombstone.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,15 +53,13 @@ CATALOG_TABLES: dict[str, list[SchemaColumn]] = {
 # What a flow does: fill a dataset from its topic, load a table, or fill an output topic.
 LANDING, LOAD, OUTPUT = "landing", "load", "output"
 
-# Every change to the catalog is a batch of one row; this many are folded together.
-COMPACT_AFTER = 64
 # Tries for a change that meets another process changing the catalog.
 WRITE_ATTEMPTS = 5
 
 
-def _now() -> str:
-    """The present as catalog rows store it; the zone keeps it right in any session time zone."""
-    return ids.now_text() + "Z"
+def _now() -> datetime:
+    """The present, with its zone: right in any session time zone."""
+    return datetime.now(timezone.utc)
 
 
 class Registered(NamedTuple):
@@ -212,7 +211,7 @@ class Catalog:
             start=start or {"group_id": dataset_id},
             **landing,
         )
-        self._put_flow(flow_id, LANDING, dataset_id, run_id=str(query.id))
+        self._put_flow(flow_id, LANDING, dataset_id, query=query)
         return Registered(dataset_id, flow_id, dataset_id, query)
 
     def register_table(
@@ -260,7 +259,7 @@ class Catalog:
             **options,
         )
         query = outcome if continuous else None
-        self._put_flow(flow_id, LOAD, dataset_id, table_id=table_id, run_id=str(query.id) if query else None)
+        self._put_flow(flow_id, LOAD, dataset_id, table_id=table_id, query=query)
         return Registered(table_id, flow_id, None, query)
 
     def register_dataset_output(
@@ -288,7 +287,7 @@ class Catalog:
             continuous=continuous,
             **options,
         )
-        self._put_flow(flow_id, OUTPUT, dataset_id, run_id=str(query.id) if query else None)
+        self._put_flow(flow_id, OUTPUT, dataset_id, query=query)
         return Registered(dataset_id, flow_id, flow_id, query)
 
     def register_table_output(
@@ -317,7 +316,7 @@ class Catalog:
 
     def _put(self, into: str, /, *, absent_only: bool = False, **values: Any) -> None:
         # The range keeps the one row free of Python tasks.
-        row = self.spark.range(1).select(*[F.lit(v).cast("string").alias(c) for c, v in values.items()])
+        row = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
         table = self._table(into)
         write = table.insert_if_absent if absent_only else table.upsert
         for attempt in range(WRITE_ATTEMPTS):
@@ -327,23 +326,37 @@ class Catalog:
             except ConcurrentWriteError:
                 if attempt + 1 == WRITE_ATTEMPTS:
                     raise
-        if table.pending() >= COMPACT_AFTER:
-            table.compact()
-            table.vacuum(keep_previous=True)
+
+    def compact(self) -> None:
+        """Fold the changes to the catalog, a batch of one row each; nothing is deleted."""
+        for name in CATALOG_TABLES:
+            self._table(name).compact()
 
     def _put_flow(
-        self, flow_id: str, kind: str, dataset_id: str, *, table_id: str | None = None, run_id: str | None = None
+        self,
+        flow_id: str,
+        kind: str,
+        dataset_id: str,
+        *,
+        table_id: str | None = None,
+        query: StreamingQuery | None = None,
     ) -> None:
-        self._put(
-            "dataflows",
-            id=flow_id,
-            flow_kind=kind,
-            run_id=run_id,
-            dataset_id=dataset_id,
-            data_table_id=table_id,
-            timestamp=_now(),
-            tombstone=None,
-        )
+        try:
+            self._put(
+                "dataflows",
+                id=flow_id,
+                flow_kind=kind,
+                run_id=str(query.id) if query else None,
+                dataset_id=dataset_id,
+                data_table_id=table_id,
+                timestamp=_now(),
+                tombstone=None,
+            )
+        except Exception:
+            # A flow that the catalog doesn't know must not run on.
+            if query:
+                query.stop()
+            raise
 
     def _put_schema(self, id: str, schema: Sequence[Mapping[str, Any]]) -> None:
         storage.put_text(self.spark, f"{self.root}/schemas/{id}", to_json(schema))

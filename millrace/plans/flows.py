@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions.rows import encode_rows
 from millrace.operators.project import project
 from millrace.sources.datasets import scan_dataset
-from millrace.sources.keyed_table import scan_table, upsert_table
+from millrace.sources.keyed_table import KeyedTable, upsert_table
 from millrace.sources.topics import Broker, read_topic_stream, write_topic, write_topic_stream
 from millrace.streaming.continuous import stream_to_table, stream_to_topic
 from millrace.streaming.landing import land_stream
@@ -122,11 +122,24 @@ def table_to_topic(
     broker: Broker,
     topic: str,
     *,
-    where: str | Column | None = None,
+    where: str | Column | Sequence[str | Column] | None = None,
     quoted: bool = False,
 ) -> None:
-    """Send every row of a keyed table, encoded, to a topic."""
-    write_topic(encode_rows(project(scan_table(spark, table_path), (), where), quoted=quoted), broker, topic)
+    """Send every row of a keyed table, encoded, to a topic.
+
+    ``where`` is a condition or a list of them.  Those on key columns alone
+    reach the scans; the others see the merged rows.
+    """
+    table = KeyedTable.open(spark, table_path)
+    conditions = [where] if isinstance(where, (str, Column)) else list(where or ())
+    on_keys: list[str | Column] = []
+    others: list[str | Column] = []
+    for condition in conditions:
+        (on_keys if table.is_on_keys(condition) else others).append(condition)
+    rows = table.read(on_keys)
+    for condition in others:
+        rows = rows.where(condition)
+    write_topic(encode_rows(rows, quoted=quoted), broker, topic)
 
 
 def need_expressions(exprs: Sequence[str]) -> None:

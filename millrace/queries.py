@@ -397,6 +397,19 @@ def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related.live_rows(_soft_deleted(spark, sf_dir, path).read()).drop("tombstone")
 
 
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
+def soft_delete_sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions in a table that orders its changes, with a base below them."""
+    events = table(spark, sf_dir, "events")
+    columns = _tombstoned(events).select("event_id", "user_id", "event_type", "ts", "tombstone")
+    schema = from_struct(columns.schema, ["event_id"])
+    target = KeyedTable.create(spark, workspace(spark), schema, sequence_by=["ts"], partial_updates=True)
+    target.upsert(columns.drop("tombstone"))
+    target.compact()
+    target.soft_delete(events.where("event_type = 'error'"), moment=F.col("ts"))
+    return related.live_rows(target.read()).drop("tombstone", "ts")
+
+
 @query(
     """SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' THEN ts END AS tombstone FROM events""",
     name="dump",
@@ -479,6 +492,14 @@ def find_one_by_id_or_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey")
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey::varchar = 'Customer#000000007' OR c_name = 'Customer#000000007'")
+def find_by_name_numeric_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name that is no number, asked of rows whose ids are numbers."""
+    customers = table(spark, sf_dir, "customer").withColumn("tombstone", F.lit(None).cast("timestamp"))
+    found = related.find_by_id_or_name(customers, "Customer#000000007", id_column="c_custkey", name_column="c_name")
+    return found.select("c_custkey", "c_name")
+
+
 @query(
     f"""WITH {_ORDER_LABELS},
     counted AS (SELECT parent, label, count(*) AS n, max((id = label)::int) AS exact, min(id) AS single
@@ -548,7 +569,7 @@ def outputs_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_well_formed FROM events")
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = "^event-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}-[0-9a-f]{32}$"
+    shape = "^event-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
     return (
         table(spark, sf_dir, "events")
         .select(row_id("event").alias("id"))
@@ -642,26 +663,18 @@ def topic_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT 'events' AS topic, (user_id % 4)::int AS "partition", event_id AS "offset", user_id::varchar AS key,
-        {EVENT_LINE} AS value FROM events
-    UNION ALL SELECT 'orders', (o_custkey % 4)::int, o_orderkey, o_custkey::varchar,
+    f"""SELECT 'events' AS topic, user_id::varchar AS key, {EVENT_LINE} AS value FROM events
+    UNION ALL SELECT 'orders', o_custkey::varchar,
         concat_ws(',', o_orderkey::varchar, o_custkey::varchar, o_orderstatus, o_totalprice::varchar,
             o_orderdate::varchar, o_orderpriority) FROM orders""",
     name="inspect_topics",
 )
 def topics_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several topics; partitions and offsets are a real broker's to give."""
     broker = DirectoryBroker(f"{workspace(spark)}/topics")
-    for name, offset, key in [("events", "event_id", "user_id"), ("orders", "o_orderkey", "o_custkey")]:
-        rows = table(spark, sf_dir, name)
-        line = F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns])
-        records = rows.select(
-            F.col(key).cast("string").alias("key"),
-            line.alias("value"),
-            (F.col(key) % 4).cast("int").alias("partition"),
-            F.col(offset).alias("offset"),
-        )
-        broker.seed(records, name)
-    return inspect_topics(spark, broker, ["events", "orders"])
+    for name, key in [("events", "user_id"), ("orders", "o_custkey")]:
+        publish_keyed(table(spark, sf_dir, name), broker, name, key)
+    return inspect_topics(spark, broker, ["events", "orders"]).select("topic", "key", "value")
 
 
 @query(

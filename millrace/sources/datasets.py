@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.rows import NULL_TEXT
+from millrace.functions.rows import QUOTED
 from millrace.functions.schema import to_struct
 
 CORRUPT = "_corrupt_record"
+# A file stream passes over files that are older than this by the newest file it
+# has seen.  A century keeps them all, as the batch scan does.
+KEEP_ALL_FILES = "36500d"
 
 
 def dataset_struct(schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrupt: bool = False) -> T.StructType:
@@ -33,11 +36,7 @@ def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, bucket: str | N
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if quoted:
-        reader = (
-            reader.option("nullValue", NULL_TEXT)
-            .option("ignoreLeadingWhiteSpace", "false")
-            .option("ignoreTrailingWhiteSpace", "false")
-        )
+        reader = reader.options(**QUOTED)
     # A directory filled by a streaming file sink carries that sink's log of
     # committed files.  Spark honours it when given the directory itself, as
     # here and not as a glob, so files of failed attempts stay unread.
@@ -85,7 +84,10 @@ def scan_dataset_stream(
     """The same scan as a stream that reads each new file once.
 
     ``options`` reach the file source, for example ``maxBytesPerTrigger`` or
-    ``maxFilesPerTrigger`` to bound one micro-batch over a large backlog.
+    ``maxFilesPerTrigger`` to bound one micro-batch over a large backlog.  No
+    file is passed over for its age, so a stream remembers every file it read;
+    ``maxFileAge`` bounds that where older files never arrive late.
     """
     reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt)
-    return _declared(reader.options(**(options or {})).csv(path), names, None)
+    reader = reader.option("maxFileAge", KEEP_ALL_FILES).options(**(options or {}))
+    return _declared(reader.csv(path), names, None)

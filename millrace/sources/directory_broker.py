@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources import storage
+from millrace.sources.datasets import KEEP_ALL_FILES
 from millrace.sources.topics import Broker
 
 # The columns of Spark's Kafka source that a record carries.
@@ -44,7 +45,7 @@ class DirectoryBroker(Broker):
         if start.get("startingOffsets") == "latest":
             raise ValueError("a directory has no latest offset to start from")
         loaded = [
-            reader.schema(RECORD_SCHEMA).parquet(self.topic_path(topic)).withColumn("topic", F.lit(topic))
+            reader.schema(RECORD_SCHEMA).option("maxFileAge", KEEP_ALL_FILES).parquet(self.topic_path(topic)).withColumn("topic", F.lit(topic))
             for topic in topics
         ]
         return reduce(DataFrame.unionByName, loaded)
@@ -58,9 +59,5 @@ class DirectoryBroker(Broker):
         self._bytes(records).write.mode("append").parquet(self.topic_path(topic))
 
     def write_stream(self, records: DataFrame, topic: str, writer_options: Mapping[str, Any]):
-        writer = self._bytes(records).writeStream.format("parquet").options(**writer_options)
-        return writer.option("path", self.topic_path(topic))
-
-    def seed(self, records: DataFrame, topic: str) -> None:
-        """Fill a topic with records that carry their own partition and offset."""
-        self._bytes(records).write.mode("append").parquet(self.topic_path(topic))
+        # Appended like any batch: the file sink's log would hide what others write to the topic.
+        return records.writeStream.foreachBatch(lambda batch, _: self.write(batch, topic)).options(**writer_options)

@@ -15,38 +15,37 @@ Layout below the table path::
 
     _table.json                 schema and table properties
     log/<n>-<attempt>/          rows of batch n
-    commits/<n>.<epoch>.<writer>.<attempt>
+    commits/<n>                 which folder, writer and epoch became batch n
     base/<version>-<attempt>/   compacted rows, bucketed by key
     versions/<version>.json     which base to read and the batches folded into it
 
-A batch counts once its commit marker exists.  One writer at a time per table
-is assumed; a second one that takes the same number is refused.
+A batch counts once its commit marker exists.  A marker is named by the number
+alone and never replaced, so of two writers that take one number the second
+goes on to the next, with the rows it has written: rows get their batch number
+from their folder when they are read.  On a file system whose rename replaces
+files, as a local disk's does, that rests on a check right before the rename.
 """
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any, NamedTuple
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.schema import check_schema, key_columns, required_columns, spark_type
 from millrace.operators.constraints import not_null
+from millrace.operators.project import named
 from millrace.sources import storage
 
-# A log of at most this many bytes on disk, in at most this many batches, is small
-# enough to be looked up from the base instead of merged with it.
-SMALL_LOG_BYTES = 8 << 20
-SMALL_LOG_BATCHES = 64
-# Compaction doubles the number of buckets while a bucket would hold more than
-# this on disk, up to Spark's own limit for a bucketed table.
-BUCKET_BYTES = 128 << 20
-MIN_BUCKETS = 8
-MAX_BUCKETS = 100_000
+# Buckets of a table's base where none are asked for.
+BUCKETS = 8
 
 
 class TableExistsError(ValueError):
@@ -62,27 +61,18 @@ class ColumnMismatchError(ValueError):
 
 
 class ConcurrentWriteError(RuntimeError):
-    """Another writer committed the same batch number."""
+    """Another writer changed the table while keys that it lacks were being written."""
 
 
 class Commit(NamedTuple):
     batch: int
     epoch: int
     writer: str
-    attempt: str
+    folder: str
 
     @property
     def marker(self) -> str:
-        return f"{self.batch:012d}.{self.epoch}.{self.writer}.{self.attempt}"
-
-    @property
-    def folder(self) -> str:
-        return f"{self.batch:012d}-{self.attempt}"
-
-    @classmethod
-    def parse(cls, marker: str) -> Commit:
-        batch, epoch, writer, attempt = marker.split(".")
-        return cls(int(batch), int(epoch), writer, attempt)
+        return f"{self.batch:012d}"
 
 
 class Snapshot(NamedTuple):
@@ -134,9 +124,9 @@ class KeyedTable:
 
         ``sequence_by`` names the columns that order changes to a key; without
         it the later batch wins.  ``partial_updates`` lets a write carry only
-        some columns.  ``buckets`` is the layout of the compacted base: choose
-        it so that one bucket fits a task, ``spark.sql.shuffle.partitions``
-        being the default.
+        some columns.  ``buckets`` is the layout of the compacted base, 8 by
+        default: choose it so that one bucket fits a task.  Only
+        ``compact(buckets=)`` changes it.
         """
         if cls.exists(spark, path):
             if if_not_exists:
@@ -151,7 +141,7 @@ class KeyedTable:
             "schema": checked,
             "sequence_by": list(sequence_by),
             "partial_updates": partial_updates,
-            "buckets": buckets or MIN_BUCKETS,
+            "buckets": buckets or BUCKETS,
         }
         storage.put_text(spark, f"{path}/_table.json", json.dumps(properties, indent=1))
         return cls(spark, path, properties)
@@ -178,19 +168,23 @@ class KeyedTable:
 
     # ---- writing
 
-    def upsert(self, df: DataFrame, *, writer: str | None = None, epoch: int = 0) -> bool:
+    def upsert(
+        self, df: DataFrame, *, writer: str | None = None, epoch: int = 0, changed_only: bool = False
+    ) -> bool:
         """Insert or replace rows by key.
 
         Columns are matched by name, case-insensitively, and cast.  A column
         that is missing keeps its old values if the table takes partial
         updates, and is an error otherwise; an explicit NULL overwrites.  A
-        NULL in a required column fails the write before anything is visible.
+        NULL in a required column fails the write before anything is visible,
+        and so does a new key without one.  ``changed_only`` compares the rows
+        with the table first and writes those that differ.
 
         ``writer`` and ``epoch`` name the write.  A named write that was
         committed before, or came before a committed one of the same writer, is
         not done again; the result says whether it was done.
         """
-        return self._append(df, writer, epoch, absent_only=False)
+        return self._append(df, writer, epoch, changed_only=changed_only)
 
     def insert_if_absent(self, df: DataFrame, *, writer: str | None = None, epoch: int = 0) -> bool:
         """Insert rows whose key the table does not have; the first by ``sequence_by`` wins within ``df``."""
@@ -203,28 +197,95 @@ class KeyedTable:
         """
         if not self.partial_updates:
             raise ColumnMismatchError("a soft delete needs a table with partial updates")
-        names = [F.col(f"`{k}`") for k in self.keys]
+        names = [named(k) for k in self.keys]
         marked = keys.select(*names, (F.current_timestamp() if moment is None else moment).alias(column))
-        return self.upsert(marked.join(self.read().select(*names), self.keys, "left_semi"))
-
-    def _append(self, df: DataFrame, writer: str | None, epoch: int, absent_only: bool) -> bool:
+        among = keys.select(*[named(k).cast(self._types[k]).alias(i) for k, i in zip(self.keys, self._k)])
+        held = self._present(self._state(self._snapshot(), among=among))
+        # A deletion is ordered like the row it deletes, and comes after it.
+        carried = held.select(*names, *[named(c) for c in self.sequence_by])
+        return self._append(marked.join(carried, self.keys), None, 0, held=True)
+
+    def _append(
+        self,
+        df: DataFrame,
+        writer: str | None,
+        epoch: int,
+        *,
+        absent_only: bool = False,
+        changed_only: bool = False,
+        held: bool = False,
+    ) -> bool:
         if writer is not None and (not writer or "." in writer or "/" in writer):
             raise ValueError("a writer name may not be empty and may hold no dot or slash")
         now = self._snapshot()
         if writer and epoch <= now.last_epoch(writer):
             return False
-        batch = now.last_batch + 1
-        rows = self._internal(df, batch)
+        rows = self._internal(df)
+        if not held:
+            rows = self._complete(rows, df.columns, now)
         if absent_only:
             rows = self._absent(rows, now)
-        commit = Commit(batch, epoch, writer or "", uuid4().hex[:12])
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/{commit.folder}")
-        if self._snapshot().last_batch >= batch:
-            raise ConcurrentWriteError(f"batch {batch} of {self.path} was committed by another writer")
-        storage.put_text(self.spark, f"{self.path}/commits/{commit.marker}", "")
-        return True
-
-    def _internal(self, df: DataFrame, batch: int) -> DataFrame:
+        if changed_only:
+            rows = self._changed(rows, now)
+        folder = f"{now.last_batch + 1:012d}-{uuid4().hex[:12]}"
+        rows.write.mode("overwrite").parquet(f"{self.path}/log/{folder}")
+        return self._commit(folder, writer or "", epoch, now.last_batch if absent_only else None)
+
+    def _commit(self, folder: str, writer: str, epoch: int, seen: int | None) -> bool:
+        """Make a written folder the next batch; ``seen`` is the last batch that its rows depend on."""
+        while True:
+            now = self._snapshot()
+            if writer and epoch <= now.last_epoch(writer):
+                return False
+            if seen is not None and now.last_batch != seen:
+                raise ConcurrentWriteError(f"{self.path} was changed by another writer")
+            commit = Commit(now.last_batch + 1, epoch, writer, folder)
+            try:
+                storage.put_text(self.spark, f"{self.path}/commits/{commit.marker}", json.dumps(commit[1:]))
+                return True
+            except FileExistsError:
+                if self._snapshot().last_batch < commit.batch:
+                    raise
+
+    def _complete(self, rows: DataFrame, given: Sequence[str], now: Snapshot) -> DataFrame:
+        """``rows``, failing where a required column is left out and the table lacks the key."""
+        have = {c.lower() for c in given}
+        omitted = [c for c in required_columns(self.schema) if c.lower() not in have]
+        if not omitted:
+            return rows
+        state = self._state(now, among=rows.select(*self._k))
+        if state is None:
+            marked = rows.withColumn("_held", F.lit(None).cast("boolean"))
+        else:
+            marked = rows.join(state.select(*self._k, F.lit(True).alias("_held")), self._k, "left")
+        key = F.when(not_null(F.col("_held"), ", ".join(omitted)), F.col(self._k[0]))
+        return marked.withColumn(self._k[0], key).select(*rows.columns)
+
+    def _changed(self, rows: DataFrame, now: Snapshot) -> DataFrame:
+        """The winner per key of ``rows``, where it differs from what the table holds."""
+        flags = [f"_s{i}" for i in range(len(self._v))] if self.partial_updates else []
+        if not self._v:
+            best = rows.distinct()
+        elif self.partial_updates:
+            led = [F.col(self._v[i]).alias(f"q{i}") for i in range(len(self.sequence_by))]
+            cells = [F.max(F.struct(*led, F.col(v).alias("v"))).alias(v) for v in self._v]
+            reduced = rows.groupBy(*self._k).agg(*cells, *[F.max(s).alias(s) for s in flags])
+            best = reduced.select(*self._k, *[F.col(f"{v}.v").alias(v) for v in self._v], *flags)
+        else:
+            reduced = rows.groupBy(*self._k).agg(F.max(F.struct(*self._v)).alias("row"))
+            best = reduced.select(*self._k, "row.*")
+        state = self._state(now)
+        if state is None:
+            return best
+        cells = [F.col(f"_g{i}.v" if self.partial_updates else f"_g0.{v}") for i, v in enumerate(self._v)]
+        current = state.select(*self._k, F.lit(True).alias("_held"), *[c.alias(f"_c{i}") for i, c in enumerate(cells)])
+        differs = F.col("_held").isNull()
+        for i, v in enumerate(self._v):
+            other = ~F.col(v).eqNullSafe(F.col(f"_c{i}"))
+            differs = differs | (F.col(flags[i]) & other if flags else other)
+        return best.join(current, self._k, "left").where(differs).select(*best.columns)
+
+    def _internal(self, df: DataFrame) -> DataFrame:
         given: dict[str, list[int]] = {}
         for i, name in enumerate(df.columns):
             given.setdefault(name.lower(), []).append(i)
@@ -245,7 +306,6 @@ class KeyedTable:
             return not_null(column, name) if name in required else column
 
         columns = [stored(c).alias(i) for c, i in zip([*self.keys, *self._values], [*self._k, *self._v])]
-        columns.append(F.lit(batch).cast("long").alias("_batch"))
         if self.partial_updates:
             columns += [F.lit(c.lower() in given).alias(f"_s{i}") for i, c in enumerate(self._values)]
         return safe.select(*columns)
@@ -253,23 +313,40 @@ class KeyedTable:
     def _absent(self, rows: DataFrame, now: Snapshot) -> DataFrame:
         """First row per key of ``rows``, without the keys that the table already holds."""
         carried = [c for c in rows.columns if c not in self._k]
-        first = rows.groupBy(*self._k).agg(F.min(F.struct(*carried)).alias("row")).select(*self._k, "row.*")
+        if carried:
+            first = rows.groupBy(*self._k).agg(F.min(F.struct(*carried)).alias("row")).select(*self._k, "row.*")
+        else:
+            first = rows.distinct()
         log, base = self._log(now), self._base(now)
         if log is not None:
-            first = first.join(log.select(*self._k).distinct(), self._k, "left_anti")
+            # Only the log's rows with one of these keys are reduced.
+            logged = log.select(*self._k).join(first.select(*self._k), self._k, "left_semi")
+            first = first.join(logged.distinct(), self._k, "left_anti")
         # The base holds each key once and is bucketed by key: this side is not shuffled.
         return first if base is None else first.join(base.select(*self._k), self._k, "left_anti")
 
     # ---- reading
 
-    def read(self, where: str | Column | None = None) -> DataFrame:
+    def read(self, where: str | Column | Sequence[str | Column] | None = None) -> DataFrame:
         """All columns in declared order, one row per key.
 
-        ``where`` may use key columns only.  It is applied below the merge, so
-        it reaches the Parquet scans and prunes buckets of the base.
+        ``where``, a condition or a list of them, may use key columns only.  It
+        is applied below the merge, so it reaches the Parquet scans and prunes
+        buckets of the base.
         """
-        now = self._snapshot()
-        state = self._state(now, where, small=self._log_is_small(now))
+        return self._present(self._state(self._snapshot(), where))
+
+    def is_on_keys(self, condition: str | Column) -> bool:
+        """Whether a condition can be told from the key columns alone."""
+        struct = T.StructType([T.StructField(k, self._types[k]) for k in self.keys])
+        empty = self.spark.createDataFrame([], struct)
+        try:
+            empty.where(condition)
+        except AnalysisException:
+            return False
+        return True
+
+    def _present(self, state: DataFrame | None) -> DataFrame:
         if state is None:
             return self.spark.createDataFrame([], self._struct())
         columns = {k: F.col(i) for k, i in zip(self.keys, self._k)}
@@ -283,7 +360,7 @@ class KeyedTable:
             raise ColumnMismatchError(f"give exactly the key columns {self.keys}")
         condition = F.lit(True)
         for name, value in key.items():
-            condition = condition & (F.col(f"`{name}`") == F.lit(value))
+            condition = condition & (named(name) == F.lit(value))
         return self.read(condition)
 
     def _struct(self) -> T.StructType:
@@ -301,55 +378,62 @@ class KeyedTable:
             for i, v in enumerate(self._v)
         ]
 
-    def _state(self, now: Snapshot, where: str | Column | None = None, *, small: bool = False) -> DataFrame | None:
+    def _state(
+        self,
+        now: Snapshot,
+        where: str | Column | Sequence[str | Column] | None = None,
+        among: DataFrame | None = None,
+    ) -> DataFrame | None:
         """One row per key: the keys and the winning structs, by position.
 
-        A small log is looked up from the base, which then streams through
-        without being sorted; keys that only the log has come from a second
-        scan of the base's key columns.  Any other log goes through one merge
-        join on the base's buckets.  In both, Spark chooses the join strategies.
+        The log is reduced to one row per key and then meets the base in a join
+        on the base's buckets, which are not shuffled.  ``among`` keeps the keys
+        that it has, on both sides, before they are reduced and joined.
         """
+
+        def kept(rows: DataFrame) -> DataFrame:
+            rows = self._restrict(rows, where)
+            return rows if among is None else rows.join(among, self._k, "left_semi")
+
         log, base = self._log(now), self._base(now)
         if log is not None:
             groups = self._groups()
             maxima = [F.max(value).alias(name) for name, value in groups] or [F.max("_batch").alias("_g")]
-            log = self._restrict(log, where).groupBy(*self._k).agg(*maxima)
+            log = kept(log).groupBy(*self._k).agg(*maxima)
         if base is not None:
-            base = self._restrict(base, where)
+            base = kept(base)
         if log is None or base is None:
             return base if log is None else log
         names = [c for c in base.columns if c not in self._k]
         newer = log.select(*self._k, *[F.col(n).alias(f"new_{n}") for n in names])
         merged = [F.greatest(F.col(n), F.col(f"new_{n}")).alias(n) for n in names]
-        if not small:
-            return base.join(newer, self._k, "full_outer").select(*self._k, *merged)
-        present = base.select(*self._k).join(log.select(*self._k), self._k, "left_semi")
-        fresh = log.join(present, self._k, "left_anti").select(*self._k, *names)
-        return base.join(newer, self._k, "left").select(*self._k, *merged).unionByName(fresh)
-
-    def _log_is_small(self, now: Snapshot) -> bool:
-        if not now.version["folder"] or len(now.commits) > SMALL_LOG_BATCHES:
-            return False
-        return self._log_bytes(now) <= SMALL_LOG_BYTES
-
-    def _log_bytes(self, now: Snapshot) -> int:
-        return sum(storage.size(self.spark, f"{self.path}/log/{c.folder}") for c in now.commits)
+        return base.join(newer, self._k, "full_outer").select(*self._k, *merged)
 
-    def _restrict(self, df: DataFrame, where: str | Column | None) -> DataFrame:
-        if where is None:
+    def _restrict(self, df: DataFrame, where: str | Column | Sequence[str | Column] | None) -> DataFrame:
+        conditions = [where] if isinstance(where, (str, Column)) else list(where or ())
+        if not conditions:
             return df
-        named = df.withColumnsRenamed(dict(zip(self._k, self.keys))).where(where)
-        return named.withColumnsRenamed(dict(zip(self.keys, self._k)))
+        renamed = df.withColumnsRenamed(dict(zip(self._k, self.keys)))
+        for condition in conditions:
+            renamed = renamed.where(condition)
+        return renamed.withColumnsRenamed(dict(zip(self.keys, self._k)))
 
     def _log(self, now: Snapshot) -> DataFrame | None:
         if not now.commits:
             return None
         folders = [f"{self.path}/log/{c.folder}" for c in now.commits]
-        return self.spark.read.schema(self._log_struct()).parquet(*folders)
+        rows = self.spark.read.schema(self._log_struct()).parquet(*folders)
+        folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+        batch = F.substring(folder, 1, 12).cast("long")
+        # Folders that met another writer's batch, and became a later one than they are named for.
+        moved = [c for c in now.commits if not c.folder.startswith(c.marker)]
+        if moved:
+            numbers = F.create_map(*[x for c in moved for x in (F.lit(c.folder), F.lit(c.batch).cast("long"))])
+            batch = F.coalesce(F.element_at(numbers, folder), batch)
+        return rows.withColumn("_batch", batch)
 
     def _log_struct(self) -> T.StructType:
         fields = [T.StructField(i, self._types[c]) for c, i in zip([*self.keys, *self._values], [*self._k, *self._v])]
-        fields.append(T.StructField("_batch", T.LongType()))
         if self.partial_updates:
             fields += [T.StructField(f"_s{i}", T.BooleanType()) for i in range(len(self._values))]
         return T.StructType(fields)
@@ -375,11 +459,14 @@ class KeyedTable:
         # between, its version covers some of them, and none is missed.
         markers = storage.names(self.spark, f"{self.path}/commits")
         versions = [n for n in storage.names(self.spark, f"{self.path}/versions") if not n.startswith(".")]
-        version = {"version": 0, "folded": -1, "folder": None, "writers": {}}
+        version = {"version": 0, "folded": -1, "folder": None, "writers": {}, "buckets": self.buckets, "history": []}
         if versions:
             version = json.loads(storage.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
-        commits = [Commit.parse(m) for m in markers if not m.startswith(".")]
-        return Snapshot(version, [c for c in commits if c.batch > version["folded"]])
+        numbers = [int(m) for m in markers if not m.startswith(".")]
+        return Snapshot(version, [self._commit_at(n) for n in numbers if n > version["folded"]])
+
+    def _commit_at(self, batch: int) -> Commit:
+        return Commit(batch, *json.loads(storage.read_text(self.spark, f"{self.path}/commits/{batch:012d}")))
 
     # ---- maintenance
 
@@ -388,12 +475,15 @@ class KeyedTable:
         return len(self._snapshot().commits)
 
     def compact(self, buckets: int | None = None) -> bool:
-        """Fold the log into a new bucketed base; readers switch to it when it is complete."""
+        """Fold the log into a new base; readers switch to it when it is complete.
+
+        ``buckets`` changes the number of buckets from here on.
+        """
         now = self._snapshot()
-        if not now.commits:
-            return False
         old = now.version
-        buckets = buckets or self._bucket_count(now)
+        buckets = buckets or old["buckets"]
+        if not now.commits and (not old["folder"] or buckets == old["buckets"]):
+            return False
         # A session of its own: its shuffles then have as many partitions as the
         # base has buckets, and writing the buckets needs no shuffle more.
         session = self.spark.newSession()
@@ -412,48 +502,46 @@ class KeyedTable:
         for c in now.commits:
             if c.writer:
                 writers[c.writer] = max(c.epoch, writers.get(c.writer, -1))
+        present = storage.names(self.spark, f"{self.path}/base")
+        history = [v for v in old["history"] if v["folder"] is None or v["folder"] in present]
         version = {
             "version": old["version"] + 1,
             "folded": now.last_batch,
             "folder": folder,
             "buckets": buckets,
             "writers": writers,
-            "previous": {"folder": old["folder"], "folded": old["folded"]},
+            "history": [*history, {"folder": old["folder"], "folded": old["folded"], "until": time.time()}],
             "ddl": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema),
         }
         name = f"{version['version']:08d}.json"
         storage.put_text(self.spark, f"{self.path}/versions/{name}", json.dumps(version))
+        if old["folder"]:
+            # Its files stay for frames that were planned on them.
+            self.spark.sql(f"DROP TABLE IF EXISTS {_base_name(old['folder'])}")
         return True
 
-    def _bucket_count(self, now: Snapshot) -> int:
-        """Buckets for the next base; doubling keeps each old bucket's rows in buckets of their own."""
-        stored, buckets = self._log_bytes(now), self.buckets
-        if now.version["folder"]:
-            stored += storage.size(self.spark, f"{self.path}/base/{now.version['folder']}")
-            buckets = max(buckets, now.version["buckets"])
-        while buckets * BUCKET_BYTES < stored and buckets * 2 <= MAX_BUCKETS:
-            buckets *= 2
-        return buckets
-
-    def vacuum(self, *, keep_previous: bool = False) -> None:
-        """Delete log batches and bases that the current version replaced.
-
-        Call it when no reader of an older version is left; ``keep_previous``
-        leaves what readers of the version before the current one need.
+    def vacuum(self, *, older_than: float = 0) -> None:
+        """Delete log batches and bases that were replaced more than ``older_than`` seconds ago.
+
+        Choose it longer than any reader or write takes; with 0, call it when none is under way.
         """
         version = self._snapshot().version
         if not version["folder"]:
             return
-        kept = {"folder": version["folder"], "folded": version["folded"]}
-        oldest = version["previous"] if keep_previous else kept
-        for marker in storage.names(self.spark, f"{self.path}/commits"):
-            if not marker.startswith(".") and Commit.parse(marker).batch <= oldest["folded"]:
-                storage.remove(self.spark, f"{self.path}/commits/{marker}")
+        limit = time.time() - older_than
+        kept = [version, *[v for v in version["history"] if v["until"] > limit]]
+        oldest = min(v["folded"] for v in kept)
+        numbers = [int(m) for m in storage.names(self.spark, f"{self.path}/commits") if not m.startswith(".")]
+        live = {self._commit_at(n).folder for n in numbers if n > oldest}
+        for number in numbers:
+            # The last number stays taken, so that no late writer can commit below it.
+            if number < oldest:
+                storage.remove(self.spark, f"{self.path}/commits/{number:012d}")
         for folder in storage.names(self.spark, f"{self.path}/log"):
-            if int(folder.split("-")[0]) <= oldest["folded"]:
+            if int(folder.split("-")[0]) <= oldest and folder not in live:
                 storage.remove(self.spark, f"{self.path}/log/{folder}")
         for folder in storage.names(self.spark, f"{self.path}/base"):
-            if folder not in (kept["folder"], oldest["folder"]):
+            if int(folder.split("-")[0]) <= version["version"] and folder not in [v["folder"] for v in kept]:
                 self.spark.sql(f"DROP TABLE IF EXISTS {_base_name(folder)}")
                 storage.remove(self.spark, f"{self.path}/base/{folder}")
 

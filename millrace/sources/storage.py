@@ -61,7 +61,7 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if not fs.rename(draft, target):
+    if fs.exists(target) or not fs.rename(draft, target):
         fs.delete(draft, False)
         raise FileExistsError(path)
 

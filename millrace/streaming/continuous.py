@@ -27,6 +27,11 @@ from millrace.sources.topics import Broker, write_topic, write_topic_stream
 # Pause in seconds between two rounds of a continuous load.
 RELOAD_SECONDS = 2
 DEFAULT_TRIGGER = {"processingTime": f"{RELOAD_SECONDS} seconds"}
+# Micro-batches after which a load folds the change log, and the age in seconds
+# at which it deletes what was replaced: the longest time that a reader or a
+# write may take beside it.
+COMPACT_EVERY = 60
+KEEP_SECONDS = 24 * 3600
 
 
 def _writer_name(spark: SparkSession, checkpoint: str) -> str:
@@ -54,7 +59,9 @@ def _follow(
     if how == WHOLE:
         # The new files only say that there is work; taking them in portions
         # would repeat the whole evaluation for each.
-        options = {k: v for k, v in options.items() if k.lower() not in ("maxfilespertrigger", "maxbytespertrigger")}
+        portions = [k for k in options if k.lower() in ("maxfilespertrigger", "maxbytespertrigger")]
+        if portions:
+            raise ValueError(f"the projection needs the whole dataset in each round: leave out {', '.join(portions)}")
     files = scan_dataset_stream(spark, dataset_path, schema, options=options, **scan)
     return how, files if how == WHOLE else project(files, exprs, where)
 
@@ -82,15 +89,17 @@ def stream_to_table(
     trigger: Mapping[str, Any] | None = None,
     source_options: Mapping[str, Any] | None = None,
     scan_options: Mapping[str, Any] | None = None,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
+    keep_seconds: float = KEEP_SECONDS,
     name: str | None = None,
 ) -> StreamingQuery:
     """Upsert the projection of every new file into a keyed table.
 
     A failed constraint fails its micro-batch and stops the query.  A replayed
-    micro-batch is recognised and not written twice.  ``compact_every`` folds
-    the change log after that many micro-batches and deletes what the version
-    before last still needed.
+    micro-batch is recognised and not written twice.  The change log is folded
+    after ``compact_every`` micro-batches (None: never), and what was replaced
+    more than ``keep_seconds`` ago is deleted.  A projection of the whole
+    dataset writes only the rows that differ from the table's.
     """
     scan = dict(scan_options or {})
     how, stream = _follow(spark, dataset_path, schema, exprs, where, source_options, scan)
@@ -101,10 +110,10 @@ def stream_to_table(
         if how == WHOLE:
             batch = project(scan_dataset(session, dataset_path, schema, **scan), exprs, where)
         table = KeyedTable.open(session, table_path)
-        table.upsert(batch, writer=writer_name, epoch=epoch)
+        table.upsert(batch, writer=writer_name, epoch=epoch, changed_only=how == WHOLE)
         if compact_every and (epoch + 1) % compact_every == 0:
             table.compact()
-            table.vacuum(keep_previous=True)
+            table.vacuum(older_than=keep_seconds)
 
     return _start(stream.writeStream.foreachBatch(load), how, checkpoint, trigger, name)
 

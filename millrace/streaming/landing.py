@@ -5,14 +5,41 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.sources import storage
+
 # Name format of the hourly directories, and the default age in
 # seconds at which a landing file is closed.
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 ROLL_SECONDS = 15
+# Fixed value: where Spark's file sink logs the micro-batches it has landed.
+SINK_LOG = "_spark_metadata"
+
+
+class LandingConflictError(ValueError):
+    """The directory was filled under another checkpoint, whose micro-batch numbers would hide the new ones."""
+
+
+def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Note which checkpoint fills a directory, and refuse any other.
+
+    The sink passes over a micro-batch whose number its log has.  A second
+    checkpoint, or a first one that was lost, counts from zero again.
+    """
+    note, asked = f"{path}/_landed_under", checkpoint.rstrip("/")
+    landed = storage.exists(spark, f"{path}/{SINK_LOG}")
+    if storage.exists(spark, note):
+        held = storage.read_text(spark, note)
+    else:
+        storage.put_text(spark, note, asked)
+        held = asked
+    if held != asked:
+        raise LandingConflictError(f"{path} is filled under checkpoint {held}, not {asked}: land in a directory of its own")
+    if landed and not storage.exists(spark, f"{checkpoint}/metadata"):
+        raise LandingConflictError(f"{path} was filled under a checkpoint that {checkpoint} no longer holds")
 
 
 def bucket_of(moment: Column, bucket_format: str = BUCKET_FORMAT) -> Column:
@@ -49,7 +76,8 @@ def land_stream(
     sets the age at which files roll (15 s by default); ``max_records_per_file``
     bounds their size.  There is no idle timer: an idle stream has no open file.
     Files count once the sink's log lists them, which makes landing exactly
-    once for scans of ``path``.
+    once for scans of ``path``.  A directory is filled under one checkpoint:
+    another one is refused with :class:`LandingConflictError`.
 
     Each task writes its own file in every directory it has lines for.  That is
     one directory at a time for processing time, but a backlog spread by
@@ -57,6 +85,7 @@ def land_stream(
     one directory is written by that many tasks, which also splits an hour that
     holds most of the lines.
     """
+    _claim(df.sparkSession, path, checkpoint)
     moment = F.current_timestamp() if time is None else time
     lines = df.select(F.col("value"), bucket_of(moment, bucket_format).alias(bucket))
     if files_per_bucket:

@@ -2,7 +2,6 @@ import pytest
 
 from millrace.operators.related import AmbiguousNameError, NotFoundError, to_records
 from millrace.functions.schema import SchemaError
-from millrace.plans import catalog as catalog_module
 from millrace.plans.catalog import Catalog
 from millrace.sources import topics
 from millrace.sources.directory_broker import DirectoryBroker
@@ -90,11 +89,12 @@ def test_names_within_a_dataset(spark, catalog):
         catalog.register_table_output(dataset, "nothing")
 
 
-def test_changes_are_folded_together(spark, catalog, monkeypatch):
-    monkeypatch.setattr(catalog_module, "COMPACT_AFTER", 3)
+def test_changes_are_folded_on_request(spark, catalog):
     ids = [catalog.register_dataset(f"d{n}", SCHEMA, land=False).id for n in range(4)]
     catalog.soft_delete("datasets", ids[0])
-    assert catalog._table("datasets").pending() == 2
+    assert catalog._table("datasets").pending() == 5
+    catalog.compact()
+    assert catalog._table("datasets").pending() == 0
     assert rows(catalog.datasets().select("name")) == [("d1",), ("d2",), ("d3",)]
     assert catalog.dump("datasets").count() == 4
 

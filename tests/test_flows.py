@@ -10,7 +10,7 @@ from millrace.sources import topics
 from millrace.sources.datasets import scan_dataset
 from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import KeyedTable, scan_table
-from millrace.streaming.landing import bucket_column
+from millrace.streaming.landing import LandingConflictError, bucket_column
 from tests.conftest import rows
 
 ONCE = {"availableNow": True}
@@ -247,10 +247,46 @@ def test_continuous_window_sees_all_history(spark, work):
         drop(f"{work}/ds", f"p{number}", text)
         drop(f"{work}/ds", f"q{number}", "")
         exprs = ["timestamp AS id", "row_number() OVER (ORDER BY timestamp) AS rank"]
-        query = run_table(spark, work, exprs, source_options={"maxFilesPerTrigger": 1})
+        query = run_table(spark, work, exprs)
         # Two new files, one evaluation.
         assert len([p for p in query.recentProgress if "addBatch" in p["durationMs"]]) == 1
     assert rows(scan_table(spark, f"{work}/t")) == [(1, 1), (2, 2), (3, 3)]
+    with pytest.raises(ValueError, match="maxFilesPerTrigger"):
+        run_table(spark, work, exprs, source_options={"maxFilesPerTrigger": 1})
+
+
+def test_late_files_are_read(spark, work):
+    KeyedTable.create(spark, f"{work}/t", TABLE)
+    drop(f"{work}/ds", "p0", "1,a,x\n")
+    run_table(spark, work, ["timestamp AS id", "my_column"])
+    drop(f"{work}/ds", "p1", "2,b,y\n")
+    os.utime(f"{work}/ds/p1", (1_000_000_000, 1_000_000_000))
+    run_table(spark, work, ["timestamp AS id", "my_column"])
+    assert rows(scan_table(spark, f"{work}/t")) == [(1, "a"), (2, "b")]
+
+
+def test_second_checkpoint_may_not_land_in_a_directory(spark, broker, work):
+    def land(topic, checkpoint):
+        flows.topic_to_dataset(spark, broker, topic, f"{work}/ds", checkpoint=checkpoint, trigger=ONCE).awaitTermination()
+
+    for topic in ("a", "b"):
+        topics.write_topic(spark.createDataFrame([(f"1,{topic},x",)], "value string"), broker, topic)
+    land("a", f"{work}/cp")
+    with pytest.raises(LandingConflictError, match="cp2"):
+        land("b", f"{work}/cp2")
+    os.rename(f"{work}/cp", f"{work}/lost")
+    with pytest.raises(LandingConflictError, match="no longer"):
+        land("a", f"{work}/cp")
+    assert rows(scan_dataset(spark, f"{work}/ds", SCHEMA)) == [(1, "a", "x")]
+
+
+def test_topics_take_batches_and_streams(spark, broker, work):
+    for topic in ("a", "b", "c"):
+        topics.write_topic(spark.createDataFrame([(topic,)], "value string"), broker, topic)
+    for topic in ("a", "b"):
+        flows.topic_to_topic(spark, broker, topic, "c", checkpoint=f"{work}/{topic}", trigger=ONCE).awaitTermination()
+    topics.write_topic(spark.createDataFrame([("d",)], "value string"), broker, "c")
+    assert values(spark, broker, "c") == ["a", "b", "c", "d"]
 
 
 def test_replayed_batch_changes_nothing(spark, work):
@@ -297,6 +333,8 @@ def test_outputs(spark, broker, work):
     assert values(spark, broker, "t") == ["1,a", "2"]
     flows.table_to_topic(spark, f"{work}/t", broker, "t1", where="my_column IS NOT NULL")
     assert values(spark, broker, "t1") == ["1,a"]
+    flows.table_to_topic(spark, f"{work}/t", broker, "t2", where=["id = 2", F.col("my_column").isNull()])
+    assert values(spark, broker, "t2") == ["2"]
 
 
 def test_continuous_output(spark, broker, work):

@@ -65,7 +65,5 @@ def test_quoted_round_trip(spark, data):
 
 
 def test_ids():
-    assert re.fullmatch(r"dataset-[0-9a-f-]{36}-[0-9a-f]{32}", ids.new_id("dataset"))
-    assert re.fullmatch(r"[0-9a-f-]{36}-[0-9a-f]{32}", ids.new_id())
-    assert re.fullmatch(r"table(_[0-9a-f]+){6}", ids.new_table_id())
-    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{6}000", ids.now_text())
+    assert re.fullmatch(r"dataset-[0-9a-f-]{36}", ids.new_id("dataset"))
+    assert re.fullmatch(r"table_[0-9a-f]{32}", ids.new_table_id())
