@@ -20,7 +20,6 @@ from millrace.plans.catalog import Catalog
 from millrace.plans.flows import dataset_to_table, dataset_to_topic, table_to_topic, topic_to_dataset, topic_to_topic
 from millrace.plans.shape import growth, is_row_local
 from millrace.sources.datasets import scan_dataset, scan_dataset_stream
-from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import KeyedTable, scan_table, upsert_table
 from millrace.sources.topics import (
     Broker,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.ids import row_id
 from millrace.functions.rows import cast_all_to_string, encode_rows, keyed_records
-from millrace.functions.schema import Column, from_struct
+from millrace.functions.schema import Column, check_schema, from_struct
 from millrace.operators import constraints, keyed, related
 from millrace.operators.project import matches, project, select_columns
 from millrace.plans import flows
@@ -124,6 +124,14 @@ def csv_scan_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_dataset(spark, path, schema, quoted=True))
 
 
+@query("SELECT * FROM events")
+def csv_scan_zone_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as they are written, in whatever zone the session is."""
+    path = workspace(spark)
+    schema = land(table(spark, sf_dir, "events"), path)
+    return scan_dataset(spark, path, schema, zone_free=True)
+
+
 @query("SELECT * FROM events")
 def stream_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
@@ -280,6 +288,27 @@ def constraint_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.check_constraints(rows, schema).nulls.select("event_id", "user_id")
 
 
+@query(
+    """SELECT 'null' AS problem, user_id, 1 AS n FROM events WHERE event_type = 'view'
+    UNION ALL SELECT 'duplicate', user_id, count(*) FROM events GROUP BY user_id HAVING count(*) > 1""",
+    name="check_schema",
+)
+def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What breaks a schema that was declared with its defaults left out: a column is nullable and no key."""
+    declared = check_schema(
+        [
+            {"column_name": "user_id", "column_type": "biginteger", "primary_key": True},
+            {"column_name": "kind", "column_type": "string"},
+            {"column_name": "value", "column_type": "double", "nullable": False},
+        ],
+        need_key=True,
+    )
+    exprs = ["user_id", "nullif(event_type, 'error') AS kind", "if(event_type = 'view', NULL, value) AS value"]
+    nulls, duplicates = constraints.check_constraints(project(table(spark, sf_dir, "events"), exprs), declared)
+    one = nulls.select(F.lit("null").alias("problem"), "user_id", F.lit(1).cast("bigint").alias("n"))
+    return one.unionByName(duplicates.select(F.lit("duplicate").alias("problem"), "user_id", "n"))
+
+
 # ---- keyed rows and tables
 
 
@@ -567,6 +596,69 @@ def outputs_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related.live_rows(outputs).select("id", "dataset_id")
 
 
+def _order_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """A catalog with a flow for every order; the priorities of a dataset's orders are its tables."""
+    root = workspace(spark)
+    catalog = Catalog(spark, root, DirectoryBroker(f"{root}/topics"))
+    orders = project(
+        table(spark, sf_dir, "orders"),
+        [
+            "concat('flow-', o_orderkey) AS id",
+            "concat('dataset-', o_custkey % 10) AS dataset_id",
+            "o_orderpriority AS name",
+            "concat('table_', o_custkey % 10, left(o_orderpriority, 1)) AS table_id",
+            "if(o_orderstatus = 'F', 'load', 'output') AS flow_kind",
+            "CAST(o_orderdate AS TIMESTAMP) AS timestamp",
+            "CAST(if(o_totalprice > 400000, o_orderdate, NULL) AS TIMESTAMP) AS tombstone",
+        ],
+    )
+    tables = orders.select(F.col("table_id").alias("id"), "dataset_id", "name").distinct()
+    upsert_table(spark, f"{root}/catalog/data_tables", tables)
+    of_table = F.when(F.col("name") != "1-URGENT", F.col("table_id")).alias("data_table_id")
+    flow_rows = orders.select("id", "flow_kind", "dataset_id", of_table, "timestamp", "tombstone")
+    upsert_table(spark, f"{root}/catalog/dataflows", flow_rows)
+    return catalog
+
+
+_LIVE_OUTPUT = "o_custkey % 10 = 7 AND o_orderstatus <> 'F' AND o_totalprice <= 400000"
+
+
+@query(
+    f"""SELECT 'flow-' || o_orderkey AS id, 'dataset-7' AS dataset_id, NULL::varchar AS data_table_id FROM orders
+    WHERE {_LIVE_OUTPUT} AND o_orderpriority = '1-URGENT'"""
+)
+def dataset_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_catalog(spark, sf_dir).dataset_outputs("dataset-7").drop("timestamp")
+
+
+@query(
+    f"""SELECT 'flow-' || o_orderkey AS id, 'dataset-7' AS dataset_id, 'table_72' AS data_table_id FROM orders
+    WHERE {_LIVE_OUTPUT} AND o_orderpriority = '2-HIGH'"""
+)
+def table_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_catalog(spark, sf_dir).table_outputs("dataset-7", "2-HIGH").drop("timestamp")
+
+
+@query(
+    """SELECT 'flow-' || o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'load' ELSE 'output' END AS flow_kind,
+        'dataset-' || (o_custkey % 10) AS dataset_id, o_totalprice > 400000 AS deleted FROM orders"""
+)
+def catalog_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _order_catalog(spark, sf_dir).dump("dataflows")
+    return rows.select("id", "flow_kind", "dataset_id", F.col("tombstone").isNotNull().alias("deleted"))
+
+
+@query(
+    "SELECT o_orderpriority, count(*) AS n, max(o_totalprice) AS most FROM orders GROUP BY o_orderpriority",
+    name="to_records",
+)
+def summary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary of all orders as records, and these as rows again."""
+    orders = table(spark, sf_dir, "orders").groupBy("o_orderpriority")
+    summary = orders.agg(F.count("*").alias("n"), F.max("o_totalprice").alias("most"))
+    return spark.createDataFrame(related.to_records(summary), summary.schema)
+
+
 @query("SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_well_formed FROM events")
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = "^event-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"

@@ -18,7 +18,9 @@ CORRUPT = "_corrupt_record"
 KEEP_ALL_FILES = "36500d"
 
 
-def dataset_struct(schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrupt: bool = False) -> T.StructType:
+def dataset_struct(
+    schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrupt: bool = False, zone_free: bool = False
+) -> T.StructType:
     """The columns that a scan of a dataset returns.
 
     All are nullable: text can always lack a value.  A scan through a sink's
@@ -26,11 +28,14 @@ def dataset_struct(schema: Iterable[Mapping[str, Any]] | T.StructType, *, corrup
     """
     struct = schema if isinstance(schema, T.StructType) else to_struct(schema)
     fields = [T.StructField(f.name, f.dataType) for f in struct]
+    if zone_free:
+        free = T.TimestampNTZType()
+        fields = [T.StructField(f.name, free) if isinstance(f.dataType, T.TimestampType) else f for f in fields]
     return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())] if corrupt else fields)
 
 
-def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, bucket: str | None = None):
-    struct = dataset_struct(schema, corrupt=corrupt)
+def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, zone_free: bool, bucket: str | None = None):
+    struct = dataset_struct(schema, corrupt=corrupt, zone_free=zone_free)
     names = struct.names
     reader = reader.schema(struct).option("header", "false").option("sep", ",").option("mode", mode)
     if corrupt:
@@ -57,17 +62,20 @@ def scan_dataset(
     mode: str = "PERMISSIVE",
     quoted: bool = False,
     corrupt: bool = False,
+    zone_free: bool = False,
     bucket: str | None = None,
 ) -> DataFrame:
     """Typed batch scan of every text file below ``path``.
 
     An empty field is NULL, a value that does not parse is NULL, a missing
     tail is NULL and an extra tail is dropped.  Names starting with ``.`` or
-    ``_`` are skipped.  ``corrupt=True`` adds ``_corrupt_record``.  ``bucket``
+    ``_`` are skipped.  ``corrupt=True`` adds ``_corrupt_record``.  A
+    ``timestamp`` is read in the session's zone; ``zone_free=True`` keeps it as
+    written, as a ``timestamp_ntz``.  ``bucket``
     names the landing directory column and exposes it, so that a filter on it
     leaves whole directories unread.
     """
-    reader, names = _csv(spark.read, schema, mode, quoted, corrupt, bucket)
+    reader, names = _csv(spark.read, schema, mode, quoted, corrupt, zone_free, bucket)
     return _declared(reader.csv(path), names, bucket)
 
 
@@ -79,6 +87,7 @@ def scan_dataset_stream(
     mode: str = "PERMISSIVE",
     quoted: bool = False,
     corrupt: bool = False,
+    zone_free: bool = False,
     options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """The same scan as a stream that reads each new file once.
@@ -88,6 +97,6 @@ def scan_dataset_stream(
     file is passed over for its age, so a stream remembers every file it read;
     ``maxFileAge`` bounds that where older files never arrive late.
     """
-    reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt)
+    reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt, zone_free)
     reader = reader.option("maxFileAge", KEEP_ALL_FILES).options(**(options or {}))
     return _declared(reader.csv(path), names, None)

@@ -44,8 +44,10 @@ from millrace.operators.constraints import not_null
 from millrace.operators.project import named
 from millrace.sources import storage
 
-# Buckets of a table's base where none are asked for.
+# Buckets of a table's base where none are asked for, and the catalog database
+# in which a base is declared.
 BUCKETS = 8
+DATABASE = "default"
 
 
 class TableExistsError(ValueError):
@@ -97,6 +99,7 @@ class KeyedTable:
         self.sequence_by = list(properties["sequence_by"])
         self.partial_updates = bool(properties["partial_updates"])
         self.buckets = int(properties["buckets"])
+        self.database = str(properties.get("database", DATABASE))
         self.keys = key_columns(self.schema)
         # Sequence columns lead the remaining ones, as they decide the order.
         others = [c["column_name"] for c in self.schema if c["column_name"] not in self.keys]
@@ -118,6 +121,7 @@ class KeyedTable:
         sequence_by: Sequence[str] = (),
         partial_updates: bool = False,
         buckets: int | None = None,
+        database: str = DATABASE,
         if_not_exists: bool = False,
     ) -> KeyedTable:
         """Create an empty table.
@@ -126,7 +130,8 @@ class KeyedTable:
         it the later batch wins.  ``partial_updates`` lets a write carry only
         some columns.  ``buckets`` is the layout of the compacted base, 8 by
         default: choose it so that one bucket fits a task.  Only
-        ``compact(buckets=)`` changes it.
+        ``compact(buckets=)`` changes it.  ``database``, which must exist, is
+        where a session declares the base, as only catalog tables have buckets.
         """
         if cls.exists(spark, path):
             if if_not_exists:
@@ -142,6 +147,7 @@ class KeyedTable:
             "sequence_by": list(sequence_by),
             "partial_updates": partial_updates,
             "buckets": buckets or BUCKETS,
+            "database": database,
         }
         storage.put_text(spark, f"{path}/_table.json", json.dumps(properties, indent=1))
         return cls(spark, path, properties)
@@ -162,8 +168,9 @@ class KeyedTable:
             if if_exists:
                 return
             raise NoSuchTableError(path)
+        table = cls.open(spark, path)
         for folder in storage.names(spark, f"{path}/base"):
-            spark.sql(f"DROP TABLE IF EXISTS {_base_name(folder)}")
+            spark.sql(f"DROP TABLE IF EXISTS {table._base_name(folder)}")
         storage.remove(spark, path)
 
     # ---- writing
@@ -442,7 +449,7 @@ class KeyedTable:
         version = now.version
         if not version["folder"]:
             return None
-        name = _base_name(version["folder"])
+        name = self._base_name(version["folder"])
         # Bucketing is a property of catalog tables; a session that has not
         # seen this version yet declares it over the existing files.
         keys = ", ".join(self._k)
@@ -496,7 +503,7 @@ class KeyedTable:
             .bucketBy(buckets, *self._k)
             .sortBy(*self._k)
             .option("path", f"{self.path}/base/{folder}")
-            .saveAsTable(_base_name(folder))
+            .saveAsTable(self._base_name(folder))
         )
         writers = dict(old["writers"])
         for c in now.commits:
@@ -517,7 +524,7 @@ class KeyedTable:
         storage.put_text(self.spark, f"{self.path}/versions/{name}", json.dumps(version))
         if old["folder"]:
             # Its files stay for frames that were planned on them.
-            self.spark.sql(f"DROP TABLE IF EXISTS {_base_name(old['folder'])}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(old['folder'])}")
         return True
 
     def vacuum(self, *, older_than: float = 0) -> None:
@@ -542,12 +549,11 @@ class KeyedTable:
                 storage.remove(self.spark, f"{self.path}/log/{folder}")
         for folder in storage.names(self.spark, f"{self.path}/base"):
             if int(folder.split("-")[0]) <= version["version"] and folder not in [v["folder"] for v in kept]:
-                self.spark.sql(f"DROP TABLE IF EXISTS {_base_name(folder)}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(folder)}")
                 storage.remove(self.spark, f"{self.path}/base/{folder}")
 
-
-def _base_name(folder: str) -> str:
-    return "default.millrace_base_" + folder.replace("-", "_")
+    def _base_name(self, folder: str) -> str:
+        return f"`{self.database}`.millrace_base_" + folder.replace("-", "_")
 
 
 def scan_table(spark: SparkSession, path: str, where: str | Column | None = None) -> DataFrame:

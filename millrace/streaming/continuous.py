@@ -53,7 +53,7 @@ def _follow(
 ) -> tuple[str, DataFrame]:
     """How the projection follows new files, and the stream that drives it."""
     # An empty frame is enough to analyze the projection; no file is listed for it.
-    empty = spark.createDataFrame([], dataset_struct(schema, corrupt=scan.get("corrupt", False)))
+    empty = spark.createDataFrame([], dataset_struct(schema, corrupt=scan.get("corrupt", False), zone_free=scan.get("zone_free", False)))
     how = growth(project(empty, exprs, where))
     options = dict(source_options or {})
     if how == WHOLE:

@@ -90,3 +90,18 @@ def test_all_six_types(spark, work):
 def test_empty_directory(spark, work):
     os.makedirs(work)
     assert scan_dataset(spark, work, SCHEMA).isEmpty()
+
+
+def test_zone_free_times_stay_as_written(spark, work):
+    os.makedirs(work)
+    with open(f"{work}/part", "w") as f:
+        f.write("1,2024-03-10 02:30:00.5\n2,later\n")
+    schema = [{"column_name": "id", "column_type": "integer"}, {"column_name": "at", "column_type": "timestamp"}]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        scan = scan_dataset(spark, work, schema, zone_free=True)
+        assert scan.schema["at"].dataType.typeName() == "timestamp_ntz"
+        assert rows(scan) == [(1, datetime(2024, 3, 10, 2, 30, 0, 500000)), (2, None)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

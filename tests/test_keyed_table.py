@@ -422,3 +422,19 @@ def test_random_writes_against_a_model(spark, work, partial, turn):
         if random_.random() < 0.3:
             table.vacuum()
     assert rows(table.read()) == merged_by_hand(writes, partial)
+
+
+def test_base_in_a_database_of_its_own(spark, work):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bases")
+    schema = [
+        {"column_name": "id", "column_type": "integer", "primary_key": True},
+        {"column_name": "v", "column_type": "string"},
+    ]
+    table = KeyedTable.create(spark, work, schema, buckets=2, database="bases")
+    for value in ("a", "b"):
+        table.upsert(spark.createDataFrame([(1, value)], "id int, v string"))
+        table.compact()
+    assert rows(scan_table(spark, work)) == [(1, "b")]
+    assert spark.sql("SHOW TABLES IN bases").count() == 1
+    KeyedTable.drop(spark, work)
+    assert spark.sql("SHOW TABLES IN bases").count() == 0
