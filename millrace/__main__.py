@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from millrace.functions.schema import Column, from_json
 from millrace.plans import flows
 from millrace.sources import storage
-from millrace.sources.keyed_table import KeyedTable
+from millrace.sources.keyed_table import DATABASE, KeyedTable
 from millrace.sources.topics import Broker
 
 
@@ -27,8 +27,24 @@ def _parser() -> argparse.ArgumentParser:
     def follow(command: argparse.ArgumentParser) -> None:
         command.add_argument("--continuous", action="store_true")
         command.add_argument("--checkpoint")
+        command.add_argument("--mode", choices=["PERMISSIVE", "DROPMALFORMED", "FAILFAST"], help="what becomes of lines that don't parse")
+        command.add_argument("--scan-quoted", action="store_true", help="the dataset is quoted text")
+        command.add_argument("--zone-free", action="store_true", help="read times as they are written")
+        options(command)
         trigger(command)
 
+    def options(command: argparse.ArgumentParser) -> None:
+        command.add_argument(
+            "--source-option", action="append", default=[], type=pair, metavar="NAME=VALUE",
+            help="an option of a stream's source, such as maxBytesPerTrigger or maxOffsetsPerTrigger",
+        )
+
+    def pair(text: str) -> tuple[str, str]:
+        name, sign, value = text.partition("=")
+        if not name or not sign:
+            raise argparse.ArgumentTypeError(f"not NAME=VALUE: {text}")
+        return name, value
+
     def trigger(command: argparse.ArgumentParser) -> None:
         command.add_argument("--interval", help="time between micro-batches, for example '15 seconds'")
         command.add_argument("--once", action="store_true", help="take what is there, then stop")
@@ -41,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--group-id")
         command.add_argument("--start-from-earliest", action="store_true")
         command.add_argument("--start-from-latest", action="store_true")
+        options(command)
         trigger(command)
 
     command = job("topic-to-dataset", "land a topic", "bootstrap-servers", "topic", "path", "checkpoint")
@@ -51,7 +68,10 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--sequence-by", action="append", default=[])
     command.add_argument("--buckets", type=int)
     command.add_argument("--partial-updates", action="store_true")
+    command.add_argument("--database", default=DATABASE, help="catalog database for the table's base")
     command = job("dataset-to-table", "load a table", "path", "schema-path", "table")
+    command.add_argument("--compact-every", type=int, help="micro-batches between two compactions; 0: none")
+    command.add_argument("--keep-seconds", type=float, help="age at which replaced files are deleted")
     select(command)
     follow(command)
     command = job("dataset-to-topic", "send a dataset", "path", "schema-path", "bootstrap-servers", "topic")
@@ -62,7 +82,9 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--where")
     command.add_argument("--quoted", action="store_true")
     command = job("compact-table", "fold a table's change log", "table")
-    command.add_argument("--vacuum", action="store_true", help="delete what the new version replaced")
+    command.add_argument("--buckets", type=int, help="buckets of the base from here on")
+    command.add_argument("--vacuum", action="store_true", help="delete what was replaced")
+    command.add_argument("--older-than", type=float, default=0, help="only what was replaced so many seconds ago")
     return parser
 
 
@@ -83,6 +105,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, b
     query = None
     if args.job in ("topic-to-dataset", "topic-to-topic"):
         start = {"earliest": args.start_from_earliest, "latest": args.start_from_latest, "group_id": args.group_id}
+        start["options"] = dict(args.source_option)
         common = {"checkpoint": args.checkpoint, "start": start, "trigger": timing()}
         if args.job == "topic-to-dataset":
             query = flows.topic_to_dataset(
@@ -98,12 +121,18 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, b
             sequence_by=args.sequence_by,
             buckets=args.buckets,
             partial_updates=args.partial_updates,
+            database=args.database,
         )
     elif args.job in ("dataset-to-table", "dataset-to-topic"):
-        common = {"where": args.where, "continuous": args.continuous}
+        scan = {"quoted": args.scan_quoted, "zone_free": args.zone_free} | ({"mode": args.mode} if args.mode else {})
+        common = {"where": args.where, "continuous": args.continuous, "scan_options": scan}
         if args.continuous:
-            common |= {"checkpoint": args.checkpoint, "trigger": timing()}
+            common |= {"checkpoint": args.checkpoint, "trigger": timing(), "source_options": dict(args.source_option)}
         if args.job == "dataset-to-table":
+            if args.continuous and args.compact_every is not None:
+                common["compact_every"] = args.compact_every
+            if args.continuous and args.keep_seconds is not None:
+                common["keep_seconds"] = args.keep_seconds
             query = flows.dataset_to_table(spark, args.path, schema(), args.table, args.select_expr, **common)
         else:
             query = flows.dataset_to_topic(
@@ -113,9 +142,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, b
         flows.table_to_topic(spark, args.table, broker, args.topic, where=args.where, quoted=args.quoted)
     else:
         table = KeyedTable.open(spark, args.table)
-        table.compact()
+        table.compact(args.buckets)
         if args.vacuum:
-            table.vacuum()
+            table.vacuum(older_than=args.older_than)
     if hasattr(query, "awaitTermination"):
         query.awaitTermination()
 

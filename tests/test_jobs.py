@@ -5,7 +5,7 @@ from millrace.__main__ import main
 from millrace.functions.schema import to_json
 from millrace.sources import storage, topics
 from millrace.sources.directory_broker import DirectoryBroker
-from millrace.sources.keyed_table import scan_table
+from millrace.sources.keyed_table import KeyedTable, scan_table
 from tests.conftest import rows
 from tests.test_flows import SCHEMA, TABLE, values
 
@@ -34,7 +34,11 @@ def test_jobs_in_a_row(spark: SparkSession, work):
     load += ["--select-expr", "timestamp AS id", "--select-expr", "my_column"]
     run("dataset-to-table", *load, "--where", "name = 'x'")
     assert rows(scan_table(spark, f"{work}/t")) == [(1, "a")]
-    run("dataset-to-table", *load, "--continuous", "--checkpoint", f"{work}/c3", "--once")
+    run(
+        "dataset-to-table", *load, "--continuous", "--checkpoint", f"{work}/c3", "--once", "--mode", "PERMISSIVE",
+        "--source-option", "maxFilesPerTrigger=1", "--compact-every", "1", "--keep-seconds", "60",
+    )
+    assert KeyedTable.open(spark, f"{work}/t").pending() == 0
     run("compact-table", "--table", f"{work}/t", "--vacuum")
     assert rows(scan_table(spark, f"{work}/t")) == [(1, "a"), (2, "b")]
     run("table-to-topic", "--table", f"{work}/t", *bootstrap, "--topic", "out", "--where", "id = 2")
@@ -51,3 +55,5 @@ def test_missing_options(spark):
         main(["dataset-to-table", "--path", "x"], spark)
     with pytest.raises(SystemExit):
         main([], spark)
+    with pytest.raises(SystemExit):
+        main(["dataset-to-table", "--path", "x", "--schema-path", "y", "--table", "z", "--source-option", "bare"], spark)
