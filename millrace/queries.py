@@ -105,7 +105,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT event_id, ts, user_id, nullif(event_type, 'view') AS event_type, value, "
-    "concat(props, ',\"', event_type, '\"') AS props FROM events"
+    "concat('  ', props, ',\"', event_type, '\" ') AS props FROM events"
 )
 def csv_scan_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
@@ -117,7 +117,7 @@ def csv_scan_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
             "user_id",
             "nullif(event_type, 'view') AS event_type",
             "value",
-            "concat(props, ',\"', event_type, '\"') AS props",
+            "concat('  ', props, ',\"', event_type, '\" ') AS props",
         ],
     )
     schema = land(rows, path, quoted=True)
