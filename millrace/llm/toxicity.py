@@ -23,10 +23,10 @@ from millrace.llm.common import column, in_tasks, plain_words, raw_texts
 BUCKETS, BEGINNINGS = 1 << 18, (3, 4, 5, 6, 7)
 #: Labelled documents that a model is fitted on, of either label at most.
 SAMPLE = 3000
-#: A feature takes part if it stands in this many sampled documents and in this share of those of a label, and if a
-#: G-test of its link with the label exceeds the value.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_G = 3, 0.01, 12.0
-STEPS, L2, RATE = 600, 1e-5, 0.5
+#: A feature takes part if it stands in this many sampled documents and in this share of those of a label, in a larger
+#: share of the toxic ones than of the others, and if a G-test of its link with the label exceeds the value.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_G = 3, 0.01, 3.0
+STEPS, L2, RATE = 600, 1e-4, 0.5
 #: A toxic document counts as so many others: missing one is worse than a false alarm.
 TOXIC_WEIGHT = 3.0
 #: Words a task remembers the features of.
@@ -98,7 +98,10 @@ def grades(features: list[Counter], toxic: np.ndarray) -> np.ndarray:
 
 
 def chosen(features: list[Counter], toxic: np.ndarray) -> list[int]:
-    """The features whose presence goes with the label, by a G-test."""
+    """The features whose presence goes with the toxic label, by a G-test.
+
+    Words that go with harmless documents say nothing against an insult beside them, so they are left out.
+    """
     seen = [Counter(), Counter()]
     for f, t in zip(features, toxic, strict=True):
         seen[int(t)].update(f.keys())
@@ -110,7 +113,8 @@ def chosen(features: list[Counter], toxic: np.ndarray) -> list[int]:
     for seen_, due in ((have, expected), (n - have, n - expected)):
         with np.errstate(divide="ignore", invalid="ignore"):
             g += 2 * np.where(seen_ > 0, seen_ * np.log(seen_ / due), 0).sum(axis=1)
-    common = (have / np.maximum(n, 1)).max(axis=1) >= LEAST_SHARE
+    share = have / np.maximum(n, 1)
+    common = (share.max(axis=1) >= LEAST_SHARE) & (share[:, 1] > share[:, 0])
     return [b for b, x, fine in zip(often, g, common, strict=True) if fine and x >= LEAST_G]
 
 
