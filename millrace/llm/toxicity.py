@@ -10,9 +10,11 @@ import math
 from collections import Counter
 from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,19 +82,21 @@ class Model:
         return sigmoid(score - self.thresholds)
 
 
-def grades(features: list[Counter], toxic: np.ndarray) -> np.ndarray:
+def grades(features: list[Counter], toxic: np.ndarray, totals: np.ndarray | None = None) -> np.ndarray:
     """Severity grades from toxic and other documents: 0 if not toxic, else 1, or 2 if more than half of
     the toxic documents hold a smaller share of telling features.
 
     A feature tells if it stands in 3 toxic documents or more, and in ten times as large a
-    share of the toxic documents as of the others.
+    share of the toxic documents as of the others.  ``totals`` are the numbers of features of the
+    documents, where ``features`` lacks some that can't tell.
     """
+    totals = [sum(f.values()) for f in features] if totals is None else totals
     seen = [Counter(), Counter()]
     for f, t in zip(features, toxic, strict=True):
         seen[int(t)].update(f.keys())
     n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
     telling = {b for b, k in seen[1].items() if k >= 3 and k / n[1] >= 10 * (seen[0][b] + 0.1) / n[0]}
-    dose = np.array([sum(k for b, k in f.items() if b in telling) / max(1, sum(f.values())) for f in features])
+    dose = np.array([sum(k for b, k in f.items() if b in telling) / max(1, n) for f, n in zip(features, totals, strict=True)])
     middle = np.median(dose[toxic == 1]) if (toxic == 1).any() else 0.0
     return np.where(toxic == 1, 1 + (dose > middle), 0)
 
@@ -181,11 +185,28 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("toxic"), at, times], ["doc_id", "toxic", "at", "times"])
 
     table = in_tasks(texts, run, "doc_id string, toxic int, at array<int>, times array<int>").toArrow().sort_by("doc_id")
-    features = [Counter(dict(zip(a, t, strict=True))) for a, t in zip(table["at"].to_pylist(), table["times"].to_pylist(), strict=True)]
     toxic = table["toxic"].to_numpy()
+    features, totals = _leaning(table, toxic)
     shares = {k: n[k] / max(1, int((toxic == k).sum())) for k in (0, 1)}
     weight = np.where(toxic == 1, TOXIC_WEIGHT * shares[1], shares[0])
-    return fit(features, grades(features, toxic), weight)
+    return fit(features, grades(features, toxic, totals), weight)
+
+
+def _leaning(table: pa.Table, toxic: np.ndarray) -> tuple[list[Counter], np.ndarray]:
+    """The features that can tell or be chosen, by document, and the number of all features of each document.
+
+    The others, most of them, stay out of the driver's objects.
+    """
+    at, times = (table[c].combine_chunks() for c in ("at", "times"))
+    row = np.repeat(np.arange(len(toxic)), pc.list_value_length(at).to_numpy(zero_copy_only=False))
+    at, times = at.flatten().to_numpy(), times.flatten().to_numpy()
+    totals = np.bincount(row, times, len(toxic))
+    seen = np.stack([np.bincount(at[toxic[row] == k], minlength=BUCKETS) for k in (0, 1)])
+    share = seen / np.maximum([[(toxic == 0).sum()], [(toxic == 1).sum()]], 1)
+    kept = ((seen.sum(axis=0) >= LEAST_DOCUMENTS) & (share[1] > share[0]))[at]
+    row, at, times = row[kept], at[kept], times[kept]
+    ends = np.searchsorted(row, np.arange(len(toxic) + 1))
+    return [Counter(dict(zip(at[a:b].tolist(), times[a:b].tolist(), strict=True))) for a, b in pairwise(ends)], totals
 
 
 def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
