@@ -1,13 +1,16 @@
-"""Licence scan: a trained classifier of paragraphs, confirmed by templates.
+"""Licence scan: passages that hold a template, judged by a trained classifier.
 
-A softmax regression on word n-grams gives each paragraph a probability for every licence family and
-for *unknown*; a temperature, set on paragraphs held out from the fit, calibrates them.  A
-prediction counts if one of the family's templates is contained in the paragraph, too.
+Consecutive lines are read as one run of words, so a statement may be wrapped.  Where most word pairs of a
+family's template stand close together is a passage.  A softmax regression on word n-grams gives it a
+probability for every licence family and for *unknown*; a temperature, set on paragraphs held out from the
+fit, calibrates them.
 """
 
 from __future__ import annotations
 
 import random
+from bisect import bisect_right
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -86,8 +89,13 @@ OTHERS = [
     "Students at MIT released a new version of the software.",
 ]
 UNKNOWN = "unknown"
-#: Least probability of a family, and least share of a template's word pairs that a paragraph must hold.
+#: Least probability of a family, and least share of a template's word pairs that a passage must hold.
 LEAST_PROBABILITY, LEAST_CONTAINED = 0.5, 0.8
+#: Words that a passage spans at most: so many times its template's, and so many more; and words of its lines that are
+#: judged with it on either side.
+REACH_TIMES, REACH_MORE, AROUND = 2, 16, 30
+#: Words that mark a comment at the head of a line; marks without letters are no words.
+COMMENT = {b"rem", b"dnl"}
 #: Paragraphs of the corpus that the unknown class is learned from, and characters of each.
 SAMPLE, SAMPLE_CHARS = 2000, 1000
 STEPS, L2, RATE = 250, 1e-4, 0.5
@@ -111,19 +119,63 @@ def grams(own: list[bytes], known: dict[bytes, int] | None = None) -> set:
     return {known[g] for g in (*own, *two, *three) if g in known}
 
 
-def pairs(own: list[bytes]) -> set[bytes]:
-    return set(map(b" ".join, zip(own, own[1:], strict=False))) or set(own)
+def pairs(own: list[bytes]) -> set[tuple[bytes, bytes]]:
+    return set(zip(own, own[1:], strict=False))
+
+
+@dataclass
+class Passage:
+    """Where a block of words holds a family's template: first and last word, and the share of its pairs."""
+
+    family: str
+    first: int
+    last: int
+    share: float
+
+
+class Template:
+    """The word pairs of a statement, those that a passage must hold, and the words that it may span."""
+
+    def __init__(self, family: str, own: list[bytes]) -> None:
+        self.family, self.pairs = family, pairs(own)
+        if not self.pairs:
+            raise ValueError(f"a template of {family!r} has less than two words")
+        self.least = max(1, int(np.ceil(LEAST_CONTAINED * len(self.pairs) - 1e-9)))
+        self.reach = REACH_TIMES * len(own) + REACH_MORE
+
+    def passages(self, hits: list[tuple[int, tuple[bytes, bytes]]]) -> Iterator[Passage]:
+        """The passages among the places of this template's pairs, in order; none overlaps the next."""
+        window: deque = deque()
+        times: Counter = Counter()
+        for k, (at, pair) in enumerate(hits):
+            window.append((at, pair))
+            times[pair] += 1
+            # Pairs out of reach go, and those at the front that come again.
+            while at + 2 - window[0][0] > self.reach or times[window[0][1]] > 1:
+                gone = window.popleft()[1]
+                times[gone] -= 1
+                if not times[gone]:
+                    del times[gone]
+            if len(times) < self.least:
+                continue
+            after = hits[k + 1] if k + 1 < len(hits) else None
+            if after and after[1] not in times and after[0] + 2 - window[0][0] <= self.reach:
+                continue  # the passage goes on
+            yield Passage(self.family, window[0][0], at + 1, len(times) / len(self.pairs))
+            window.clear()
+            times.clear()
 
 
 @dataclass
 class Model:
-    """Families (unknown first), number of each known n-gram, weights, and templates as sets of word pairs."""
+    """Families (unknown first), number of each known n-gram, weights, templates, and the templates of each word pair."""
 
     families: list[str]
     known: dict[bytes, int]
     weights: np.ndarray
     bias: np.ndarray
-    templates: dict[str, list[set[bytes]]]
+    templates: list[Template]
+    places: dict[tuple[bytes, bytes], list[int]]
     temperature: float = 1.0
 
     def probabilities(self, own: list[bytes]) -> np.ndarray:
@@ -132,20 +184,51 @@ class Model:
         p = np.exp(z - z.max())
         return p / p.sum()
 
-    def contained(self, family: str, own: list[bytes]) -> float:
-        """The largest share of a template's word pairs that the paragraph holds."""
-        have = pairs(own)
-        return max((len(t & have) / len(t) for t in self.templates.get(family, [])), default=0.0)
-
-    def judge(self, paragraph: bytes) -> tuple[str, float]:
-        """The confirmed family of a paragraph, or unknown, and its probability."""
-        own = words(paragraph)
-        p = self.probabilities(own)
-        # Of the families that are likely enough, the one whose template is contained best.
-        k = int(p.argmax())
-        if k == 0 or p[k] < LEAST_PROBABILITY or self.contained(self.families[k], own) < LEAST_CONTAINED:
-            return UNKNOWN, float(p[0])
-        return self.families[k], float(p[k])
+    def passages(self, own: list[bytes]) -> list[Passage]:
+        """Where the words of a block hold a template."""
+        hits: dict[int, list] = {}
+        for at, pair in [x for x in enumerate(zip(own, own[1:], strict=False)) if x[1] in self.places]:
+            for t in self.places[pair]:
+                hits.setdefault(t, []).append((at, pair))
+        return [p for t, of in hits.items() if len(of) >= self.templates[t].least for p in self.templates[t].passages(of)]
+
+    def judge(self, lines: list[list[bytes]]) -> list[tuple[str, float, range]]:
+        """The confirmed statements of a block, given as the words of its lines: family, probability, and lines."""
+        own = [w for line in lines for w in line]
+        starts = np.cumsum([0, *map(len, lines)]).tolist()
+        out = []
+        for passage in self.passages(own):
+            first, last = bisect_right(starts, passage.first) - 1, bisect_right(starts, passage.last) - 1
+            p = self.probabilities(own[max(starts[first], passage.first - AROUND) : min(starts[last + 1], passage.last + 1 + AROUND)])
+            k = int(p.argmax())
+            if self.families[k] == passage.family and p[k] >= LEAST_PROBABILITY:
+                out.append((passage.family, float(p[k]), range(first, last + 1)))
+        return out
+
+    def scan(self, lines: list[bytes]) -> tuple[set[str], int, float | None]:
+        """The confirmed families of a text's lines, on how many lines their statements stand, and the largest probability."""
+        families, n, most = set(), 0, None
+        for block in blocks(lines):
+            found = self.judge(block)
+            families |= {f for f, _, _ in found}
+            n += len({k for _, _, at in found for k in at})
+            most = max([p for _, p, _ in found] + ([] if most is None else [most]), default=None)
+        return families, n, most
+
+
+def blocks(lines: list[bytes]) -> Iterator[list[list[bytes]]]:
+    """The words of consecutive lines that have words, without those that mark a comment."""
+    block = []
+    for line in lines:
+        own = words(line)
+        own = own[1:] if own and own[0] in COMMENT else own
+        if own:
+            block.append(own)
+        elif block:
+            yield block
+            block = []
+    if block:
+        yield block
 
 
 def _examples(corpus: list[bytes], templates: dict[str, list[str]]) -> list[tuple[list[bytes], str]]:
@@ -209,8 +292,12 @@ def fit(corpus: list[bytes], templates: dict[str, list[str]] | None = None) -> M
         sum_b += by_b**2
         w -= RATE / np.sqrt(sum_w) * by_w
         bias -= RATE / np.sqrt(sum_b) * by_b
-    shapes = {f: [pairs(words(t.encode())) for t in own] for f, own in templates.items()}
-    model = Model(families, known, w, bias, shapes)
+    shapes = [Template(f, words(t.encode())) for f, own in templates.items() for t in own]
+    places: dict[tuple[bytes, bytes], list[int]] = {}
+    for k, shape in enumerate(shapes):
+        for pair in shape.pairs:
+            places.setdefault(pair, []).append(k)
+    model = Model(families, known, w, bias, shapes, places)
     model.temperature = _temperature(model, rest)
     return model
 
@@ -225,11 +312,6 @@ def _temperature(model: Model, held_out: list[tuple[list[bytes], str]]) -> float
     return min(np.geomspace(0.25, 8, 11), key=loss)
 
 
-def paragraphs(text: bytes | None) -> list[bytes]:
-    """The lines of a text that aren't blank."""
-    return [p for p in (text or b"").split(b"\n") if p.strip()]
-
-
 def learned(docs: DataFrame, sample: int = SAMPLE, text_column: str = "text") -> Model:
     """A model whose unknown class is learned from a bounded sample: about ``sample`` documents drawn by a hash of
     the text, and of each one paragraph of at most ``SAMPLE_CHARS`` characters."""
@@ -249,7 +331,8 @@ def scanned(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     """One row per document: ``doc_id``, ``licences`` (confirmed families, sorted, comma-joined; null if none),
     ``n_paragraphs``, ``n_licensed`` and ``confidence`` (the largest probability of a confirmed family; null if none).
 
-    Paragraphs are lines that aren't blank, whole; null and empty texts have none.  The model (bounded by its
+    Paragraphs are lines that aren't blank, whole; null and empty texts have none.  Licensed are those that a confirmed
+    statement stands on; it may go on over lines up to the next one without words.  The model (bounded by its
     sample) is broadcast; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -260,9 +343,9 @@ def scanned(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
         for batch in batches:
             rows = []
             for text in raw_texts(batch):
-                own = paragraphs(text)
-                judged = [x for x in map(model.judge, own) if x[0] != UNKNOWN]
-                rows.append((",".join(sorted({f for f, _ in judged})) or None, len(own), len(judged), max((p for _, p in judged), default=None)))
+                lines = (text or b"").split(b"\n")
+                families, n_licensed, confidence = model.scan(lines)
+                rows.append((",".join(sorted(families)) or None, sum(1 for x in lines if x.strip()), n_licensed, confidence))
             columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64()]
             arrays = [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]

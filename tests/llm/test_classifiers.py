@@ -71,6 +71,42 @@ def test_licences(spark):
     assert licenses.scanned(frame.limit(0), licenses.learned(frame.limit(0))).collect() == []
 
 
+WRAPPED = {
+    "mit": """MIT-style notice of the module
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+# 1. Redistributions of source code must retain the above notice.""",
+    "gpl": """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */""",
+    "mpl": """REM This Source Code Form is subject to the terms of the Mozilla Public
+REM License, v. 2.0. If a copy of the MPL was not distributed with this
+REM file, You can obtain one at the site of the foundation.""",
+}
+
+
+def test_licences_wrapped_over_lines(spark):
+    model = licenses.fit([t.encode() for t in brute.prose(40)])
+    for family, text in WRAPPED.items():
+        for ending in ("\n", "\r\n"):
+            families, n_licensed, _ = model.scan(text.replace("\n", ending).encode().split(b"\n"))
+            assert families == {family} and n_licensed >= 2
+    apart = "Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this software and associated documentation files"
+    assert model.scan(apart.encode().split(b"\n"))[0] == set()
+    frame = spark.createDataFrame(list(enumerate(WRAPPED.values())), "doc_id long, text string")
+    assert [r["licences"] for r in licenses.scanned(frame, model).orderBy("doc_id").collect()] == list(WRAPPED)
+
+
 def test_licences_of_the_documents_table(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     found = licenses.scanned(docs, licenses.learned(docs))
