@@ -1,7 +1,8 @@
 """Licence scan: passages that hold a template, judged by a trained classifier.
 
 Consecutive lines are read as one run of words, so a statement may be wrapped.  Where most word pairs of a
-family's template stand close together is a passage.  A softmax regression on word n-grams gives it a
+family's template stand close together is a passage, and where its licence is named after a lead (*released
+under the*), before *licensed* or as a heading.  A softmax regression on word n-grams gives it a
 probability for every licence family and for *unknown*; a temperature, set on paragraphs held out from the
 fit, calibrates them.
 """
@@ -28,31 +29,38 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
         "This project is released under the Apache License 2.0.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
     ],
     "mit": [
         "Released under the MIT License.",
         "This software is licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "SPDX-License-Identifier: MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Distributed under the GNU General Public License, version 2.",
+        "You should have received a copy of the GNU General Public License along with this program",
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
     ],
     "bsd": [
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at",
     ],
     "cc-by": [
         "Licensed under CC BY 4.0.",
@@ -68,13 +76,57 @@ TEMPLATES = {
     ],
     "public-domain": [
         "This work has been dedicated to the public domain under CC0 1.0.",
+        "This is free and unencumbered software released into the public domain.",
+        *(f"{x} the public domain" for x in ("released into", "released to", "dedicated to", "placed in", "placed into", "is in", "are in")),
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ],
     "proprietary": [
         "All rights reserved.",
+        "This software is proprietary and confidential.",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited.",
+        "may be reproduced in any form without permission",
+        "Confidential and proprietary information",
         "No part of this publication may be reproduced without the prior written permission of the publisher.",
     ],
 }
+#: Names of licences: what a heading consists of, or what follows a lead.  No family is of no concern here, but its
+#: names hide those of others that they contain.
+NAMES = {
+    "apache": ["Apache License", "Apache Software License", "Apache Public License", "Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Licensed under Apache", "License: Apache", "apache.org/licenses"],
+    "mit": ["MIT License", "MIT License (MIT)", "Expat License", "MIT/X11 License", "MIT-style License", "opensource.org/licenses/MIT"],
+    "gpl": ["GNU General Public License", "GNU GPL", "General Public License", "GNU General Public License v2.0", "GNU General Public License, version 3", "GPL License", "gnu.org/licenses/gpl"],
+    "lgpl": ["GNU Lesser General Public License", "GNU Library General Public License", "GNU LGPL", "Lesser General Public License", "Lesser GPL", "LGPL License", "GNU Lesser General Public License v2.1", "gnu.org/licenses/lgpl"],
+    "bsd": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "New BSD License", "Modified BSD License", "Simplified BSD License", "Revised BSD License", "2-Clause BSD License", "3-Clause BSD License", "BSD-style License", "opensource.org/licenses/BSD"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL License", "mozilla.org/MPL"],
+    "cc-by": ["Creative Commons Attribution", "Creative Commons Attribution 4.0 International", "Creative Commons Attribution License", "CC Attribution", "CC BY 4.0", "CC BY 3.0", "creativecommons.org/licenses/by"],
+    "cc-by-sa": ["Creative Commons Attribution-ShareAlike", "Creative Commons Attribution Share Alike", "CC Attribution-ShareAlike", "CC BY-SA", "Creative Commons BY-SA", "creativecommons.org/licenses/by-sa"],
+    "cc-by-nc": ["Creative Commons Attribution-NonCommercial", "Creative Commons Attribution Non Commercial", "CC Attribution-NonCommercial", "CC BY-NC", "Creative Commons BY-NC", "creativecommons.org/licenses/by-nc"],
+    "public-domain": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero", "Public Domain Dedication", "Unlicense", "creativecommons.org/publicdomain/zero"],
+    "": ["GNU Affero General Public License", "Affero General Public License", "GNU AGPL", "AGPL 3.0", "Creative Commons Attribution-NoDerivatives", "Creative Commons Attribution-NoDerivs", "CC BY-ND", "creativecommons.org/licenses/by-nd", "gnu.org/licenses/agpl"],
+}
+#: Names so short that they count after a lead only.
+SHORT_NAMES = {
+    "apache": ["Apache 2.0", "Apache-2.0", "Apache 2", "Apache v2", "ASL 2.0"],
+    "mit": ["MIT", "Expat", "MIT/X11", "X11"],
+    "gpl": ["GPL", "GPLv2", "GPLv3", "GPL v2", "GPL v3", "GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL 2", "GPL 3", "GPLv2+", "GPLv3+"],
+    "lgpl": ["LGPL", "LGPLv2", "LGPLv2.1", "LGPLv3", "LGPL-2.1", "LGPL-3.0", "LGPL-2.1-only", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "bsd": ["BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD 2-Clause", "BSD 3-Clause", "2-Clause BSD", "3-Clause BSD", "0BSD"],
+    "mpl": ["MPL", "MPL 2.0", "MPL-2.0", "MPLv2", "MPL 1.1"],
+    "cc-by": ["CC BY", "CC-BY-4.0", "CC-BY-3.0", "Creative Commons BY"],
+    "public-domain": ["CC0", "CC0-1.0"],
+    "": ["AGPL", "AGPLv3", "AGPL-3.0"],
+}
+#: Words that lead to a licence's name, and those that may stand between.
+LEADS = [
+    *(f"{x} under" for x in "licensed released distributed available published provided offered shared issued used covered made".split()),
+    "use under", "under the terms of", "under terms of", "subject to", "governed by", "covered by", "licensed as", "license", "licenses",
+    "license is", "license identifier", "licensed", "licensed with",
+]
+#: Those that count before names that aren't short, or that *license* follows.
+LONG_LEADS = ["under", "permitted by", "allowed by", "terms as"]
+BETWEEN = {w.encode() for w in "the a an terms of conditions either both any and or version v license s standard permissive open source free http https www see at 0 1 2 3 4".split()}
+#: Words of a heading's line at most that are neither a name's nor among those.
+HEADING = 3
 #: Sentences that speak of licences without stating one.
 OTHERS = [
     "He renewed his driving license in the general office under the bridge.",
@@ -84,6 +136,9 @@ OTHERS = [
     "Permission to use the hall is granted by the council on request.",
     "All seats are reserved and the rights of way are public.",
     "The library is open to the general public without a charge.",
+    "The history of the Apache License and of the GNU General Public License was the subject of the talk.",
+    "She read the MIT License before the course and had a question on the BSD License.",
+    "The Mozilla Public License was written by a lawyer, and Creative Commons Attribution came later.",
     "Copyright law and the terms of a license were the topic of the work.",
     "This program of the theatre is distributed free of charge.",
     "Students at MIT released a new version of the software.",
@@ -103,8 +158,8 @@ _WORD = bytes(c if 0x61 <= c <= 0x7A or 0x30 <= c <= 0x39 or c >= 0x80 else c +
 
 
 def words(paragraph: bytes) -> list[bytes]:
-    """Lower-cased runs of ASCII letters, digits and characters beyond ASCII."""
-    return paragraph.translate(_WORD).split()
+    """Lower-cased runs of ASCII letters, digits and characters beyond ASCII; *licence* becomes *license*."""
+    return paragraph.translate(_WORD).replace(b"licence", b"license").split()
 
 
 def grams(own: list[bytes], known: dict[bytes, int] | None = None) -> set:
@@ -166,6 +221,64 @@ class Template:
             times.clear()
 
 
+def _by_word(phrases: list[tuple[str, str, bool]], at: int) -> dict[bytes, list[tuple[list[bytes], str, bool]]]:
+    """Phrases, as words, by their first or last word; longer ones first."""
+    out: dict[bytes, list] = {}
+    for phrase, family, is_long in phrases:
+        own = words(phrase.encode())
+        out.setdefault(own[at], []).append((own, family, is_long))
+    return {w: sorted(of, key=lambda x: -len(x[0])) for w, of in out.items()}
+
+
+_NAMED = _by_word([(n, f, long) for long, of in ((True, NAMES), (False, SHORT_NAMES)) for f, own in of.items() for n in own], 0)
+_LEADS = _by_word([(x, "", x in LONG_LEADS) for x in [*LEADS, *LONG_LEADS]], -1)
+
+
+@dataclass
+class Name:
+    """A licence's name in a block: first word, the one after the last, family, and whether it may be a heading."""
+
+    first: int
+    end: int
+    family: str
+    is_long: bool
+
+
+def names(own: list[bytes]) -> list[Name]:
+    """The names in the words of a block, in order, the longest at each place; none overlaps the next."""
+    out, end = [], 0
+    for k in [k for k, w in enumerate(own) if w in _NAMED]:
+        of = next((x for x in _NAMED[own[k]] if own[k : k + len(x[0])] == x[0]), None) if k >= end else None
+        if of:
+            end = k + len(of[0])
+            out.append(Name(k, end, *of[1:]))
+    return out
+
+
+def _lead(own: list[bytes], end: int, is_long: bool) -> int:
+    """The words of the lead to a name that ends before a place; 0 if none does."""
+    of = _LEADS.get(own[end - 1], ()) if end else ()
+    return next((len(x) for x, _, for_long in of if is_long >= for_long and own[max(0, end - len(x)) : end] == x), 0)
+
+
+def stated(own: list[bytes], starts: list[int], found: list[Name]) -> Iterator[Passage]:
+    """The names that stand after a lead, before *licensed*, or as a heading.  ``starts`` has the first word of each line, and the end."""
+    covered = {k for name in found for k in range(name.first, name.end)}
+    for name in found:
+        is_long = name.is_long or own[name.end : name.end + 1] == [b"license"]
+        at = name.first
+        while not (lead := _lead(own, at, is_long)) and at and (own[at - 1] in BETWEEN or at - 1 in covered):
+            at -= 1
+        after = name.end
+        while after < len(own) and own[after] in BETWEEN:
+            after += 1
+        end = after + 1 if own[after : after + 1] == [b"licensed"] else name.end
+        line = bisect_right(starts, name.first) - 1
+        more = sum(k not in covered and own[k] not in BETWEEN for k in range(starts[line], starts[line + 1]))
+        if name.family and (lead or end > name.end or is_long and more <= HEADING):
+            yield Passage(name.family, at - lead if lead else name.first, end - 1, 1.0)
+
+
 @dataclass
 class Model:
     """Families (unknown first), number of each known n-gram, weights, templates, and the templates of each word pair."""
@@ -196,8 +309,12 @@ class Model:
         """The confirmed statements of a block, given as the words of its lines: family, probability, and lines."""
         own = [w for line in lines for w in line]
         starts = np.cumsum([0, *map(len, lines)]).tolist()
+        found = names(own)
+        held = [p for p in self.passages(own) if self._own_name(p, found)]
         out = []
-        for passage in self.passages(own):
+        for passage in [*held, *stated(own, starts, found)]:
+            if passage.family not in self.families:
+                continue
             first, last = bisect_right(starts, passage.first) - 1, bisect_right(starts, passage.last) - 1
             p = self.probabilities(own[max(starts[first], passage.first - AROUND) : min(starts[last + 1], passage.last + 1 + AROUND)])
             k = int(p.argmax())
@@ -205,6 +322,12 @@ class Model:
                 out.append((passage.family, float(p[k]), range(first, last + 1)))
         return out
 
+    @staticmethod
+    def _own_name(passage: Passage, found: list[Name]) -> bool:
+        """Whether a passage names its own family's licence, or none."""
+        inside = {n.family for n in found if n.first <= passage.last and n.end > passage.first}
+        return not inside or passage.family in inside
+
     def scan(self, lines: list[bytes]) -> tuple[set[str], int, float | None]:
         """The confirmed families of a text's lines, on how many lines their statements stand, and the largest probability."""
         families, n, most = set(), 0, None
@@ -250,6 +373,12 @@ def _examples(corpus: list[bytes], templates: dict[str, list[str]]) -> list[tupl
                 elif k % 3 == 2:
                     kept = [*kept, *around[cut:][:30]]
                 out.append((kept, family))
+    for is_long, of in ((True, NAMES), (False, SHORT_NAMES)):
+        for family, own in of.items():
+            for base in [words(n.encode()) for n in own for _ in range(12)] if not family or family in templates else []:
+                lead = [] if is_long and draw.random() < 0.3 else words(f"{draw.choice(LEADS)} {draw.choice(['', 'the'])}".encode())
+                before, after = (draw.choice(filler)[: draw.choice([0, 0, 4, 30])] for _ in range(2))
+                out.append(([*before, *lead, *base, *after], family or UNKNOWN))
     for own in [*plain, *(words(x.encode()) for x in OTHERS for _ in range(12))]:
         have = pairs(own)
         if not any(len(t & have) >= 0.5 * len(t) for shape in shapes.values() for t in shape):

@@ -107,6 +107,58 @@ def test_licences_wrapped_over_lines(spark):
     assert [r["licences"] for r in licenses.scanned(frame, model).orderBy("doc_id").collect()] == list(WRAPPED)
 
 
+#: Statements that no template spells out, by family; none is for sentences that state no licence.
+STATEMENTS = {
+    "apache": ["Licensed under Apache License 2.0.", "The code is made available under the terms of Apache 2.0.", "Apache License\nVersion 2.0, January 2004", "This crate is distributed under the Apache-2.0 license."],
+    "mit": ["Licensed under the MIT License.", "The MIT License (MIT)", "MIT License", "This project is MIT licensed.", "Code and examples are available under an MIT-style license.", "License: MIT"],
+    "gpl": ["Licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License v3.0.", "SPDX-License-Identifier: GPL-2.0-only", "You may use this script under the terms of the GPLv2 or later.", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"],
+    "lgpl": ["This work is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only", "The bindings are released under the LGPL.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
+    "bsd": ["SPDX-License-Identifier: BSD-2-Clause", "BSD 2-Clause License", "Use of this source code is governed by a BSD-style license that can be found in the file.", "Distributed under the New BSD License."],
+    "mpl": ["Licensed under the Mozilla Public License 2.0.", "Mozilla Public License Version 2.0", "The plugin is published under MPL 2.0.", "This file is subject to the Mozilla Public License version 1.1."],
+    "cc-by": ["SPDX-License-Identifier: CC-BY-4.0", "Photos are shared under a Creative Commons Attribution 4.0 license.", "License: https://creativecommons.org/licenses/by/4.0/"],
+    "cc-by-sa": ["Text is available under the Creative Commons Attribution-ShareAlike License.", "Content on this wiki is CC BY-SA 3.0 licensed."],
+    "cc-by-nc": ["This article is distributed under the Creative Commons Attribution-NonCommercial 3.0 License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "public-domain": ["The author has released this file into the public domain.\nThis file is in the public domain.", "SPDX-License-Identifier: CC0-1.0"],
+    "proprietary": ["Copyright 2019 by the authors, all rights reserved worldwide.", "Unauthorized copying of this file, via any medium or network, is strictly prohibited."],
+    None: [
+        "She studied at MIT before she joined the band.", "The Apache helicopter was licensed for flights over the general area.", "The talk compared the GNU General Public License with the licenses of other systems and their history.",
+        "Released under the influence of a new director.", "He has a license to drive and a permission of the city.", "The general public has access to the library.", "Licensed under the GNU Affero General Public License, version 3.",
+        "The public domain of the town was open to all.", "A BSD daemon is a small devil.", "All rights are reserved for members of the club.", "The band's third album was released under the Apache label in 1990.", "The creative commons of the village were a meadow.", "Licensed under CC BY-ND 4.0.",
+    ],
+}
+#: Statements that were written after the rules, and not used to change them.
+HELD_OUT = {
+    "apache": ["Kafka-tools is open source software released under the Apache 2.0 license", "This work is made available under the Apache License, version 2.", "* @license Apache-2.0", "Code licensed under an Apache style license, see NOTICE", "SPDX: Apache-2.0"],
+    "mit": ["@license MIT", "MIT © Jane Roe", "Dual-licensed under MIT and another licence", "The script is free to use under the MIT license.", "see the file LICENSE (MIT)"],
+    "gpl": ["This is free software distributed under the GPL v3 licence", "it is available under the GNU General Public Licence", "// GPL-2.0+", "Released under GPL version 2 by the authors", "This module is licensed under the same terms as the Linux kernel, GPLv2 only"],
+    "lgpl": ["Licensed under the LGPL v3 or later", "This library may be used under the GNU Lesser General Public License, v3", "GNU LESSER GENERAL PUBLIC LICENSE"],
+    "bsd": ["Released under a modified BSD licence", "Licensed under the BSD License <LICENSE.txt>", "two-clause BSD license", "This software is available under the terms of the 3-clause BSD license."],
+    "mpl": ["This add-on is licensed under MPL 1.1", "Licensed under the terms of the Mozilla Public License v2", "License: MPL-2.0"],
+    "cc-by": ["The text of this article is licensed under a Creative Commons Attribution 3.0 Unported License", "Image: J. Roe, CC BY 2.0", "This report is published under CC BY 4.0."],
+    "cc-by-sa": ["Photo by J. Roe (CC BY-SA 3.0)", "Unless noted, this book is CC-BY-SA licensed."],
+    "cc-by-nc": ["This course is offered under a CC BY-NC license.", "Licensed for use under Creative Commons Attribution-NonCommercial 4.0"],
+    "public-domain": ["These scripts are placed in the public domain", "The metadata are released under CC0", "This image is in the public domain because its copyright has expired."],
+    "proprietary": ["Copyright 1999 Roe & Sons. All rights reserved.", "No part of this book may be reproduced in any form without permission in writing from the publisher"],
+    None: ["The creative team commons room was under repair.", "He took the bus to MIT and came back late.", "The Mozilla foundation published a report on public health.", "Apache tribes lived under the mountains of Arizona.", "BSD students licensed their car last year.", "The general terms of the lease are subject to change.", "A new version of the GNU tools was released to the public.", "Permission was granted to copy the key of the hall."],
+}
+
+
+def test_licences_that_no_template_spells_out():
+    model = licenses.fit([t.encode() for t in brute.prose(40)])
+    own = {tuple(licenses.words(t.encode())) for of in licenses.TEMPLATES.values() for t in of}
+    for family, texts in STATEMENTS.items():
+        for text in texts:
+            assert tuple(licenses.words(text.encode())) not in own
+            assert (text, model.scan(text.encode().split(b"\n"))[0]) == (text, {family} - {None})
+
+
+def test_recall_of_licences_in_held_out_statements():
+    model = licenses.fit([t.encode() for t in brute.prose(40)])
+    judged = [(family, model.scan(text.encode().split(b"\n"))[0]) for family, texts in HELD_OUT.items() for text in texts]
+    assert sum(found == {family} for family, found in judged) >= 28 and sum(family is not None for family, _ in judged) == 37
+    assert not any(found for family, found in judged if family is None)
+
+
 def test_licences_of_the_documents_table(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     found = licenses.scanned(docs, licenses.learned(docs))
