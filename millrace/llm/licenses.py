@@ -144,8 +144,8 @@ OTHERS = [
     "Students at MIT released a new version of the software.",
 ]
 UNKNOWN = "unknown"
-#: Least probability of a family, and least share of a template's word pairs that a passage must hold.
-LEAST_PROBABILITY, LEAST_CONTAINED = 0.5, 0.8
+#: Least share of a template's word pairs that a passage must hold.
+LEAST_CONTAINED = 0.8
 #: Words that a passage spans at most: so many times its template's, and so many more; and words of its lines that are
 #: judged with it on either side.
 REACH_TIMES, REACH_MORE, AROUND = 2, 16, 30
@@ -317,8 +317,9 @@ class Model:
                 continue
             first, last = bisect_right(starts, passage.first) - 1, bisect_right(starts, passage.last) - 1
             p = self.probabilities(own[max(starts[first], passage.first - AROUND) : min(starts[last + 1], passage.last + 1 + AROUND)])
-            k = int(p.argmax())
-            if self.families[k] == passage.family and p[k] >= LEAST_PROBABILITY:
+            # Families that are stated side by side share the probability: each needs more than unknown has.
+            k = self.families.index(passage.family)
+            if p[k] > p[0]:
                 out.append((passage.family, float(p[k]), range(first, last + 1)))
         return out
 

@@ -159,6 +159,28 @@ def test_recall_of_licences_in_held_out_statements():
     assert not any(found for family, found in judged if family is None)
 
 
+@pytest.fixture(scope="module")
+def licence_model():
+    return licenses.fit([t.encode() for t in brute.prose(40)])
+
+
+@pytest.mark.parametrize(
+    ("text", "families"),
+    [
+        ("Licensed under the Apache License, Version 2.0. All rights reserved.", {"apache", "proprietary"}),
+        ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", {"apache", "mit"}),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", {"apache", "mit"}),
+        ("SPDX-License-Identifier: GPL-2.0-only OR BSD-3-Clause OR MPL-2.0", {"bsd", "gpl", "mpl"}),
+        ("Code: released under the MIT License. Text: licensed under CC BY-SA 4.0.", {"cc-by-sa", "mit"}),
+        (f"{'word ' * 300}Released under the MIT License. {'word ' * 300}All rights reserved. {'word ' * 300}", {"mit", "proprietary"}),
+        ("This library is licensed under the GNU General Public License, version 2.1.", {"gpl"}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"cc-by-sa"}),
+    ],
+)
+def test_licences_stated_side_by_side(text, families, licence_model):
+    assert licence_model.scan(text.encode().split(b"\n"))[0] == families
+
+
 def test_licences_of_the_documents_table(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     found = licenses.scanned(docs, licenses.learned(docs))
