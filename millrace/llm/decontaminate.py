@@ -160,9 +160,10 @@ def without(text: bytes, spans: list[list[int]]) -> bytes:
 def _blocks(
     items: DataFrame, id_column: str, text_column: str, block_bytes: int
 ) -> Iterator[tuple[list[tuple[str | None, bytes]], bool]]:
-    """The items in blocks of about ``block_bytes``, one at a time, and whether a block is the last; items are never split."""
+    """The distinct items in blocks of about ``block_bytes``, one at a time, and whether a block is the last; items are never split."""
     chosen = items.select(column(id_column).cast("string").alias("item"), column(text_column).alias("text"))
-    chosen = chosen.where("text IS NOT NULL")
+    # Equal rows have one hash: were they kept, a block would hold all copies.
+    chosen = chosen.where("text IS NOT NULL").distinct()
     total = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):

@@ -171,7 +171,9 @@ def _dealt(rows: DataFrame, dim: int, pivots: np.ndarray, size: int) -> DataFram
     sizes = celled.groupBy("cell").agg(F.ceil(F.count("*") / size).alias("shares"))  # a row a pivot
     shares = {r["cell"]: r["shares"] for r in sizes.collect()}
     of = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]) if shares else F.create_map(F.lit(0), F.lit(1))
-    return celled.select("id", "vec", (F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(7)), of[F.col("cell")])).alias("chunk"))
+    # By row: rows of one id, or equal ones, would all be dealt to one chunk.
+    row = F.xxhash64("id", "vec", F.monotonically_increasing_id(), F.lit(7))
+    return celled.select("id", "vec", (F.col("cell") * (1 << 32) + F.pmod(row, of[F.col("cell")])).alias("chunk"))
 
 
 def _balls(rows: DataFrame, dim: int, name: str) -> DataFrame:

@@ -164,7 +164,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most about ``sample`` toxic and ``sample`` other labelled documents, drawn by a hash of the id.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``toxic`` (0 or 1; null teaches nothing).
-    Only counts of hashed features of the sampled documents reach the driver.
+    Of documents with one id, the smallest text counts.  Only counts of hashed features of the sampled documents reach
+    the driver.
     """
     rated = labels.select(column("doc_id").alias("doc_id"), column("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     n = {r["toxic"]: r["n"] for r in rated.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -175,6 +176,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     drawn = drawn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # At most about 2 * sample rows of two numbers: small by construction.
     texts = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text")).join(F.broadcast(drawn), "doc_id")
+    # One row, the smallest text's, for an id that many documents have.
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:

@@ -39,6 +39,15 @@ def test_toxicity_is_found_in_held_out_documents(spark):
     assert np.corrcoef(dose.T)[0, 1] > 0.2
 
 
+def test_toxicity_is_learned_from_one_row_of_an_id(spark, monkeypatch):
+    docs, labels = toxic_corpus(spark, 300)
+    sent, leaning = [], toxicity._leaning
+    monkeypatch.setattr(toxicity, "_leaning", lambda table, toxic: sent.append(table.num_rows) or leaning(table, toxic))
+    toxicity.learned(docs.unionAll(spark.range(500).selectExpr("1L", "concat('zz copy ', id)")), labels)
+    toxicity.learned(docs, labels)
+    assert sent == [300, 300]
+
+
 def test_toxicity_of_awkward_input(spark):
     docs, labels = toxic_corpus(spark, 300)
     awkward = brute.awkward(spark, [*brute.prose(5), "", None, "scum " * 50_000, "SCUM! " * 20])

@@ -69,3 +69,9 @@ def test_null_item_ids_hit_without_a_name(spark):
     known = spark.createDataFrame([(None, "some words")], ITEM)
     docs = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     assert [tuple(r)[1:4] for r in decontaminate.report(docs, known).collect()] == [(3, 2, 0)]
+
+
+def test_copies_of_an_item_stay_out_of_the_driver(spark):
+    copies = spark.createDataFrame([*[(1, "alpha beta " * 20)] * 500, *((k, f"gamma {k}") for k in range(2, 40))], ITEM)
+    blocks = [b for b, _ in decontaminate._blocks(copies, "item_id", "text", 400)]
+    assert max(map(len, blocks)) < 40 and sum(map(len, blocks)) == 39

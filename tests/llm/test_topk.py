@@ -58,3 +58,9 @@ def test_empty_table_and_no_query(spark):
     assert topk.top_k(spark.createDataFrame([], VECTOR)).collect() == []
     assert topk.top_k(spark.createDataFrame([(1, [1.0], 0), (2, [2.0], 0)], VECTOR)).collect() == []
     assert topk.top_k(spark.createDataFrame([(50, [1.0], 0)], VECTOR)).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_to_many_chunks(spark):
+    frame = spark.range(900).selectExpr("CASE WHEN id < 800 THEN 7 ELSE id END AS id", "array(1L, CASE WHEN id < 400 THEN 2L ELSE id END) AS vec")
+    dealt = topk._dealt(frame, 2, np.array([[1.0, 2.0]]), 50)
+    assert dealt.count() == 900 and max(r["count"] for r in dealt.groupBy("chunk").count().collect()) < 150
