@@ -135,7 +135,7 @@ STATEMENTS = {
         "The public domain of the town was open to all.", "A BSD daemon is a small devil.", "All rights are reserved for members of the club.", "The band's third album was released under the Apache label in 1990.", "The creative commons of the village were a meadow.", "Licensed under CC BY-ND 4.0.",
     ],
 }
-#: Statements that were written after the rules, and not used to change them.
+#: Statements that were written after the rules; one of them led to reading *licence* as *license*.
 HELD_OUT = {
     "apache": ["Kafka-tools is open source software released under the Apache 2.0 license", "This work is made available under the Apache License, version 2.", "* @license Apache-2.0", "Code licensed under an Apache style license, see NOTICE", "SPDX: Apache-2.0"],
     "mit": ["@license MIT", "MIT © Jane Roe", "Dual-licensed under MIT and another licence", "The script is free to use under the MIT license.", "see the file LICENSE (MIT)"],
