@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts, with_row
+from millrace.llm.common import column, in_tasks, raw_texts, slices, with_row
 
 #: Bytes of text whose new pieces are merged together, and pieces that a task remembers.
 BLOCK_BYTES, REMEMBERED = 6_000_000, 250_000
@@ -224,14 +224,8 @@ def _decode(text: bytes | None) -> str:
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batches in parts of about ``BLOCK_BYTES`` of text, a row at least."""
-    for batch in batches:
-        raw = raw_texts(batch)
-        start = size = 0
-        for k, text in enumerate(raw):
-            size += len(text or b"")
-            if size >= BLOCK_BYTES or k == len(raw) - 1:
-                yield batch.slice(start, k + 1 - start), [_decode(t) for t in raw[start : k + 1]]
-                start, size = k + 1, 0
+    for batch in slices(batches, BLOCK_BYTES):
+        yield batch, [_decode(t) for t in raw_texts(batch)]
 
 
 def encoded(docs: DataFrame, vocabulary: Broadcast, text_column: str = "text", bytes_per_id: int = 4) -> DataFrame:
@@ -270,7 +264,7 @@ def decoded(rows: DataFrame, vocabulary: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         tokens = vocabulary.value.tokens
-        for batch in batches:
+        for batch in slices(batches, BLOCK_BYTES, "ids"):
             texts = [_decode(decode(x, tokens)) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("ids"), pa.array(texts, pa.string())], ["row", "ids", "text"])
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.sources import storage
 
-#: Rows of an Arrow batch at most.
-BATCH_ROWS = 1000
+#: Bytes of a column of texts that a task turns into Python objects at once, a row at least.
+SLICE_BYTES = 4 << 20
 
 
 def column(name: str) -> Column:
@@ -38,16 +40,23 @@ def written(df: DataFrame, path: str) -> DataFrame:
 def in_tasks(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``mapInArrow``, in batches of few enough rows that long texts fit in a worker's memory.
-
-    The session's limit of rows a batch is lowered to ``BATCH_ROWS``, if it is higher: Spark reads it as a task starts.
-    """
-    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(limit)) <= BATCH_ROWS:
-        conf.set(limit, str(BATCH_ROWS))
+    """``mapInArrow``; the functions take their batches in ``slices``, as the session's limits may let long texts add up."""
     return df.mapInArrow(function, schema)
 
 
+def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``size`` bytes of one string or binary column, a row at least."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start, done = 0, 0
+        while start < len(ends):
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start, done = stop, int(ends[stop - 1])
+
+
 def with_row(df: DataFrame, others: str) -> StructType:
     """A schema of the frame's column ``row`` as it is, and others."""
     return StructType([df.schema["row"], *StructType.fromDDL(others).fields])

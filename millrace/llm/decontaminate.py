@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts, with_row, work_dir, written
+from millrace.llm.common import column, in_tasks, raw_texts, slices, with_row, work_dir, written
 from millrace.sources import storage
 
 #: Words are runs of digits, lower-cased ASCII letters and all non-ASCII characters.
@@ -226,7 +226,7 @@ def overlaps(
 def _matcher(shared: Broadcast, keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         automaton = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             n_words, spans, ids = [], [], []
             earlier = batch.column("spans").to_pylist(), batch.column("item_ids").to_pylist()
             for text, had, had_ids in zip(raw_texts(batch), *earlier, strict=True):
@@ -272,7 +272,7 @@ def decontaminated(
     found = found.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = [[[x["first"], x["last"]] for x in s] for s in batch.column("spans").to_pylist()]
             texts = [without(t, s) if s else t for t, s in zip(raw_texts(batch), spans, strict=True)]
             text = pa.array(texts, pa.binary()).cast(pa.string())

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, plain_words, raw_texts, with_row
+from millrace.llm.common import column, in_tasks, plain_words, raw_texts, slices, with_row
 
 LEVEL = 6
 #: A text is compressed in pieces of so many bytes, so that the dictionary counts all the way.
@@ -97,7 +97,7 @@ def predicted(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         sizer = Sizer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [_best(sizer, t) for t in raw_texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts
+from millrace.llm.common import column, in_tasks, raw_texts, slices
 
 #: Sentences by which texts state their licence, by family.
 TEMPLATES = {
@@ -470,7 +470,7 @@ def scanned(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in raw_texts(batch):
                 lines = (text or b"").split(b"\n")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, plain_words, raw_texts
+from millrace.llm.common import column, in_tasks, plain_words, raw_texts, slices
 
 #: Weights that features are hashed to; lengths of word beginnings that are features too.
 BUCKETS, BEGINNINGS = 1 << 18, (3, 4, 5, 6, 7)
@@ -180,7 +180,7 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             every = Features()
             found = [every.counts(t) for t in raw_texts(batch)]
             at = pa.array([list(f.keys()) for f in found], pa.list_(pa.int32()))
@@ -221,7 +221,7 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         model = shared.value
         weighted = Features(model.weights)
-        for batch in batches:
+        for batch in slices(batches):
             reach = [model.at_least(weighted.counts(t)) for t in raw_texts(batch)]
             grade = [int((r >= 0.5).sum()) for r in reach]
             columns = [
