@@ -9,7 +9,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, licenses, lines, simhash, token_counts, topk, toxicity, urls
+from millrace.llm import bpe, decontaminate, filters, language, licenses, lines, runs, simhash, token_counts, topk, toxicity, urls
 from millrace.llm.common import table, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in all documents, of which a tenth, by their id, get a tail that repeats itself."""
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), F.when(draw % 10 == 0, F.floor(draw / 10)))
+    return found.drop("collapsed", "runs")
+
+
+@query
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
@@ -136,3 +149,37 @@ SQL["op8_top_k"] = """
         FROM v q JOIN v r ON len(q.vec) = len(r.vec) AND q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
     n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM n WHERE rank <= 5"""
+
+_FAILS = " + ".join(f"CASE WHEN contains({{0}}, '{x}') THEN {1 << k} ELSE 0 END" for k, x in enumerate("ABCDE"))
+SQL["op13_filters"] = f"""
+    WITH t AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') AS w FROM documents),
+    e AS (SELECT text, min(doc_id) AS least FROM t GROUP BY text),
+    f AS (
+        SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+            + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+            + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+            + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS fails
+        FROM t JOIN e USING (text)),
+    l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    n AS (
+        SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+        FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+    x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM o),
+    m AS (SELECT *, {_FAILS.format("substring(filter_order, step, 1)")} AS own, {_FAILS.format("left(filter_order, step - 1)")} AS before FROM s),
+    c AS (
+        SELECT part, filter_order, step, own, good, toxic, n, fails, fails & own <> 0 AS hit, fails & before <> 0 AS gone FROM n, m),
+    r AS (
+        SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (WHERE hit AND gone), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (WHERE fails = own), 0)::BIGINT AS unique_fails,
+            coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND good), 0)::BIGINT AS good_lost,
+            coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+        FROM c GROUP BY part, filter_order, step, own)
+    SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r"""

@@ -21,7 +21,7 @@ def comparable(rows):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     expected = con.execute(SQL[name])
     result = QUERIES[name](spark, SF_DIR)
