@@ -57,6 +57,30 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES, name: str
             start, done = stop, int(ends[stop - 1])
 
 
+#: Bits of ``hash_filter``: its size, whatever the number of hashes.
+FILTER_BITS = 1 << 24
+
+
+def hash_filter(hashes: DataFrame, name: str) -> Callable[[pa.Array], pa.Array]:
+    """A test, for use in tasks, that every hash in a column (long, not null) passes, and most others don't.
+
+    A bitmap of ``FILTER_BITS`` bits is made on the executors, collected in at most a 64th as many numbers and broadcast.  The
+    more hashes there are, the more others pass.
+    """
+    bit = hashes.select(F.pmod(F.col(name), F.lit(FILTER_BITS)).alias("bit"))
+    marked = F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")
+    words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(marked).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[words["at"].to_numpy()] = words["bits"].to_numpy()
+    shared = hashes.sparkSession.sparkContext.broadcast(table)
+
+    def passes(found: pa.Array) -> pa.Array:
+        at = found.to_numpy(zero_copy_only=False) % FILTER_BITS
+        return pa.array(shared.value[at >> 6] >> (at & 63) & 1 == 1)
+
+    return passes
+
+
 def with_row(df: DataFrame, others: str) -> StructType:
     """A schema of the frame's column ``row`` as it is, and others."""
     return StructType([df.schema["row"], *StructType.fromDDL(others).fields])

@@ -9,7 +9,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, filters, language, licenses, lines, runs, simhash, token_counts, topk, toxicity, urls
+from millrace.llm import bpe, decontaminate, filters, forest, language, licenses, lines, runs, simhash, token_counts, topk, toxicity, urls
 from millrace.llm.common import table, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 @query
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs in all documents, of which a tenth, by their id, get a tail that repeats itself."""
@@ -183,3 +188,19 @@ SQL["op13_filters"] = f"""
             coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
         FROM c GROUP BY part, filter_order, step, own)
     SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r"""
+
+SQL["op11_forest"] = f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^ \\x09-\\x0D]+') AS w FROM documents),
+    s AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+            ELSE list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) END) AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+            AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    c AS (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, least) AS component_id, doc_id = least(doc_id, least) AS kept
+    FROM s LEFT JOIN c USING (doc_id)"""
