@@ -7,8 +7,9 @@ values.  Candidates come from the longest common prefixes, in two rounds, and ea
 1. A set and the smallest one among those that share all six values, if that is so in more trees than for others.  This
    links large groups of copies in a star, at a few candidates a set.
 2. In the regions that still hold several components: every pair of sets of different components, one of them outside
-   the region's main component.  Pairs are compared where they meet, by size and by a sketch of two bits a value; only those that
-   come near the threshold go on.  A region that is large at six values is compared in this way as well, so none is cut off.
+   the region's main component.  Pairs are compared in the first region where they meet, by size and by a sketch of two bits a value;
+   only those that come near the threshold go on.  The sets of regions that are large even at six values are not paired off:
+   of those, two that are similar enough share one of their rarest shingles, as many as the threshold lets them differ in.
 
 Two sets of similarity 0.8 miss each other in all 40 trees with a probability of 7e-10 in regions of four values, 1.3e-7 of
 five and 5e-6 of six, and the sketch (five standard errors below the threshold) passes over 3e-7 of them; links of
@@ -178,37 +179,71 @@ def _alike(percent: int) -> Column:
     return sizes & (sum(differ, F.lit(0)) <= most)
 
 
-def _across(met: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, path: str) -> DataFrame:
-    """Pairs of sets of different components that meet in a region and look alike."""
+def _regions(met: DataFrame, roots: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """The sets of regions (``at``) of several components, with their ``group`` and the region's ``main`` one: small regions, and those
+    that are large at the full depth."""
     group = F.coalesce("root", "node").alias("group")
-    left = written(met.join(roots, "node", "left").select("node", *[f"p{d}" for d in DEPTHS], group), f"{path}/regions-{DEPTHS[0]}")
-    found = []
+    left = written(met.join(roots, "node", "left").select("node", *[f"p{d}" for d in DEPTHS], group), f"{path}/regions")
+    small = []
     for depth in DEPTHS:
-        at, is_last = f"p{depth}", depth == DEPTHS[-1]
+        at = f"p{depth}"
         by_group = left.groupBy(at, "group").agg(F.count("*").alias("n"))
         main = F.max(F.struct("n", "group"))["group"].alias("main")
-        regions = by_group.groupBy(at).agg(F.sum("n").alias("members"), F.count("*").alias("groups"), main).where("groups > 1")
-        rows = written(left.join(regions.select(at, "members", "main"), at), f"{path}/several-{depth}")
-        here = rows if is_last else rows.where(F.col("members") <= REGION)
-        here = here.select(F.col(at).alias("at"), "node", "group", "main").join(nodes.select("node", "n", *SKETCH), "node")
-        x, y = here.where("group <> main").alias("x"), here.alias("y")
-        # One of each pair stands outside the main component; of two such, the smaller one asks.
-        once = (F.col("y.group") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-        pairs = x.join(y, (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & _alike(percent))
-        found.append(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
-        left = rows.where(F.col("members") > REGION).select("node", *[f"p{d}" for d in DEPTHS], "group")
-    return reduce(DataFrame.unionAll, found).distinct()
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, text_column: str, path: str) -> DataFrame:
-    """The pairs whose full sets are similar enough.
-
-    Sets are made anew from the texts that a pair needs.  Other texts are left aside by a bitmap of fixed size on their
-    hash, which lets some of them pass, and then by a join.
+        several = by_group.groupBy(at).agg(F.sum("n").alias("members"), F.count("*").alias("groups"), main).where("groups > 1")
+        rows = written(left.join(several.select(at, "members", "main"), at), f"{path}/several-{depth}")
+        small.append(rows.where(F.col("members") <= REGION).select(F.col(at).alias("at"), "node", "group", "main"))
+        left = rows.where(F.col("members") > REGION)
+        large = left.select("node", "group", "main")
+        left = left.select("node", *[f"p{d}" for d in DEPTHS], "group")
+    return reduce(DataFrame.unionAll, small), large
+
+
+def _across(small: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that meet in a small region and look alike."""
+    # At most a region a tree; a pair is found in the first of its common ones.
+    keys = small.groupBy("node").agg(F.collect_list("at").alias("keys"))
+    here = small.join(nodes.select("node", "n", *SKETCH).join(keys, "node"), "node")
+    x, y = here.where("group <> main").alias("x"), here.alias("y")
+    # One of each pair stands outside the main component; of two such, the smaller one asks.
+    once = (F.col("y.group") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    met = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & _alike(percent)
+    pairs = x.join(y, met & (F.col("x.at") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def _by_rare_shingles(large: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, path: str) -> DataFrame:
+    """Pairs of sets of large regions, of different components and alike, that share one of their rarest shingles.
+
+    Two sets that are similar enough have ``percent`` of either in common, so the rarest shingles of each, one more than it
+    may lack, have one in common if all are ordered alike.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in slices(batches, BLOCK_BYTES, "own"):
+            own = [np.frombuffer(x, np.int64) for x in batch.column("own").to_pylist()]
+            node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(own))], ["node", "shingle"])
+
+    here = large.groupBy("node").agg(F.max("group").alias("group"), F.max(F.col("group") != F.col("main")).alias("asks"))
+    own = sets.join(here.select("node"), "node", "left_semi")
+    each = written(in_tasks(own, run, "node bigint, shingle bigint"), f"{path}/shingles")
+    ranked = each.join(each.groupBy("shingle").agg(F.count("*").alias("times")), "shingle")
+    ordered = ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("all"))
+    size = F.size("all") - F.ceil(F.lit(percent) * F.size("all") / 100).cast("int") + 1
+    rare = ordered.select("node", F.explode(F.slice("all", F.lit(1), size)["shingle"]).alias("at"))
+    facts = nodes.select("node", "n", *SKETCH).join(here, "node")
+    rare = written(rare.join(facts, "node"), f"{path}/rare")
+    x, y = rare.where("asks").alias("x"), rare.alias("y")
+    once = ~F.col("y.asks") | (F.col("x.node") < F.col("y.node"))
+    pairs = x.join(y, (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & _alike(percent))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def _sets(needed: DataFrame, docs: DataFrame, words: int, text_column: str, path: str) -> DataFrame:
+    """The full sets (``own``, hashes side by side) of nodes, made anew from one text each (``h1``, ``h2``).
+
+    Other texts are left aside by a bitmap of fixed size on their hash, which lets some of them pass, and then by a join.
     """
-    spark = docs.sparkSession
-    pairs = written(pairs, f"{path}/pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "h1", "h2"), "node")
     needed = written(needed, f"{path}/needed")
     passes = hash_filter(needed, "h1")
 
@@ -221,7 +256,15 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
 
     texts = docs.select(*_text_hashes(column(text_column)), column(text_column).alias("text"))
     sets = in_tasks(texts, run, "h1 bigint, h2 bigint, own binary").groupBy("h1", "h2").agg(F.any_value("own").alias("own"))
-    sets = written(sets.join(needed, ["h1", "h2"]).select("node", "own"), f"{path}/sets")
+    return written(sets.join(needed, ["h1", "h2"]).select("node", "own"), f"{path}/sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, path: str) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     a, b = (sets.select(F.col("node").alias(c), F.col("own").alias(f"own_{c}")) for c in "ab")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -256,10 +299,18 @@ def near_duplicates(
     facts = [F.min(F.struct("h1", "h2")).alias("text"), F.min("n").alias("n"), *[F.min(s).alias(s) for s in SKETCH]]
     nodes = rows.where("n > 0").join(found, "node", "left_semi").groupBy("node").agg(*facts)
     nodes = written(nodes.select("node", "text.h1", "text.h2", "n", *SKETCH), f"{path}/nodes")
-    links = _confirmed(_stars(met), nodes, docs, words, percent, text_column, f"{path}/stars")
-    roots = written(components(links, f"{path}/first"), f"{path}/roots")
-    more = _confirmed(_across(met, nodes, roots, percent, path), nodes, docs, words, percent, text_column, f"{path}/across")
-    roots = written(components(links.unionAll(more), f"{path}/second"), f"{path}/all-roots")
+    texts = nodes.select("node", "h1", "h2")
+    pairs = written(_stars(met), f"{path}/stars")
+    sets = _sets(_ends(pairs).distinct().join(texts, "node"), docs, words, text_column, f"{path}/first")
+    links = _confirmed(pairs, sets, percent, f"{path}/first")
+    roots = written(components(links, f"{path}/first-rounds"), f"{path}/roots")
+    small, large = _regions(met, roots, path)
+    pairs = written(_across(small, nodes, percent), f"{path}/across")
+    ends = _ends(pairs).unionAll(large.select("node")).distinct()
+    sets = _sets(ends.join(texts, "node"), docs, words, text_column, f"{path}/second")
+    rare = _by_rare_shingles(large, sets, nodes, percent, f"{path}/second")
+    more = _confirmed(pairs.unionAll(rare).distinct(), sets, percent, f"{path}/second")
+    roots = written(components(links.unionAll(more), f"{path}/second-rounds"), f"{path}/all-roots")
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     group = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     group = group.join(group.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
