@@ -40,8 +40,16 @@ def written(df: DataFrame, path: str) -> DataFrame:
 def in_tasks(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``mapInArrow``; the functions take their batches in ``slices``, as the session's limits may let long texts add up."""
-    return df.mapInArrow(function, schema)
+    """``mapInArrow``; the functions take their batches in ``slices``, as the session's limits may let long texts add up.
+
+    What a task no longer needs is given back, as its worker goes on to other tasks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES, name: str = "text") -> Iterator[pa.RecordBatch]:
@@ -61,18 +69,23 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES, name: str
 FILTER_BITS = 1 << 24
 
 
+def _marks(hashes: DataFrame, name: str) -> DataFrame:
+    """A bitmap of ``FILTER_BITS`` bits: the numbers (``at``) of 64 bits that have some, and the ``bits``."""
+    bit = hashes.select(F.pmod(F.col(name), F.lit(FILTER_BITS)).alias("bit"))
+    marked = F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")
+    return bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(marked)
+
+
 def hash_filter(hashes: DataFrame, name: str) -> Callable[[pa.Array], pa.Array]:
     """A test, for use in tasks, that every hash in a column (long, not null) passes, and most others don't.
 
-    A bitmap of ``FILTER_BITS`` bits is made on the executors, collected in at most a 64th as many numbers and broadcast.  The
+    A bitmap of fixed size is made on the executors, collected in ``FILTER_BITS / 64`` numbers at most and broadcast.  The
     more hashes there are, the more others pass.
     """
-    bit = hashes.select(F.pmod(F.col(name), F.lit(FILTER_BITS)).alias("bit"))
-    marked = F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")
-    words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(marked).toArrow()
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    table[words["at"].to_numpy()] = words["bits"].to_numpy()
-    shared = hashes.sparkSession.sparkContext.broadcast(table)
+    words = _marks(hashes, name).toArrow()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[words["at"].to_numpy()] = words["bits"].to_numpy()
+    shared = hashes.sparkSession.sparkContext.broadcast(bitmap)
 
     def passes(found: pa.Array) -> pa.Array:
         at = found.to_numpy(zero_copy_only=False) % FILTER_BITS
@@ -81,6 +94,19 @@ def hash_filter(hashes: DataFrame, name: str) -> Callable[[pa.Array], pa.Array]:
     return passes
 
 
+def parted(rows: DataFrame, hashed: Column, hashes: DataFrame, name: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose hash may be in a column of ``hashes`` (long, not null), and those whose hash is not.
+
+    The bitmap of the hashes is written to ``path`` and broadcast: ``FILTER_BITS / 64`` rows of two numbers at most.  No row is
+    shuffled.
+    """
+    marks = written(_marks(hashes, name), path).select(F.col("at").alias("_at"), F.col("bits").alias("_bits"))
+    bit = F.pmod(hashed, F.lit(FILTER_BITS))
+    found = rows.withColumn("_bit", bit).join(F.broadcast(marks), F.shiftright("_bit", 6) == F.col("_at"), "left")
+    maybe = F.coalesce(F.expr("_bits & shiftleft(1L, cast(_bit & 63 AS int)) <> 0"), F.lit(False))
+    return found.where(maybe).drop("_bit", "_at", "_bits"), found.where(~maybe).drop("_bit", "_at", "_bits")
+
+
 def with_row(df: DataFrame, others: str) -> StructType:
     """A schema of the frame's column ``row`` as it is, and others."""
     return StructType([df.schema["row"], *StructType.fromDDL(others).fields])

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column, in_tasks, raw_texts, with_row, work_dir, written
+from millrace.llm.common import column, parted, work_dir, written
 
 #: Registers of a sketch as a power of two, and its standard error.
 SKETCH_BITS = 10
@@ -32,15 +29,13 @@ def _lines(docs: DataFrame, site: str) -> DataFrame:
     return split.select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2"))
 
 
-def boilerplate(docs: DataFrame, min_sites: int = 6, site: str = "source") -> DataFrame:
-    """The lines (``h1``, ``h2``) on at least ``min_sites`` sites, with the first place of each.
+def boilerplate(rows: DataFrame, path: str, min_sites: int = 6) -> DataFrame:
+    """The lines (``h1``, ``h2``) on at least ``min_sites`` sites, with the first place of each; ``rows`` are a written table of lines.
 
     One sketch of sites a line is built where the line is read and merged after the shuffle.  An estimate
     further than three standard errors from the threshold decides; lines nearer to it get
     an exact count of their sites.  Rows without a site count for none.
     """
-    path = work_dir(docs.sparkSession, "lines")
-    rows = _lines(docs, site)
     # Null sorts first in a struct; the flag puts rows without an id last.
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash", "pos")
     spread = rows.groupBy("h1", "h2").agg(
@@ -65,33 +60,32 @@ def deduplicated(docs: DataFrame, min_sites: int = 6, site: str = "source") -> D
     compared without outer blanks; blank lines and null texts stay as they are.  No row goes: a document all of
     whose lines are repeated keeps an empty text.  Returns ``row`` (a struct of the columns but the text),
     ``text`` (cleaned), ``n_lines`` (not blank) and ``n_removed``.
+
+    Only texts that lose a line, and few others, are shuffled: a bitmap of fixed size tells the others.
     """
-    common = boilerplate(docs, min_sites, site)
-    lines = _lines(docs, site).select("doc_id", "text_hash", "pos", "h1", "h2")
+    path = work_dir(docs.sparkSession, "lines")
+    lines = written(_lines(docs, site), f"{path}/lines")
+    common = boilerplate(lines, path, min_sites)
     here = (F.col("pos") == F.col("first.pos")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     here &= F.col("text_hash") == F.col("first.text_hash")
     key = lambda i, h: F.concat(F.coalesce(i.cast("string"), F.lit("-")), F.lit(":"), h.cast("string"))
-    gone = lines.join(common, ["h1", "h2"]).where(~here)
-    gone = gone.groupBy(key(F.col("doc_id"), F.col("text_hash")).alias("_key")).agg(F.collect_set("pos").alias("gone"))
+    gone = lines.select("doc_id", "text_hash", "pos", "h1", "h2").join(common, ["h1", "h2"]).where(~here)
+    gone = gone.groupBy(key(F.col("doc_id"), F.col("text_hash")).alias("_key")).agg(F.collect_set("pos").alias("_gone"))
+    gone = written(gone, f"{path}/gone")
     rows = docs.select(F.struct(*[column(c) for c in docs.columns if c != "text"]).alias("row"), column("text").alias("text"))
-    marked = rows.withColumn("_key", key(F.col("row.doc_id"), F.xxhash64("text"))).join(gone, "_key", "left")
-    return in_tasks(marked.select("row", "text", "gone"), _without, with_row(rows, "text string, n_lines bigint, n_removed bigint"))
-
-
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """Texts without the lines whose positions are in ``gone``."""
-    for batch in batches:
-        texts, n_lines, n_removed = [], [], []
-        for text, gone in zip(raw_texts(batch), batch.column("gone").to_pylist(), strict=True):
-            lines = [] if text is None else text.split(b"\n")
-            n_lines.append(sum(bool(x.strip(b" \t\r\f\v")) for x in lines))
-            n_removed.append(len(gone or ()))
-            out = set(gone or ())
-            texts.append(b"\n".join(x for k, x in enumerate(lines) if k not in out) if out else text)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
-            ["row", "text", "n_lines", "n_removed"],
-        )
+    rows = rows.withColumn("_key", key(F.col("row.doc_id"), F.xxhash64("text")))
+    some, whole = parted(rows, F.xxhash64("_key"), gone.select(F.xxhash64("_key").alias("h")), "h", f"{path}/losers")
+    split = some.join(gone, "_key", "left").select("row", "text", "_gone", F.split("text", "\n").alias("_lines"))
+    stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    text = F.array_join(F.transform(stays, lambda k: F.get(F.col("_lines"), k)), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text).alias("text")
+    split = split.select("row", text, _not_blank(F.col("_lines")), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return split.unionAll(whole.select("row", "text", _not_blank(F.split("text", "\n")), F.lit(0).cast("long").alias("n_removed")))
+
+
+def _not_blank(lines: Column) -> Column:
+    """The number of lines that aren't blank."""
+    return F.coalesce(F.size(F.filter(lines, lambda x: _trimmed(x) != "")), F.lit(0)).cast("long").alias("n_lines")
 
 
 def cleaned(docs: DataFrame, min_sites: int = 6, site: str = "source") -> DataFrame:
