@@ -39,28 +39,30 @@ def remainder(doc_id: Column) -> Column:
 
 
 def learned(docs: DataFrame, lang: str = "lang", sample: int = SAMPLE, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """A dictionary for every value of ``lang``, from ``doc_id``, ``text`` and ``lang`` of the given rows.
+    """A dictionary for every value of ``lang``, from ``text`` and ``lang`` of the given rows.
 
-    About ``sample`` whole texts a language are drawn by a hash of the id and the text, and ``size`` bytes of them kept:
-    a bounded sample, to which a long text gives a part from its middle.  Null languages and texts
+    About ``sample`` different texts a language are drawn by a hash, twice as many for all languages together at most, and ``size``
+    bytes of them kept: a bounded sample, to which a long text gives a part from its middle and copies of a text give one.  Null languages and texts
     teach nothing.  More than ``MAX_LANGUAGES`` languages are an error.
     """
-    rows = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text"), column(lang).cast("string").alias("lang"))
+    rows = docs.select(column("text").alias("text"), column(lang).cast("string").alias("lang"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    # Copies of a text count once.
+    texts = F.approx_count_distinct(F.xxhash64("text")).alias("n")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(texts).limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return {}
-    draw = F.xxhash64(F.lit("sample"), "doc_id", "text")
-    chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])
-    picked = rows.where(F.pmod(draw, F.lit(1 << 30)) < chance[F.col("lang")] * (1 << 30))
+    chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample / max(1, n))))])
+    rows = rows.withColumn("draw", F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30)) / chance[F.col("lang")])
     # What a text gives is cut to its share of the dictionary, from the middle, so many texts take part.
     share = max(1000, 2 * size // sample)
     piece = F.substring(F.col("text"), F.greatest(F.lit(1), ((F.length("text") - share) / 2).cast("int") + 1), F.lit(share))
-    found: dict[str, list[tuple[int, bytes]]] = {}
-    for r in picked.select("lang", draw.alias("draw"), piece.cast("binary").alias("text")).collect():
-        found.setdefault(r["lang"], []).append((r["draw"], normal(bytes(r["text"]))))
+    picked = rows.where(F.col("draw") < 1 << 30).select("lang", "draw", piece.alias("text")).distinct()
+    found: dict[str, list[tuple[float, bytes]]] = {}
+    for r in picked.orderBy("draw", "lang", "text").limit(2 * sample * len(counts)).collect():
+        found.setdefault(r["lang"], []).append((r["draw"], normal(r["text"].encode())))
     # Text near the end of a dictionary is cheapest to refer to; order doesn't depend on the run.
     return {k: b" ".join(t for _, t in sorted(v))[-size:] for k, v in found.items()}
 
