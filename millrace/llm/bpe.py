@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import column, in_tasks, raw_texts, slices, with_row
 
 #: Bytes of text whose new pieces are merged together, and pieces that a task remembers.
-BLOCK_BYTES, REMEMBERED = 6_000_000, 250_000
-NONE = np.int64(1 << 40)
+BLOCK_BYTES, REMEMBERED = 2 << 20, 250_000
+#: Above all ranks; positions and ranks take four bytes, as a block's pieces are far fewer bytes.
+NONE = np.int32(2**31 - 1)
 #: The pattern that ``Vocabulary.split`` knows, and its contractions.
 COMMON_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CONTRACTION = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d")
@@ -58,7 +59,7 @@ class Vocabulary:
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary has no token for the bytes {missing}")
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -68,7 +69,7 @@ class Vocabulary:
         keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
         order = np.argsort(keys)
         self.keys = np.concatenate((keys[order], [np.int64(2**62)]))
-        self.merged = np.concatenate((np.fromiter(pairs.values(), np.int64, len(pairs))[order], [NONE]))
+        self.merged = np.concatenate((np.fromiter(pairs.values(), np.int32, len(pairs))[order], [NONE]))
         self.byte_pairs = self.pair_ranks(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
         #: Tokens with which a pair merges to a smaller rank than their own; their merges are done one a piece.
         self.out_of_order = {t for key, rank in pairs.items() for t in (key >> 32, key & 0xFFFFFFFF) if t > rank}
@@ -97,7 +98,7 @@ class Vocabulary:
         return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.merged[at], NONE)
 
@@ -107,21 +108,21 @@ class Vocabulary:
         The pair with the smallest rank merges first, the leftmost of equal ones.
         """
         if not pieces:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         tokens, n = self.byte_ids[raw], len(raw)
         starts = np.cumsum(sizes) - sizes
         # Position n stands for "no neighbour".
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         after[starts[1:] - 1] = n
         after[n - 1] = n
         before[starts] = n
         rank = np.full(n + 1, NONE)
         alive = np.ones(n + 1, bool)
-        inner = np.flatnonzero(after[:n] < n)
+        inner = np.flatnonzero(after[:n] < n).astype(np.int32)
         rank[inner] = self.byte_pairs[raw[inner], raw[inner + 1]]
-        tokens = np.concatenate((tokens, [0]))
+        tokens = np.concatenate((tokens, np.zeros(1, np.int32)))
         index: dict[int, list[np.ndarray]] = {}
         todo: list[int] = []
 
@@ -187,7 +188,8 @@ class Encoder:
     def _forget(self) -> None:
         self.numbers: defaultdict[str, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
-        self.ids: list[bytes] = []
+        # The ids of all known pieces side by side, and where each piece's end.
+        self.ids, self.ends = bytearray(), array("q", [0])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as little-endian integers side by side."""
@@ -195,20 +197,28 @@ class Encoder:
             self._forget()
         number = self.numbers.__getitem__
         coded = [array("I", map(number, self.split(t))) for t in texts]
-        new = [p.encode() for p in islice(self.numbers, len(self.ids), None)]
+        new = [p.encode() for p in islice(self.numbers, len(self.ends) - 1, None)]
         whole = [self.vocabulary.ranks.get(p) for p in new]  # a piece that is a token needs no merge
         tokens, ends = self.vocabulary.replay([p for p, w in zip(new, whole, strict=True) if w is None])
         size = np.dtype(self.kind).itemsize
-        flat, end, start = tokens.astype(self.kind).tobytes(), iter((ends * size).tolist()), 0
+        flat, end, start = memoryview(tokens.astype(self.kind).tobytes()), iter((ends * size).tolist()), 0
         for w in whole:
             if w is None:
                 stop = next(end)
-                self.ids.append(flat[start:stop])
+                self.ids += flat[start:stop]
                 start = stop
             else:
-                self.ids.append(w.to_bytes(size, "little"))
-        known = self.ids.__getitem__
-        return (b"".join(map(known, pieces)) for pieces in coded)
+                self.ids += w.to_bytes(size, "little")
+            self.ends.append(len(self.ids))
+        known, ends = np.frombuffer(bytes(self.ids), self.kind), np.frombuffer(self.ends, np.int64) // size
+        return (self._joined(known, ends, np.frombuffer(pieces, np.uint32)) for pieces in coded)
+
+    @staticmethod
+    def _joined(known: np.ndarray, ends: np.ndarray, pieces: np.ndarray) -> bytes:
+        """The ids of pieces, gathered from those of all known pieces."""
+        first, sizes = ends[pieces], ends[pieces + 1] - ends[pieces]
+        place = np.cumsum(sizes)
+        return known[np.arange(place[-1] if len(place) else 0) + np.repeat(first - place + sizes, sizes)].tobytes()
 
 
 def load(spark: SparkSession, path: str, pattern: str) -> Broadcast:
