@@ -225,3 +225,10 @@ def test_too_many_languages_are_an_error(spark):
     frame = spark.createDataFrame([(k, "text", f"l{k}", None, None) for k in range(language.MAX_LANGUAGES + 1)], brute.DOCUMENT)
     with pytest.raises(ValueError, match="languages"):
         language.learned(frame)
+
+
+def test_a_repeated_row_is_sampled_once(spark):
+    some = spark.createDataFrame([(k, f"the {k} words of this text are english ones", "en") for k in range(300)], "doc_id long, text string, lang string")
+    copies = spark.range(20_000).selectExpr("id AS doc_id", "'ein und derselbe satz' AS text", "'de' AS lang")
+    found = language.learned(some.unionAll(copies))
+    assert found["de"] == b"ein und derselbe satz" and found["en"].count(b"english") == 300

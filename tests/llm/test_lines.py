@@ -35,3 +35,12 @@ def test_near_threshold_lines_are_counted_exactly(spark):
     found = {r["text"] for r in lines.cleaned(frame, 400).where("text <> ''").select("text").distinct().collect()}
     n = {k: sum(r["text"] == f"line {k}" for r in lines.cleaned(frame, 400).select("text").collect()) for k in range(6)}
     assert found == {f"line {k}" for k in range(6)} and n == {0: 395, 1: 397, 2: 399, 3: 1, 4: 1, 5: 1}
+
+
+def test_no_python_and_unchanged_settings(spark):
+    frame = brute.awkward(spark, brute.prose(20, 2))
+    before = dict(spark.sparkContext.getConf().getAll()), {r["key"]: r["value"] for r in spark.sql("SET").collect()}
+    done = lines.deduplicated(frame)
+    assert "Arrow" not in (plan := done._jdf.queryExecution().executedPlan().toString()) and "Python" not in plan
+    done.collect()
+    assert before == (dict(spark.sparkContext.getConf().getAll()), {r["key"]: r["value"] for r in spark.sql("SET").collect()})
