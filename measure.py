@@ -18,9 +18,8 @@ from millrace.functions.schema import from_struct
 from millrace.plans import flows
 from millrace.queries import events_schema, land, table, workspace
 from millrace.sources.datasets import scan_dataset
-from millrace.sources.directory_broker import DirectoryBroker
+from millrace.sources.topics import Broker, write_topic
 from millrace.sources.keyed_table import KeyedTable, scan_table
-from millrace.sources.topics import write_topic
 
 CYCLES = 10
 
@@ -111,7 +110,7 @@ def main() -> None:
     found["compaction_s"] = round(time.perf_counter() - compaction, 3)
     found["table_read_s_after_compaction"] = timed(lambda: noop(scan_table(spark, f"{root}/incremental")))
 
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = Broker({"path": f"{root}/topics/{{topic}}"}, "parquet", "key STRING, value STRING")
     write_topic(encode_rows(events), broker, "events")
     copies = iter(range(10))
 

@@ -291,15 +291,24 @@ class Catalog:
         return Registered(dataset_id, flow_id, flow_id, query)
 
     def register_table_output(
-        self, dataset_id: str, id_or_name: str, *, where: str | Column | None = None, **options: Any
+        self,
+        dataset_id: str,
+        id_or_name: str,
+        *,
+        where: str | Column | None = None,
+        continuous: bool = False,
+        **options: Any,
     ) -> Registered:
-        """Fill a new topic, named by the flow id, from a table of a live dataset."""
+        """Fill a new topic, named by the flow id, from a table of a live dataset; continuously, with what changes there."""
         self._need_dataset(dataset_id)
         table_id = self.table_id(dataset_id, id_or_name)
         flow_id = ids.new_id("flow")
-        flows.table_to_topic(self.spark, self.table_path(table_id), self.broker, flow_id, where=where, **options)
-        self._put_flow(flow_id, OUTPUT, dataset_id, table_id=table_id)
-        return Registered(table_id, flow_id, flow_id)
+        if continuous:
+            options["checkpoint"] = self._checkpoint(flow_id)
+        path = self.table_path(table_id)
+        query = flows.table_to_topic(self.spark, path, self.broker, flow_id, where=where, continuous=continuous, **options)
+        self._put_flow(flow_id, OUTPUT, dataset_id, table_id=table_id, query=query)
+        return Registered(table_id, flow_id, flow_id, query)
 
     def soft_delete(self, name: str, id: str) -> None:
         """Mark one row of a catalog table as deleted; its other columns stay."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.rows import encode_rows
@@ -13,7 +13,7 @@ from millrace.operators.project import project
 from millrace.sources.datasets import scan_dataset
 from millrace.sources.keyed_table import KeyedTable, upsert_table
 from millrace.sources.topics import Broker, read_topic_stream, write_topic, write_topic_stream
-from millrace.streaming.continuous import stream_to_table, stream_to_topic
+from millrace.streaming.continuous import stream_changes, stream_to_table, stream_to_topic
 from millrace.streaming.landing import land_stream
 
 
@@ -124,22 +124,31 @@ def table_to_topic(
     *,
     where: str | Column | Sequence[str | Column] | None = None,
     quoted: bool = False,
-) -> None:
-    """Send every row of a keyed table, encoded, to a topic.
+    continuous: bool = False,
+    checkpoint: str | None = None,
+    trigger: Mapping[str, Any] | None = None,
+) -> StreamingQuery | None:
+    """Send the rows of a keyed table, encoded, to a topic: all of them once, or continuously those that change.
 
     ``where`` is a condition or a list of them.  Those on key columns alone
-    reach the scans; the others see the merged rows.
+    reach the scans; the others see the merged rows.  A continuous flow sends
+    the table as it stands first, and from then on every row that is new or
+    different after the latest writes, if it meets the conditions; at least once.
     """
-    table = KeyedTable.open(spark, table_path)
     conditions = [where] if isinstance(where, (str, Column)) else list(where or ())
-    on_keys: list[str | Column] = []
-    others: list[str | Column] = []
-    for condition in conditions:
-        (on_keys if table.is_on_keys(condition) else others).append(condition)
-    rows = table.read(on_keys)
-    for condition in others:
-        rows = rows.where(condition)
-    write_topic(encode_rows(rows, quoted=quoted), broker, topic)
+
+    def send(rows: DataFrame, epoch: int = 0) -> None:
+        for condition in conditions:
+            rows = rows.where(condition)
+        write_topic(encode_rows(rows, quoted=quoted), broker, topic)
+
+    if continuous:
+        return stream_changes(spark, table_path, send, checkpoint=_needed(checkpoint), trigger=trigger)
+    table = KeyedTable.open(spark, table_path)
+    on_keys = [c for c in conditions if table.is_on_keys(c)]
+    conditions = [c for c in conditions if not any(c is k for k in on_keys)]
+    send(table.read(on_keys))
+    return None
 
 
 def need_expressions(exprs: Sequence[str]) -> None:

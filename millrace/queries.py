@@ -21,9 +21,8 @@ from millrace.plans import flows
 from millrace.plans.catalog import Catalog
 from millrace.sources import storage
 from millrace.sources.datasets import scan_dataset, scan_dataset_stream
-from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import KeyedTable, scan_table, upsert_table
-from millrace.sources.topics import inspect_topics, publish_keyed, write_topic, write_topic_stream
+from millrace.sources.topics import Broker, inspect_topics, publish_keyed, write_topic, write_topic_stream
 from millrace.streaming.landing import bucket_of, land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,7 +598,7 @@ def outputs_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """A catalog with a flow for every order; the priorities of a dataset's orders are its tables."""
     root = workspace(spark)
-    catalog = Catalog(spark, root, DirectoryBroker(f"{root}/topics"))
+    catalog = Catalog(spark, root, topics_below(root))
     orders = project(
         table(spark, sf_dir, "orders"),
         [
@@ -676,14 +675,19 @@ def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- topics and landing
 
 
-def _topic(spark: SparkSession, sf_dir: str, root: str, name: str = "events") -> DirectoryBroker:
-    broker = DirectoryBroker(f"{root}/topics")
+def _topic(spark: SparkSession, sf_dir: str, root: str, name: str = "events") -> Broker:
+    broker = topics_below(root)
     write_topic(encode_rows(table(spark, sf_dir, name)), broker, name)
     return broker
 
 
-def _values(spark: SparkSession, broker: DirectoryBroker, topic: str) -> DataFrame:
-    return inspect_topics(spark, broker, [topic]).select("value")
+def topics_below(root: str) -> Broker:
+    """Topics as folders of Parquet files, through Spark's own source and sink."""
+    return Broker({"path": f"{root}/topics/{{topic}}"}, "parquet", "key STRING, value STRING")
+
+
+def _values(spark: SparkSession, broker: Broker, topic: str) -> DataFrame:
+    return broker.read(spark, [topic], {}).select("value")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, count(*) AS n FROM events GROUP BY 1")
@@ -748,25 +752,30 @@ def topic_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id::varchar AS key, text AS value FROM documents")
 def topic_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as values: a record, unlike a landed line, may hold line breaks."""
-    broker = DirectoryBroker(f"{workspace(spark)}/topics")
+    broker = topics_below(workspace(spark))
     texts = project(table(spark, sf_dir, "documents"), ["CAST(doc_id AS STRING) AS key", "text AS value"])
     write_topic(texts, broker, "documents", keyed=True)
-    return inspect_topics(spark, broker, ["documents"]).select("key", "value")
+    return broker.read(spark, ["documents"], {})
 
 
 @query(
-    f"""SELECT 'events' AS topic, user_id::varchar AS key, {EVENT_LINE} AS value FROM events
-    UNION ALL SELECT 'orders', o_custkey::varchar,
+    f"""SELECT 'events' AS topic, (user_id % 4)::integer AS partition, event_id AS offset, user_id::varchar AS key, {EVENT_LINE} AS value
+    FROM events
+    UNION ALL SELECT 'orders', (o_custkey % 4)::integer, o_orderkey, o_custkey::varchar,
         concat_ws(',', o_orderkey::varchar, o_custkey::varchar, o_orderstatus, o_totalprice::varchar,
             o_orderdate::varchar, o_orderpriority) FROM orders""",
     name="inspect_topics",
 )
 def topics_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several topics; partitions and offsets are a real broker's to give."""
-    broker = DirectoryBroker(f"{workspace(spark)}/topics")
-    for name, key in [("events", "user_id"), ("orders", "o_custkey")]:
-        publish_keyed(table(spark, sf_dir, name), broker, name, key)
-    return inspect_topics(spark, broker, ["events", "orders"]).select("topic", "key", "value")
+    """Several topics, from records as a broker keeps them; partitions and offsets come from the rows' own columns."""
+    path = f"{workspace(spark)}/records"
+    for name, key, number in [("events", "user_id", "event_id"), ("orders", "o_custkey", "o_orderkey")]:
+        rows = table(spark, sf_dir, name)
+        place = [F.lit(name).alias("topic"), (F.col(key) % 4).cast("int").alias("partition"), F.col(number).cast("long").alias("offset")]
+        value = F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns])
+        rows.select(*place, F.col(key).cast("string").alias("key"), value.alias("value")).write.mode("append").parquet(path)
+    kept = Broker({"path": path}, "parquet", "topic STRING, partition INT, offset BIGINT, key STRING, value STRING")
+    return inspect_topics(spark, kept, ["events", "orders"])
 
 
 @query(
@@ -775,9 +784,9 @@ def topics_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="publish_keyed",
 )
 def publish_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broker = DirectoryBroker(f"{workspace(spark)}/topics")
+    broker = topics_below(workspace(spark))
     publish_keyed(table(spark, sf_dir, "orders"), broker, "orders", "o_orderkey")
-    return inspect_topics(spark, broker, ["orders"]).select("key", "value")
+    return broker.read(spark, ["orders"], {})
 
 
 # ---- dataflows
@@ -795,7 +804,7 @@ def dataset_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT concat_ws(',', event_id::varchar, event_type) AS value FROM events")
 def dataset_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = topics_below(root)
     schema = land(table(spark, sf_dir, "events"), f"{root}/landed")
     flows.dataset_to_topic(spark, f"{root}/landed", schema, broker, "out", ["event_id", "event_type"])
     return _values(spark, broker, "out")
@@ -804,7 +813,7 @@ def dataset_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST_LINE)
 def table_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = topics_below(root)
     target = KeyedTable.create(spark, f"{root}/table", events_schema("user_id"), sequence_by=["event_id"])
     target.upsert(table(spark, sf_dir, "events"))
     target.compact()
@@ -884,10 +893,40 @@ def stream_dataset_to_table_window(spark: SparkSession, sf_dir: str) -> DataFram
     return scan_table(spark, f"{root}/table")
 
 
+_FIRST_HALF = "SELECT * FROM events WHERE event_id % 2 = 0"
+
+
+@query(
+    f"""WITH a AS ({LATEST_EVENT.replace("FROM events", f"FROM ({_FIRST_HALF})")}), b AS ({LATEST_EVENT}),
+    c AS (SELECT * FROM a UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a))
+    SELECT {EVENT_LINE} AS value FROM c WHERE event_type <> 'error'"""
+)
+def stream_table_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's rows as they stand, and after more writes the rows that these changed."""
+    root = workspace(spark)
+    broker, events = topics_below(root), table(spark, sf_dir, "events")
+    target = KeyedTable.create(spark, f"{root}/table", events_schema("user_id"), sequence_by=["event_id"])
+    halves = [events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1 AND user_id % 2 = 0"), events]
+    for batches in (halves[:1], halves[1:]):
+        for batch in batches:
+            target.upsert(batch)
+        flows.table_to_topic(
+            spark,
+            f"{root}/table",
+            broker,
+            "out",
+            where="event_type <> 'error'",
+            continuous=True,
+            checkpoint=f"{root}/checkpoint",
+            trigger=ONCE,
+        ).awaitTermination()
+    return _values(spark, broker, "out")
+
+
 @query("SELECT concat_ws(',', event_id::varchar, event_type) AS value FROM events WHERE event_type <> 'error'")
 def stream_dataset_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = topics_below(root)
     schema = land(table(spark, sf_dir, "events"), f"{root}/landed")
     flows.dataset_to_topic(
         spark,
@@ -910,22 +949,22 @@ def stream_dataset_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_publish_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = topics_below(root)
     orders = spark.readStream.schema(table(spark, sf_dir, "orders").schema).option("pathGlobFilter", "orders.parquet")
     records = keyed_records(orders.parquet(sf_dir), "o_orderkey")
     write_topic_stream(
         records, broker, "out", checkpoint=f"{root}/checkpoint", trigger=ONCE, keyed=True
     ).awaitTermination()
-    return inspect_topics(spark, broker, ["out"]).select("key", "value")
+    return broker.read(spark, ["out"], {})
 
 
 # ---- catalog
 
 
-def _registered(spark: SparkSession, sf_dir: str) -> tuple[Catalog, DirectoryBroker, str, str]:
+def _registered(spark: SparkSession, sf_dir: str) -> tuple[Catalog, Broker, str, str]:
     """Events registered as a dataset that was landed from its topic, with a table of the latest per user."""
     root = workspace(spark)
-    broker = DirectoryBroker(f"{root}/topics")
+    broker = topics_below(root)
     catalog = Catalog(spark, root, broker)
     dataset = catalog.register_dataset("events", events_schema("event_id"), land=False).id
     write_topic(encode_rows(table(spark, sf_dir, "events")), broker, dataset)

@@ -31,6 +31,8 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any, NamedTuple
 from uuid import uuid4
 
@@ -370,6 +372,32 @@ class KeyedTable:
             condition = condition & (named(name) == F.lit(value))
         return self.read(condition)
 
+    def changes(self, commits: Sequence[Commit]) -> DataFrame:
+        """The rows that these commits (consecutive ones) made different or new, as they are after the last one.
+
+        Only the keys that the commits wrote are looked up, in the state before them
+        and in the one after.  If a compaction folded some of them, the state
+        before is gone, and all rows that they wrote are returned.
+        """
+        now = self._snapshot()
+        first, last = min(c.batch for c in commits), max(c.batch for c in commits)
+        touched = self._log(Snapshot(now.version, list(commits))).select(*self._k).distinct()
+
+        def at(batch: int) -> DataFrame:
+            then = Snapshot(now.version, [c for c in now.commits if c.batch <= batch])
+            return self._present(self._state(then, among=touched))
+
+        after = at(last)
+        if now.version["folded"] >= first:
+            return after
+        names = [f"c{i}" for i in range(len(self._types))]
+        keys = [n for n, c in zip(names, self._types) if c in self.keys]
+        others = [n for n in names if n not in keys] or keys
+        old = at(first - 1).toDF(*names).select(*[F.col(k).alias(f"old_{k}") for k in keys], F.struct(*others).alias("old"))
+        same = reduce(and_, [F.col(k) == F.col(f"old_{k}") for k in keys]) & F.struct(*others).eqNullSafe(F.col("old"))
+        changed = after.toDF(*names).join(old, same, "left_anti")
+        return changed.toDF(*self._types)
+
     def _struct(self) -> T.StructType:
         return T.StructType([T.StructField(name, kind) for name, kind in self._types.items()])
 

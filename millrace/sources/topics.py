@@ -18,11 +18,19 @@ class Broker:
     """Where topics live: a connector name and its options.
 
     The default connector is Spark's Kafka source and sink; give
-    ``{"kafka.bootstrap.servers": "host:port"}`` as options.
+    ``{"kafka.bootstrap.servers": "host:port"}`` as options.  For a connector that
+    names a topic in an option of its own, ``{topic}`` stands for it there: with
+    ``Broker({"path": ".../{topic}"}, "parquet", "key STRING, value STRING")`` topics
+    are folders of Spark's Parquet source and sink.  ``schema`` is for sources that
+    have to be told theirs.
     """
 
     options: Mapping[str, str] = field(default_factory=dict)
     format: str = "kafka"
+    schema: str | None = None
+
+    def _options(self, topic: str) -> dict[str, str]:
+        return {k: v.replace("{topic}", topic) for k, v in self.options.items()}
 
     def read(self, spark: SparkSession, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
         return self._load(spark.read, topics, start)
@@ -31,15 +39,16 @@ class Broker:
         return self._load(spark.readStream, topics, start)
 
     def _load(self, reader, topics: list[str], start: Mapping[str, Any]) -> DataFrame:
-        return reader.format(self.format).options(**self.options, **start).option("subscribe", ",".join(topics)).load()
+        asked = ",".join(topics)
+        reader = reader.format(self.format).options(**self._options(asked), **start).option("subscribe", asked)
+        return (reader.schema(self.schema) if self.schema else reader).load()
 
     def write(self, records: DataFrame, topic: str) -> None:
-        records.write.format(self.format).mode("append").options(**self.options).option("topic", topic).save()
+        records.write.format(self.format).mode("append").options(**self._options(topic)).option("topic", topic).save()
 
     def write_stream(self, records: DataFrame, topic: str, writer_options: Mapping[str, Any]):
-        return (
-            records.writeStream.format(self.format).options(**self.options).option("topic", topic).options(**writer_options)
-        )
+        writer = records.writeStream.format(self.format).options(**self._options(topic))
+        return writer.option("topic", topic).options(**writer_options)
 
 
 def start_options(*, earliest: bool = False, latest: bool = False, group_id: str | None = None) -> dict[str, str]:

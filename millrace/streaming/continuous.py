@@ -1,27 +1,33 @@
 """Continuous loads: keep a table or a topic up to date with a growing dataset.
 
 Every landed file is read once where the projection allows it: row by row, or
-by carrying a plain aggregate on from the state of the stream.  A window, a
-subquery or a distinct aggregate needs all rows again, so each trigger that
+by carrying a plain aggregate on from the state of the stream.  Windows that are
+partitioned by columns are evaluated again for the values that new files have
+there, over a semi-join of the dataset with those values.  Other windows, a
+subquery or a distinct aggregate need all rows again, so each trigger that
 finds new files evaluates the projection over the whole dataset, and its cost
 grows with the dataset.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.functions.rows import encode_rows
-from millrace.operators.project import project
-from millrace.plans.shape import ROWS, STATE, WHOLE, growth
+from millrace.operators.project import named, project
+from millrace.plans.shape import PARTS, ROWS, STATE, WHOLE, growth, window_keys
 from millrace.sources import storage
 from millrace.sources.datasets import dataset_struct, scan_dataset, scan_dataset_stream
-from millrace.sources.keyed_table import KeyedTable
+from millrace.sources.keyed_table import Commit, KeyedTable
 from millrace.sources.topics import Broker, write_topic, write_topic_stream
 
 # Pause in seconds between two rounds of a continuous load.
@@ -32,6 +38,8 @@ DEFAULT_TRIGGER = {"processingTime": f"{RELOAD_SECONDS} seconds"}
 # write may take beside it.
 COMPACT_EVERY = 60
 KEEP_SECONDS = 24 * 3600
+# Commits of a table that one micro-batch of its changes takes at most.
+COMMITS_A_BATCH = 1000
 
 
 def _writer_name(spark: SparkSession, checkpoint: str) -> str:
@@ -50,11 +58,12 @@ def _follow(
     where: str | Column | None,
     source_options: Mapping[str, Any] | None,
     scan: Mapping[str, Any],
-) -> tuple[str, DataFrame]:
-    """How the projection follows new files, and the stream that drives it."""
+) -> tuple[str, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """How the projection follows new files, the stream that drives it, and what a micro-batch of it stands for."""
     # An empty frame is enough to analyze the projection; no file is listed for it.
     empty = spark.createDataFrame([], dataset_struct(schema, corrupt=scan.get("corrupt", False), zone_free=scan.get("zone_free", False)))
-    how = growth(project(empty, exprs, where))
+    projected = project(empty, exprs, where)
+    how = growth(projected)
     options = dict(source_options or {})
     if how == WHOLE:
         # The new files only say that there is work; taking them in portions
@@ -63,7 +72,20 @@ def _follow(
         if portions:
             raise ValueError(f"the projection needs the whole dataset in each round: leave out {', '.join(portions)}")
     files = scan_dataset_stream(spark, dataset_path, schema, options=options, **scan)
-    return how, files if how == WHOLE else project(files, exprs, where)
+    keys = window_keys(projected) if how == PARTS else []
+
+    def rows_of(batch: DataFrame) -> DataFrame:
+        if how in (ROWS, STATE):
+            return batch
+        rows = scan_dataset(batch.sparkSession, dataset_path, schema, **scan)
+        if how == PARTS:
+            touched = batch.select(*[named(k).alias(f"_t{i}") for i, k in enumerate(keys)]).distinct()
+            # NULLs make one partition.
+            same = reduce(and_, [named(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)])
+            rows = rows.join(touched, same, "left_semi")
+        return project(rows, exprs, where)
+
+    return how, project(files, exprs, where) if how in (ROWS, STATE) else files, rows_of
 
 
 def _start(
@@ -98,19 +120,15 @@ def stream_to_table(
     A failed constraint fails its micro-batch and stops the query.  A replayed
     micro-batch is recognised and not written twice.  The change log is folded
     after ``compact_every`` micro-batches (None: never), and what was replaced
-    more than ``keep_seconds`` ago is deleted.  A projection of the whole
-    dataset writes only the rows that differ from the table's.
+    more than ``keep_seconds`` ago is deleted.  A projection with windows, or of
+    the whole dataset, writes only the rows that differ from the table's.
     """
-    scan = dict(scan_options or {})
-    how, stream = _follow(spark, dataset_path, schema, exprs, where, source_options, scan)
+    how, stream, rows_of = _follow(spark, dataset_path, schema, exprs, where, source_options, dict(scan_options or {}))
     writer_name = _writer_name(spark, checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        if how == WHOLE:
-            batch = project(scan_dataset(session, dataset_path, schema, **scan), exprs, where)
-        table = KeyedTable.open(session, table_path)
-        table.upsert(batch, writer=writer_name, epoch=epoch, changed_only=how == WHOLE)
+        table = KeyedTable.open(batch.sparkSession, table_path)
+        table.upsert(rows_of(batch), writer=writer_name, epoch=epoch, changed_only=how in (PARTS, WHOLE))
         if compact_every and (epoch + 1) % compact_every == 0:
             table.compact()
             table.vacuum(older_than=keep_seconds)
@@ -136,11 +154,11 @@ def stream_to_topic(
 ) -> StreamingQuery:
     """Send the encoded projection of every new file to a topic, at least once.
 
-    A projection that is not row-local is sent anew, in full, for each round;
-    an aggregate is a single row.
+    A projection that is not row-local is sent anew for each round: with windows,
+    for the partitions that new files touch, else in full; an aggregate is a
+    single row.
     """
-    scan = dict(scan_options or {})
-    how, stream = _follow(spark, dataset_path, schema, exprs, where, source_options, scan)
+    how, stream, rows_of = _follow(spark, dataset_path, schema, exprs, where, source_options, dict(scan_options or {}))
     if how == ROWS:
         values = encode_rows(stream, quoted=quoted)
         return write_topic_stream(
@@ -148,8 +166,38 @@ def stream_to_topic(
         )
 
     def send(batch: DataFrame, epoch: int) -> None:
-        if how == WHOLE:
-            batch = project(scan_dataset(batch.sparkSession, dataset_path, schema, **scan), exprs, where)
-        write_topic(encode_rows(batch, quoted=quoted), broker, topic)
+        write_topic(encode_rows(rows_of(batch), quoted=quoted), broker, topic)
 
     return _start(stream.writeStream.foreachBatch(send), how, checkpoint, trigger, name)
+
+
+def stream_changes(
+    spark: SparkSession,
+    table_path: str,
+    send: Callable[[DataFrame, int], None],
+    *,
+    checkpoint: str,
+    trigger: Mapping[str, Any] | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Call ``send`` with the rows of a keyed table that changed, micro-batch by micro-batch.
+
+    The first micro-batches cover the table as it stands.  A micro-batch takes the
+    commits since the last one, and has the rows that are now different or new, as
+    they are after its last commit, each once; nothing is sent for a write that left
+    every row as it was.  What a compaction has folded meanwhile is compared
+    with nothing and sent as it stands, so a row may come again, but none is left out.
+    A micro-batch is repeated after a failure.  A feed may lag behind its table for as
+    long as the table keeps its log (``keep_seconds`` of continuous loads).
+    """
+    storage.make_dir(spark, f"{table_path}/commits")
+    commits = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", COMMITS_A_BATCH)
+    commits = commits.load(f"{table_path}/commits").select(F.col("_metadata.file_name").alias("marker"), "value")
+
+    def feed(batch: DataFrame, epoch: int) -> None:
+        # One small row per commit.
+        found = [Commit(int(r["marker"]), *json.loads(r["value"])) for r in batch.collect()]
+        if found:
+            send(KeyedTable.open(batch.sparkSession, table_path).changes(found), epoch)
+
+    return _start(commits.writeStream.foreachBatch(feed), ROWS, checkpoint, trigger, name)

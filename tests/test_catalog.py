@@ -4,9 +4,9 @@ from millrace.operators.related import AmbiguousNameError, NotFoundError, to_rec
 from millrace.functions.schema import SchemaError
 from millrace.plans.catalog import Catalog
 from millrace.sources import topics
-from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import scan_table
 from tests.conftest import rows
+from tests.directory_broker import DirectoryBroker
 from tests.test_flows import ONCE, SCHEMA, TABLE, values
 
 EXPRS = ["timestamp AS id", "my_column"]

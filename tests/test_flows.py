@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.rows import encode_rows
 from millrace.functions.schema import from_struct
-from millrace.plans import flows
+from millrace.plans import flows, shape
 from millrace.sources import topics
 from millrace.sources.datasets import scan_dataset
-from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import KeyedTable, scan_table
+from millrace.streaming import continuous
 from millrace.streaming.landing import LandingConflictError, bucket_column
 from tests.conftest import rows
+from tests.directory_broker import DirectoryBroker
 
 ONCE = {"availableNow": True}
 SCHEMA = [
@@ -383,3 +384,68 @@ def test_batch_and_stream_load_the_same_table(spark, events, work):
         source_options={"maxFilesPerTrigger": 1},
     ).awaitTermination()
     assert rows(scan_table(spark, f"{work}/once")) == rows(scan_table(spark, f"{work}/stream"))
+
+
+WINDOWED = ["my_column", "timestamp AS id", "count(*) OVER (PARTITION BY my_column) AS n"]
+
+
+def test_windows_are_evaluated_for_touched_partitions_only(spark, work):
+    target = [*TABLE, {"column_name": "n", "column_type": "biginteger"}]
+    KeyedTable.create(spark, f"{work}/t", target)
+    drop(f"{work}/ds", "p0", "1,a,x\n2,b,x\n3,b,y\n4,,y\n")
+    run_table(spark, work, WINDOWED)
+    drop(f"{work}/ds", "p1", "5,b,x\n6,,x\n7,c,x\n")
+    run_table(spark, work, WINDOWED)
+    assert rows(scan_table(spark, f"{work}/t")) == rows(
+        spark.createDataFrame([(1, "a", 1), (2, "b", 3), (3, "b", 3), (5, "b", 3), (4, None, 2), (6, None, 2), (7, "c", 1)], "a long, b string, c long")
+    )
+    logged = sorted(os.listdir(f"{work}/t/log"))
+    assert [spark.read.parquet(f"{work}/t/log/{f}").count() for f in logged] == [4, 6]
+
+    how, stream, rows_of = continuous._follow(spark, f"{work}/ds", SCHEMA, WINDOWED, None, None, {})
+    assert how == "parts" and stream.columns == [c["column_name"] for c in SCHEMA]
+    found = rows_of(spark.createDataFrame([(9, "b", "z"), (9, "b", "z")], "timestamp long, my_column string, other string"))
+    assert rows(found) == [("b", 2, 3), ("b", 3, 3), ("b", 5, 3)]
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    ("expr", "keys"),
+    [
+        ("sum(1) OVER (PARTITION BY a)", ["a"]),
+        ("sum(1) OVER (PARTITION BY a, b) + max(c) OVER (PARTITION BY b, upper(a))", ["b"]),
+        ("sum(1) OVER (PARTITION BY upper(a))", []),
+        ("sum(1) OVER (PARTITION BY a) + sum(1) OVER (PARTITION BY b)", []),
+        ("sum(1) OVER (ORDER BY a)", []),
+        ("sum(1) OVER (PARTITION BY a) + (SELECT 1)", []),
+        ("explode(array(a)) AS x, sum(1) OVER (PARTITION BY a)", []),
+        ("a", []),
+    ],
+)
+def test_keys_that_all_windows_share(spark, expr, keys):
+    empty = spark.createDataFrame([], "a string, b string, c long")
+    assert shape.window_keys(empty.selectExpr(*expr.split(" AS x, ") if "AS x" in expr else [expr])) == keys
+
+
+def test_changes_of_a_table(spark, work):
+    target = KeyedTable.create(spark, f"{work}/t", [*TABLE, {"column_name": "v", "column_type": "integer"}], sequence_by=["v"])
+    sent = []
+
+    def run():
+        sent.clear()
+        send = lambda df, epoch: sent.extend(map(tuple, df.collect()))
+        continuous.stream_changes(spark, f"{work}/t", send, checkpoint=f"{work}/feed", trigger=ONCE).awaitTermination()
+        return sorted(sent)
+
+    put = lambda *r: target.upsert(spark.createDataFrame(list(r), "id long, my_column string, v int"))
+    put((1, "a", 1), (2, "b", 1))
+    put((2, "c", 2), (3, None, 1))
+    assert run() == [(1, "a", 1), (2, "c", 2), (3, None, 1)]
+    put((1, "a", 1), (2, "old", 1), (3, "d", 2))  # the same, out of order, changed
+    assert run() == [(3, "d", 2)]
+    put((3, "d", 2))
+    assert run() == [] and run() == []
+    put((4, "e", 1))
+    target.compact()  # folds what was not sent yet
+    put((1, "f", 5))
+    assert run() == [(1, "f", 5), (4, "e", 1)]

@@ -4,9 +4,9 @@ from pyspark.sql import SparkSession
 from millrace.__main__ import main
 from millrace.functions.schema import to_json
 from millrace.sources import storage, topics
-from millrace.sources.directory_broker import DirectoryBroker
 from millrace.sources.keyed_table import KeyedTable, scan_table
 from tests.conftest import rows
+from tests.directory_broker import DirectoryBroker
 from tests.test_flows import SCHEMA, TABLE, values
 
 
