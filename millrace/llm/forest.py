@@ -9,7 +9,7 @@ values.  Candidates come from the longest common prefixes, in two rounds, and ea
 2. In the regions that still hold several components: every pair of sets of different components, one of them outside
    the region's main component.  Pairs are compared in the first region where they meet, by size and by a sketch of two bits a value;
    only those that come near the threshold go on.  The sets of regions that are large even at six values are not paired off:
-   of those, two that are similar enough share one of their rarest shingles, as many as the threshold lets them differ in.
+   those meet at their rare shingles, of which a similar set must hold all but as many as the threshold lets it lack.
 
 Two sets of similarity 0.8 miss each other in all 40 trees with a probability of 7e-10 in regions of four values, 1.3e-7 of
 five and 5e-6 of six, and the sketch (five standard errors below the threshold) passes over 3e-7 of them; links of
@@ -44,6 +44,8 @@ MIX, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Numbers of a sketch: two bits a value, 32 values a number.
 SKETCH = [f"s{k}" for k in range((2 * VALUES + 63) // 64)]
+#: Values of the wider sketch that the sets of large regions get.
+WIDE = np.random.default_rng(SEED + 1).integers(0, 1 << 63, 8 * VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD_BITS = 0x5555555555555555
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
@@ -80,20 +82,21 @@ class Shingles:
         return np.unique(out)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The smallest of all shingles under each of ``VALUES`` orders."""
-    out = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(shingles), CHUNK):
-        np.minimum(out, (shingles[k : k + CHUNK, None] * FACTORS).min(axis=0), out=out)
+def signature(shingles: np.ndarray, factors: np.ndarray = FACTORS) -> np.ndarray:
+    """The smallest of all shingles under each of several orders."""
+    out, rows = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64), CHUNK * VALUES // len(factors)
+    for k in range(0, len(shingles), rows):
+        np.minimum(out, (shingles[k : k + rows, None] * factors).min(axis=0), out=out)
     return out
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
     """Two bits of each value, rows of ``values`` by rows, as signed numbers."""
-    two = np.zeros((len(values), 32 * len(SKETCH)), np.uint64)
-    two[:, :VALUES] = values >> np.uint64(20) & np.uint64(3)
+    n = -(-values.shape[1] // 32)
+    two = np.zeros((len(values), 32 * n), np.uint64)
+    two[:, : values.shape[1]] = values >> np.uint64(20) & np.uint64(3)
     shifts = np.arange(0, 64, 2, dtype=np.uint64)
-    return np.bitwise_or.reduce(two.reshape(len(values), len(SKETCH), 32) << shifts, axis=2).view(np.int64)
+    return np.bitwise_or.reduce(two.reshape(len(values), n, 32) << shifts, axis=2).view(np.int64)
 
 
 def prefixes(values: np.ndarray) -> list[np.ndarray]:
@@ -167,16 +170,29 @@ def _stars(met: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """The number of values that differ, of two numbers of a sketch."""
+    bits = a.bitwiseXOR(b)
+    return F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(ODD_BITS)))
+
+
+def _most(percent: int, values: int) -> int:
+    """The values of a sketch that may differ: five standard errors more than expected at the threshold."""
+    agree = percent / 100 + (1 - percent / 100) / 4
+    return int(values * (1 - agree) + 5 * (values * agree * (1 - agree)) ** 0.5) + 1
+
+
 def _alike(percent: int) -> Column:
     """Whether the sizes and sketches of ``x`` and ``y`` allow so large a similarity."""
-    differ = []
-    for s in SKETCH:
-        bits = F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))
-        differ.append(F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(ODD_BITS))))
-    agree = percent / 100 + (1 - percent / 100) / 4
-    most = int(VALUES * (1 - agree) + 5 * (VALUES * agree * (1 - agree)) ** 0.5) + 1
+    differ = sum((_differing(F.col(f"x.{s}"), F.col(f"y.{s}")) for s in SKETCH), F.lit(0))
     sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    return sizes & (sum(differ, F.lit(0)) <= most)
+    return sizes & (differ <= _most(percent, VALUES))
+
+
+def _alike_widely(percent: int) -> Column:
+    """The same by the wider sketch."""
+    differ = F.aggregate(F.zip_with("x.wide", "y.wide", _differing), F.lit(0), lambda n, d: n + d)
+    return differ <= _most(percent, len(WIDE))
 
 
 def _regions(met: DataFrame, roots: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -198,24 +214,33 @@ def _regions(met: DataFrame, roots: DataFrame, path: str) -> tuple[DataFrame, Da
     return reduce(DataFrame.unionAll, small), large
 
 
-def _across(small: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that meet in a small region and look alike."""
+def _asking(large: DataFrame) -> DataFrame:
+    """The sets of large regions, and whether one of these has another main component than theirs."""
+    return large.groupBy("node").agg(F.max("group").alias("group"), F.max(F.col("group") != F.col("main")).alias("asks"))
+
+
+def _across(small: DataFrame, large: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that meet in a small region and look alike, but those that meet at rare shingles."""
     # At most a region a tree; a pair is found in the first of its common ones.
     keys = small.groupBy("node").agg(F.collect_list("at").alias("keys"))
-    here = small.join(nodes.select("node", "n", *SKETCH).join(keys, "node"), "node")
+    here = small.join(nodes.select("node", "n", *SKETCH).join(keys, "node"), "node").join(_asking(large).drop("group"), "node", "left")
     x, y = here.where("group <> main").alias("x"), here.alias("y")
     # One of each pair stands outside the main component; of two such, the smaller one asks.
     once = (F.col("y.group") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    met = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & _alike(percent)
+    elsewhere = F.coalesce(F.col("x.asks"), F.lit(False)) & F.col("y.asks").isNotNull()
+    elsewhere |= F.coalesce(F.col("y.asks"), F.lit(False)) & F.col("x.asks").isNotNull()
+    met = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & ~elsewhere & _alike(percent)
     pairs = x.join(y, met & (F.col("x.at") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def _by_rare_shingles(large: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, path: str) -> DataFrame:
-    """Pairs of sets of large regions, of different components and alike, that share one of their rarest shingles.
+    """Pairs of sets of large regions, of different components and alike, that rare shingles don't rule out.
 
-    Two sets that are similar enough have ``percent`` of either in common, so the rarest shingles of each, one more than it
-    may lack, have one in common if all are ordered alike.
+    By the sizes of two sets, one may lack so many of its shingles in the other, its slack, if they are similar enough.  If
+    more of its shingles are rare (in at most ``REGION`` of the sets), the other one holds all of these but the slack; only rare
+    shingles are met for that.  For pairs where fewer are rare, the rarest shingles of each, one more than its slack can ever
+    be, have one in common if all are ordered alike.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -224,19 +249,37 @@ def _by_rare_shingles(large: DataFrame, sets: DataFrame, nodes: DataFrame, perce
             node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(own))], ["node", "shingle"])
 
-    here = large.groupBy("node").agg(F.max("group").alias("group"), F.max(F.col("group") != F.col("main")).alias("asks"))
-    own = sets.join(here.select("node"), "node", "left_semi")
+    def widely(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in slices(batches, BLOCK_BYTES, "own"):
+            values = np.stack([signature(np.frombuffer(x, np.uint64), WIDE) for x in batch.column("own").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(sketch(values)), pa.list_(pa.int64()))], ["node", "wide"])
+
+    here = _asking(large)
+    own = written(sets.join(here.select("node"), "node", "left_semi"), f"{path}/large")
     each = written(in_tasks(own, run, "node bigint, shingle bigint"), f"{path}/shingles")
-    ranked = each.join(each.groupBy("shingle").agg(F.count("*").alias("times")), "shingle")
+    ranked = written(each.join(each.groupBy("shingle").agg(F.count("*").alias("times")), "shingle"), f"{path}/ranked")
+    rare = ranked.groupBy("node").agg(F.count_if(F.col("times") <= REGION).alias("rare"))
+    wide = in_tasks(own, widely, "node bigint, wide array<bigint>")
+    facts = nodes.select("node", "n", *SKETCH).join(here, "node").join(rare, "node").join(wide, "node")
+    facts = written(facts.withColumn("slack", F.col("n") - F.ceil(percent * F.col("n") / 100)), f"{path}/facts")
+    other = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & _alike(percent)
+    held = F.col("x.rare") - F.col("x.n") + F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+
+    met = ranked.where((F.col("times") > 1) & (F.col("times") <= REGION)).select("node", F.col("shingle").alias("at"))
+    met = met.join(facts, "node")
+    x, y = met.where("asks").alias("x"), met.alias("y")
+    many = x.join(y, other & (held > 0) & _alike_widely(percent)).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    many = many.agg(F.count("*").alias("n"), F.max(held).alias("least")).where("n >= least").select("a", "b")
+
     ordered = ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("all"))
-    size = F.size("all") - F.ceil(F.lit(percent) * F.size("all") / 100).cast("int") + 1
-    rare = ordered.select("node", F.explode(F.slice("all", F.lit(1), size)["shingle"]).alias("at"))
-    facts = nodes.select("node", "n", *SKETCH).join(here, "node")
-    rare = written(rare.join(facts, "node"), f"{path}/rare")
-    x, y = rare.where("asks").alias("x"), rare.alias("y")
-    once = ~F.col("y.asks") | (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & _alike(percent))
-    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    ordered = ordered.join(facts, "node").withColumn("first", F.slice("all", F.lit(1), F.col("slack").cast("int") + 1)["shingle"])
+    # The rarest of a short set go along, so that a pair is found at the first of its common ones.
+    head = F.when(F.col("slack") <= REGION, F.col("first")).alias("head")
+    first = written(ordered.select(*facts.columns, head, F.explode("first").alias("at")), f"{path}/rarest")
+    x, y = first.where("asks").alias("x"), first.alias("y")
+    once = F.coalesce(F.get(F.array_intersect("x.head", "y.head"), 0) == F.col("x.at"), F.lit(True))
+    few = x.join(y, other & (held <= 0) & once & _alike_widely(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return many.unionAll(few).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _sets(needed: DataFrame, docs: DataFrame, words: int, text_column: str, path: str) -> DataFrame:
@@ -305,7 +348,7 @@ def near_duplicates(
     links = _confirmed(pairs, sets, percent, f"{path}/first")
     roots = written(components(links, f"{path}/first-rounds"), f"{path}/roots")
     small, large = _regions(met, roots, path)
-    pairs = written(_across(small, nodes, percent), f"{path}/across")
+    pairs = written(_across(small, large, nodes, percent), f"{path}/across")
     ends = _ends(pairs).unionAll(large.select("node")).distinct()
     sets = _sets(ends.join(texts, "node"), docs, words, text_column, f"{path}/second")
     rare = _by_rare_shingles(large, sets, nodes, percent, f"{path}/second")
