@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm.common import column, in_tasks, raw_texts, slices, with_row, work_dir, written
 from millrace.sources import storage
@@ -198,6 +199,23 @@ def overlaps(
     ``block_bytes`` of text, which bounds what a task holds; each block is one pass over the
     documents, and between two passes the rows are a written table.
     """
+    rows, schema, shared = _before_last(docs, items, window, text_column, item_column, item_text_column, keep_text, block_bytes)
+    rows = in_tasks(rows, _matcher(shared, keep_text), schema)
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return rows.select("row", "text", "n_words", "spans", hit.alias("n_hit"), "item_ids")
+
+
+def _before_last(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int,
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+    keep_text: bool = False,
+    block_bytes: int = 4_000_000,
+) -> tuple[DataFrame, StructType, Broadcast]:
+    """The rows of ``overlaps`` after all blocks of items but the last, their schema, and the last block's automaton."""
     spark = docs.sparkSession
     others = F.struct(*[column(c) for c in docs.columns if c != text_column]).alias("row")
     rows = docs.select(
@@ -218,9 +236,18 @@ def overlaps(
                 storage.remove(spark, before)
             before = f"{path}/{k}"
         shared = spark.sparkContext.broadcast(Automaton([(i, words_of(t)) for i, t in block], window))
-        rows = in_tasks(rows, _matcher(shared, keep_text or not is_last), schema)
-    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return rows.select("row", "text", "n_words", "spans", hit.alias("n_hit"), "item_ids")
+        if not is_last:
+            rows = in_tasks(rows, _matcher(shared, True), schema)
+    return rows, schema, shared
+
+
+def _matched(automaton: Automaton, batch: pa.RecordBatch) -> Iterator[tuple[bytes | None, int, list[list[int]], set[int], list[str]]]:
+    """Text, number of words, spans, items and earlier items' ids of each row, spans of earlier blocks included."""
+    earlier = batch.column("spans").to_pylist(), batch.column("item_ids").to_pylist()
+    for text, had, had_ids in zip(raw_texts(batch), *earlier, strict=True):
+        words = words_of(text)
+        own, found = automaton.match(words)
+        yield text, len(words), _merged(own + [[x["first"], x["last"]] for x in had]) if had else own, found, had_ids
 
 
 def _matcher(shared: Broadcast, keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
@@ -228,12 +255,8 @@ def _matcher(shared: Broadcast, keep_text: bool) -> Callable[[Iterator[pa.Record
         automaton = shared.value
         for batch in slices(batches):
             n_words, spans, ids = [], [], []
-            earlier = batch.column("spans").to_pylist(), batch.column("item_ids").to_pylist()
-            for text, had, had_ids in zip(raw_texts(batch), *earlier, strict=True):
-                words = words_of(text)
-                own, found = automaton.match(words)
-                own = _merged(own + [[x["first"], x["last"]] for x in had]) if had else own
-                n_words.append(len(words))
+            for _, n, own, found, had_ids in _matched(automaton, batch):
+                n_words.append(n)
                 spans.append([{"first": a, "last": b} for a, b in own])
                 ids.append(sorted({automaton.items[i] for i in found if automaton.items[i] is not None} | set(had_ids)))
             text = batch.column("text") if keep_text else pa.nulls(batch.num_rows, pa.string())
@@ -268,17 +291,21 @@ def decontaminated(
     Coverage is the share of a document's words that are hit.  Columns are as given; where
     there is a column ``n_chars`` and a text changes, it takes the new length.
     """
-    found = overlaps(docs, items, window, text_column, keep_text=True, **named)
-    found = found.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
+    rows, _, shared = _before_last(docs, items, window, text_column, keep_text=True, **named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        automaton = shared.value
         for batch in slices(batches):
-            spans = [[[x["first"], x["last"]] for x in s] for s in batch.column("spans").to_pylist()]
-            texts = [without(t, s) if s else t for t, s in zip(raw_texts(batch), spans, strict=True)]
+            texts, changed, stays = [], [], []
+            for text, n, spans, _, _ in _matched(automaton, batch):
+                stays.append(sum(b - a + 1 for a, b in spans) <= max_coverage * n)
+                texts.append(without(text, spans) if spans and stays[-1] else text)
+                changed.append(bool(spans))
             text = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), text, pa.array(list(map(bool, spans)))], ["row", "text", "changed"])
+            done = pa.RecordBatch.from_arrays([batch.column("row"), text, pa.array(changed, pa.bool_())], ["row", "text", "changed"])
+            yield done.filter(pa.array(stays, pa.bool_()))
 
-    rows = in_tasks(found.select("row", "text", "spans"), run, with_row(found, "text string, changed boolean"))
+    rows = in_tasks(rows, run, with_row(rows, "text string, changed boolean"))
     new = {text_column: F.col("text")}
     if "n_chars" in docs.columns and text_column != "n_chars":
         own = F.col("row").getField("n_chars")
