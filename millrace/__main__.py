@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
 
     command = job("topic-to-dataset", "land a topic", "bootstrap-servers", "topic", "path", "checkpoint")
     command.add_argument("--max-records-per-file", type=int)
+    command.add_argument("--source", help="name of this source, where several land in one dataset")
     source(command)
     source(job("topic-to-topic", "copy a topic", "bootstrap-servers", "topic", "target", "checkpoint"))
     command = job("create-table", "create a keyed table", "table", "schema-path")
@@ -109,7 +110,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, b
         common = {"checkpoint": args.checkpoint, "start": start, "trigger": timing()}
         if args.job == "topic-to-dataset":
             query = flows.topic_to_dataset(
-                spark, broker, args.topic, args.path, max_records_per_file=args.max_records_per_file, **common
+                spark,
+                broker,
+                args.topic,
+                args.path,
+                max_records_per_file=args.max_records_per_file,
+                source=args.source,
+                **common,
             )
         else:
             query = flows.topic_to_topic(spark, broker, args.topic, args.target, **common)

@@ -8,8 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_TEXT = "\\N"
-# How quoted text is written and read: outer spaces are part of a value.
-QUOTED = {"nullValue": NULL_TEXT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# How quoted text is written and read: outer spaces are part of a value, a quote
+# is doubled, and a backslash is left to the escapes below.
+QUOTED = {"nullValue": NULL_TEXT, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What a line can't hold, and how quoted text spells it.  A backslash is doubled.
+ESCAPES = {"\n": "\\n", "\r": "\\r"}
+
+
+def escaped(text: Column) -> Column:
+    """Text on one line that is never the sign of NULL: ``unescaped`` gives the text back."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for raw, spelt in ESCAPES.items():
+        out = F.replace(out, F.lit(raw), F.lit(spelt))
+    return out
+
+
+def unescaped(text: Column) -> Column:
+    """The text that ``escaped`` was given; NULL is NULL."""
+
+    def plain(part: Column) -> Column:
+        for raw, spelt in ESCAPES.items():
+            part = F.replace(part, F.lit(spelt), F.lit(raw))
+        return part
+
+    # Between two doubled backslashes every other backslash begins an escape.
+    whole = F.array_join(F.transform(F.split(text, r"\\\\"), plain), "\\")
+    return F.when(F.contains(text, F.lit("\\")), whole).otherwise(text)
 
 
 def by_position(df: DataFrame) -> DataFrame:
@@ -26,9 +50,7 @@ def cast_all_to_string(df: DataFrame) -> DataFrame:
 def _line(columns: list[str], quoted: bool) -> Column:
     texts = [F.col(c).cast("string").alias(c) for c in columns]
     if quoted:
-        line = F.to_csv(F.struct(*texts), QUOTED)
-        broken = F.raise_error(F.lit("a quoted line cannot hold a line break"))
-        return F.when(line.rlike("[\r\n]"), broken).otherwise(line)
+        return F.to_csv(F.struct(*[escaped(t).alias(c) for t, c in zip(texts, columns, strict=True)]), QUOTED)
     return F.concat_ws(",", *texts)
 
 
@@ -37,9 +59,9 @@ def encode_rows(df: DataFrame, *, quoted: bool = False) -> DataFrame:
 
     The default joins the columns as they are: NULLs are left out, so later
     fields move left, and a comma inside a field is not protected.
-    ``quoted=True`` keeps NULLs apart from empty text and protects commas and
-    outer spaces; a value with a line break fails.  Scan the result with
-    ``quoted=True`` too.  Only ``value`` is returned, so no
+    ``quoted=True`` keeps every value as it is: NULLs apart from empty text and
+    from a literal ``\\N``, commas, outer spaces and line breaks.  Scan the
+    result with ``quoted=True`` too.  Only ``value`` is returned, so no
     user column can act as a topic sink's routing column.
     """
     safe = by_position(df)

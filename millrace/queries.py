@@ -123,6 +123,21 @@ def csv_scan_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_dataset(spark, path, schema, quoted=True))
 
 
+@query(
+    """SELECT doc_id, text, nullif(lang, 'en') AS lang, concat('\\N', chr(13), chr(10), lang, '\\', ',"n', '\\n ') AS odd,
+        CASE WHEN lang = 'en' THEN '\\N' ELSE '' END AS sign FROM documents"""
+)
+def csv_scan_reversible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts through landed lines: line breaks, backslashes, separators, NULLs and the sign of NULL come back."""
+    path = workspace(spark)
+    odd = F.concat(F.lit("\\N\r\n"), "lang", F.lit('\\,"n\\n '))
+    sign = F.when(F.col("lang") == "en", "\\N").otherwise("")
+    lang = F.expr("nullif(lang, 'en')").alias("lang")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", lang, odd.alias("odd"), sign.alias("sign"))
+    schema = land(rows, path, quoted=True)
+    return scan_dataset(spark, path, schema, quoted=True)
+
+
 @query("SELECT * FROM events")
 def csv_scan_zone_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times as they are written, in whatever zone the session is."""
@@ -711,6 +726,34 @@ def topic_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_dataset(spark, f"{root}/landed", events_schema()))
 
 
+@query(
+    """SELECT * FROM events UNION ALL
+    SELECT o_orderkey, o_orderdate, o_custkey, 'order', o_totalprice, o_orderpriority FROM orders"""
+)
+def landing_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics land side by side in one dataset, each under its own checkpoint."""
+    root = workspace(spark)
+    broker = _topic(spark, sf_dir, root)
+    as_events = ["o_orderkey", "o_orderdate", "o_custkey", "'order' AS event_type", "o_totalprice", "o_orderpriority"]
+    write_topic(encode_rows(project(table(spark, sf_dir, "orders"), as_events)), broker, "orders")
+    landings = [
+        flows.topic_to_dataset(
+            spark,
+            broker,
+            topic,
+            f"{root}/landed",
+            checkpoint=f"{root}/checkpoint-{topic}",
+            source=topic,
+            start={"earliest": True},
+            trigger=ONCE,
+        )
+        for topic in ("events", "orders")
+    ]
+    for landing in landings:
+        landing.awaitTermination()
+    return plain(scan_dataset(spark, f"{root}/landed", events_schema()))
+
+
 @query(
     """SELECT strftime(o_orderdate, '%Y-%m') AS bucket, count(*) AS n, min(o_orderkey) AS first_key
     FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '2001-01' GROUP BY 1"""

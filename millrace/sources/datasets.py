@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.rows import QUOTED
+from millrace.functions.rows import QUOTED, unescaped
 from millrace.functions.schema import to_struct
+from millrace.sources import storage
 
 CORRUPT = "_corrupt_record"
 # A file stream passes over files that are older than this by the newest file it
 # has seen.  A century keeps them all, as the batch scan does.
 KEEP_ALL_FILES = "36500d"
+# Fixed value: where Spark's file sink logs the micro-batches it has landed.
+SINK_LOG = "_spark_metadata"
+# Folders of the sources that share a dataset; the rest of the name is the source's.
+SOURCE_FOLDER = "source="
 
 
 def dataset_struct(
@@ -49,9 +55,25 @@ def _csv(reader, schema, mode: str, quoted: bool, corrupt: bool, zone_free: bool
     return reader, names
 
 
-def _declared(df: DataFrame, names: list[str], bucket: str | None) -> DataFrame:
-    wanted = [F.col(f"`{n}`") for n in names]
-    return df.select(*wanted, F.col(f"`{bucket}`").cast("string").alias(bucket)) if bucket else df.select(*wanted)
+def landed_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders that a scan of ``path`` unites: itself, or one per source that lands there, each with its sink's log."""
+    found = storage.names(spark, path)
+    sources = [f"{path}/{n}" for n in found if n.startswith(SOURCE_FOLDER)]
+    return [path, *sources] if SINK_LOG in found or not sources else sources
+
+
+def _declared(df: DataFrame, names: list[str], bucket: str | None, quoted: bool) -> DataFrame:
+    def wanted(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        is_text = quoted and name != CORRUPT and df.schema[name].dataType == T.StringType()
+        return unescaped(column).alias(name) if is_text else column
+
+    columns = [wanted(n) for n in names]
+    return df.select(*columns, F.col(f"`{bucket}`").cast("string").alias(bucket)) if bucket else df.select(*columns)
+
+
+def _united(folders: list[str], scan: Callable[[str], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, [scan(folder) for folder in folders])
 
 
 def scan_dataset(
@@ -73,10 +95,15 @@ def scan_dataset(
     ``timestamp`` is read in the session's zone; ``zone_free=True`` keeps it as
     written, as a ``timestamp_ntz``.  ``bucket``
     names the landing directory column and exposes it, so that a filter on it
-    leaves whole directories unread.
+    leaves whole directories unread.  Sources that land in folders of their own
+    below ``path`` are united, without a shuffle.
     """
-    reader, names = _csv(spark.read, schema, mode, quoted, corrupt, zone_free, bucket)
-    return _declared(reader.csv(path), names, bucket)
+
+    def scan(folder: str) -> DataFrame:
+        reader, names = _csv(spark.read, schema, mode, quoted, corrupt, zone_free, bucket)
+        return _declared(reader.csv(folder), names, bucket, quoted)
+
+    return _united(landed_folders(spark, path), scan)
 
 
 def scan_dataset_stream(
@@ -95,8 +122,14 @@ def scan_dataset_stream(
     ``options`` reach the file source, for example ``maxBytesPerTrigger`` or
     ``maxFilesPerTrigger`` to bound one micro-batch over a large backlog.  No
     file is passed over for its age, so a stream remembers every file it read;
-    ``maxFileAge`` bounds that where older files never arrive late.
+    ``maxFileAge`` bounds that where older files never arrive late.  The
+    dataset's sources are those there when the stream is made: after one is added,
+    follow the dataset under a new checkpoint.
     """
-    reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt, zone_free)
-    reader = reader.option("maxFileAge", KEEP_ALL_FILES).options(**(options or {}))
-    return _declared(reader.csv(path), names, None)
+
+    def scan(folder: str) -> DataFrame:
+        reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt, zone_free)
+        reader = reader.option("maxFileAge", KEEP_ALL_FILES).options(**(options or {}))
+        return _declared(reader.csv(folder), names, None, quoted)
+
+    return _united(landed_folders(spark, path), scan)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from typing import Any
 
@@ -10,13 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources import storage
+from millrace.sources.datasets import SINK_LOG, SOURCE_FOLDER
 
 # Name format of the hourly directories, and the default age in
 # seconds at which a landing file is closed.
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 ROLL_SECONDS = 15
-# Fixed value: where Spark's file sink logs the micro-batches it has landed.
-SINK_LOG = "_spark_metadata"
 
 
 class LandingConflictError(ValueError):
@@ -42,6 +42,18 @@ def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
         raise LandingConflictError(f"{path} was filled under a checkpoint that {checkpoint} no longer holds")
 
 
+def _source_folder(spark: SparkSession, path: str, source: str) -> str:
+    """Where a source lands that shares its dataset with others."""
+    if not re.fullmatch(r"[\w.-]+", source):
+        raise ValueError(f"a source's name has letters, digits, '_', '.' and '-' only: {source!r}")
+    found = storage.names(spark, path)
+    loose = [n for n in found if n[0] not in "._" and not n.startswith(SOURCE_FOLDER)]
+    if loose and SINK_LOG not in found:
+        # A scan would have to list these beside folders that must be read by their logs.
+        raise LandingConflictError(f"{path} has files that no stream landed: land sources in a directory of their own")
+    return f"{path}/{SOURCE_FOLDER}{source}"
+
+
 def bucket_of(moment: Column, bucket_format: str = BUCKET_FORMAT) -> Column:
     """Name of the landing directory for a time; hourly by default."""
     return F.date_format(moment, bucket_format)
@@ -61,6 +73,7 @@ def land_stream(
     path: str,
     *,
     checkpoint: str,
+    source: str | None = None,
     time: Column | None = None,
     bucket: str = "bucket",
     bucket_format: str = BUCKET_FORMAT,
@@ -79,12 +92,18 @@ def land_stream(
     once for scans of ``path``.  A directory is filled under one checkpoint:
     another one is refused with :class:`LandingConflictError`.
 
+    Streams that land in one dataset side by side are told apart by ``source``:
+    each has a folder, a log and a checkpoint of its own below ``path``, and
+    scans of ``path`` unite them with what was landed without a source.
+
     Each task writes its own file in every directory it has lines for.  That is
     one directory at a time for processing time, but a backlog spread by
     ``time`` meets many: ``files_per_bucket`` then shuffles the lines so that
     one directory is written by that many tasks, which also splits an hour that
     holds most of the lines.
     """
+    if source is not None:
+        path = _source_folder(df.sparkSession, path, source)
     _claim(df.sparkSession, path, checkpoint)
     moment = F.current_timestamp() if time is None else time
     lines = df.select(F.col("value"), bucket_of(moment, bucket_format).alias(bucket))

@@ -7,7 +7,7 @@ from millrace.functions.rows import encode_rows
 from millrace.functions.schema import from_struct
 from millrace.plans import flows, shape
 from millrace.sources import topics
-from millrace.sources.datasets import scan_dataset
+from millrace.sources.datasets import scan_dataset, scan_dataset_stream
 from millrace.sources.keyed_table import KeyedTable, scan_table
 from millrace.streaming import continuous
 from millrace.streaming.landing import LandingConflictError, bucket_column
@@ -281,6 +281,43 @@ def test_second_checkpoint_may_not_land_in_a_directory(spark, broker, work):
     assert rows(scan_dataset(spark, f"{work}/ds", SCHEMA)) == [(1, "a", "x")]
 
 
+def test_sources_share_a_dataset(spark, broker, work):
+    def land(topic, value, source=None):
+        topics.write_topic(spark.createDataFrame([(value,)], "value string"), broker, topic)
+        where = {"checkpoint": f"{work}/cp-{topic}", "source": source, "trigger": ONCE}
+        flows.topic_to_dataset(spark, broker, topic, f"{work}/ds", **where).awaitTermination()
+
+    def follow(checkpoint):
+        seen = []
+        stream = scan_dataset_stream(spark, f"{work}/ds", SCHEMA).writeStream.foreachBatch(lambda df, _: seen.extend(rows(df)))
+        stream.option("checkpointLocation", f"{work}/{checkpoint}").trigger(**ONCE).start().awaitTermination()
+        return sorted(seen)
+
+    land("a", "1,a,x")
+    land("b", "2,b,y", "b")
+    land("c", "3,c,z", "c")
+    everything = [(1, "a", "x"), (2, "b", "y"), (3, "c", "z")]
+    assert rows(scan_dataset(spark, f"{work}/ds", SCHEMA)) == everything
+    assert follow("follow") == everything
+    # A file that no log lists, as a failed attempt leaves it, is no part of the dataset.
+    bucket = next(n for n in os.listdir(f"{work}/ds/source=b") if n.startswith("bucket="))
+    drop(f"{work}/ds/source=b/{bucket}", "part-lost", "9,lost,lost\n")
+    land("b", "4,b,y", "b")
+    assert rows(scan_dataset(spark, f"{work}/ds", SCHEMA)) == [*everything, (4, "b", "y")]
+    assert follow("follow") == [(4, "b", "y")]
+    buckets = scan_dataset(spark, f"{work}/ds", SCHEMA, bucket="bucket")
+    assert buckets.where("bucket >= '2000'").count() == 4 and buckets.where("bucket < '2000'").count() == 0
+
+
+def test_sources_that_cannot_share(spark, broker, work):
+    topics.write_topic(spark.createDataFrame([("1,a,x",)], "value string"), broker, "a")
+    drop(f"{work}/ds", "p0", "1,a,x\n")
+    with pytest.raises(LandingConflictError, match="no stream landed"):
+        flows.topic_to_dataset(spark, broker, "a", f"{work}/ds", checkpoint=f"{work}/cp", source="a")
+    with pytest.raises(ValueError, match="name"):
+        flows.topic_to_dataset(spark, broker, "a", f"{work}/new", checkpoint=f"{work}/cp", source="../a")
+
+
 def test_topics_take_batches_and_streams(spark, broker, work):
     for topic in ("a", "b", "c"):
         topics.write_topic(spark.createDataFrame([(topic,)], "value string"), broker, topic)

@@ -44,7 +44,7 @@ def test_text_of_numbers(spark):
     assert lines(encode_rows(df)) == ["1.0,1.0E7,true,2021-01-01 00:00:00.12,7"]
 
 
-FIELD = st.one_of(st.none(), st.text(alphabet=st.sampled_from('ab ,"\'\\x{}:'), max_size=6))
+FIELD = st.one_of(st.none(), st.text(alphabet=st.sampled_from('ab ,"\'\\x{}:nrN\n\r'), max_size=6))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
