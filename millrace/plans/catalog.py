@@ -191,23 +191,30 @@ class Catalog:
         return self._land(dataset_id, checked, start, landing)
 
     def start_landing(
-        self, dataset_id: str, *, start: Mapping[str, Any] | None = None, **landing: Any
+        self, dataset_id: str, *, topic: str | None = None, start: Mapping[str, Any] | None = None, **landing: Any
     ) -> Registered:
-        """Start landing a dataset that was registered with ``land=False``."""
+        """Start landing a dataset that was registered with ``land=False``; or one more ``topic`` of such lines in it."""
         self._need_dataset(dataset_id)
-        return self._land(dataset_id, self.schema_of(dataset_id), start, landing)
+        return self._land(dataset_id, self.schema_of(dataset_id), start, landing, topic)
 
     def _land(
-        self, dataset_id: str, schema: list[SchemaColumn], start: Mapping[str, Any] | None, landing: dict[str, Any]
+        self,
+        dataset_id: str,
+        schema: list[SchemaColumn],
+        start: Mapping[str, Any] | None,
+        landing: dict[str, Any],
+        topic: str | None = None,
     ) -> Registered:
         flow_id = ids.new_id("stream")
+        if topic is not None:
+            landing.setdefault("source", topic)
         landing.setdefault("bucket", bucket_column([c["column_name"] for c in schema]))
         query = flows.topic_to_dataset(
             self.spark,
             self.broker,
-            dataset_id,
+            topic or dataset_id,
             self.dataset_path(dataset_id),
-            checkpoint=self._checkpoint(f"landing-{dataset_id}"),
+            checkpoint=self._checkpoint(f"landing-{dataset_id}" if topic is None else f"landing-{dataset_id}-{topic}"),
             start=start or {"group_id": dataset_id},
             **landing,
         )

@@ -776,6 +776,27 @@ def landed_bucket_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent.groupBy("bucket").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
 
 
+@query("SELECT * FROM events")
+def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come late fill hours that a stream has read before; it reads the new files there."""
+    root = workspace(spark)
+    broker = topics_below(root)
+    for rows in ("event_id % 3 > 0", "event_id % 3 = 0 OR event_id IS NULL"):
+        write_topic(encode_rows(table(spark, sf_dir, "events").where(rows)), broker, "events")
+        land_stream(
+            broker.read_stream(spark, ["events"], {}).select(F.col("value").cast("string").alias("value")),
+            f"{root}/landed",
+            checkpoint=f"{root}/checkpoint",
+            time=F.to_timestamp(F.split("value", ",")[1]),
+            bucket_format="yyyy-MM",
+            files_per_bucket=1,
+            trigger=ONCE,
+        ).awaitTermination()
+        lines = scan_dataset_stream(spark, f"{root}/landed", events_schema()).writeStream.format("parquet")
+        lines.option("path", f"{root}/out").option("checkpointLocation", f"{root}/read").trigger(**ONCE).start().awaitTermination()
+    return plain(spark.read.parquet(f"{root}/out"))
+
+
 @query(f"SELECT {EVENT_LINE} AS value FROM events")
 def topic_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)

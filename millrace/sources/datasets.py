@@ -18,6 +18,10 @@ CORRUPT = "_corrupt_record"
 # A file stream passes over files that are older than this by the newest file it
 # has seen.  A century keeps them all, as the batch scan does.
 KEEP_ALL_FILES = "36500d"
+# In a folder that a stream fills, a micro-batch's files are all newer than those
+# of the one before, so a file can't be late by more than the clocks are apart:
+# what is older than this by the newest file read need not be remembered.
+KEEP_LANDED_FILES = "2d"
 # Fixed value: where Spark's file sink logs the micro-batches it has landed.
 SINK_LOG = "_spark_metadata"
 # Folders of the sources that share a dataset; the rest of the name is the source's.
@@ -121,15 +125,17 @@ def scan_dataset_stream(
 
     ``options`` reach the file source, for example ``maxBytesPerTrigger`` or
     ``maxFilesPerTrigger`` to bound one micro-batch over a large backlog.  No
-    file is passed over for its age, so a stream remembers every file it read;
-    ``maxFileAge`` bounds that where older files never arrive late.  The
-    dataset's sources are those there when the stream is made: after one is added,
+    file is passed over for its age.  Of a folder that ``land_stream`` fills only
+    the files of the last two days read are remembered, since none comes late there,
+    whatever hour its lines are of; of any other folder every file is, unless
+    ``maxFileAge`` says that older ones never come late.  The dataset's sources are those there when the stream is made: after one is added,
     follow the dataset under a new checkpoint.
     """
 
     def scan(folder: str) -> DataFrame:
         reader, names = _csv(spark.readStream, schema, mode, quoted, corrupt, zone_free)
-        reader = reader.option("maxFileAge", KEEP_ALL_FILES).options(**(options or {}))
-        return _declared(reader.csv(folder), names, None, quoted)
+        is_landed = storage.exists(spark, f"{folder}/{SINK_LOG}")
+        reader = reader.option("maxFileAge", KEEP_LANDED_FILES if is_landed else KEEP_ALL_FILES)
+        return _declared(reader.options(**(options or {})).csv(folder), names, None, quoted)
 
     return _united(landed_folders(spark, path), scan)

@@ -24,6 +24,15 @@ def landed(spark, catalog, *lines):
     return dataset
 
 
+def test_two_topics_land_in_one_dataset(spark, catalog):
+    dataset = landed(spark, catalog, "1,a,x")
+    topics.write_topic(spark.createDataFrame([("2,b,y",)], "value string"), catalog.broker, "more")
+    catalog.start_landing(dataset, topic="more", start={"earliest": True}, trigger=ONCE).query.awaitTermination()
+    loaded = catalog.register_table(dataset, "latest", TABLE, EXPRS, trigger=ONCE)
+    loaded.query.awaitTermination()
+    assert rows(scan_table(spark, catalog.table_path(loaded.id))) == [(1, "a"), (2, "b")]
+
+
 def test_whole_course(spark, catalog):
     dataset = landed(spark, catalog, "1,a,x", "2,b,y", "1,c,z")
     assert [r["name"] for r in to_records(catalog.datasets(), ["name"])] == ["sensor"]

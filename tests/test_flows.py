@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from millrace.functions.rows import encode_rows
 from millrace.functions.schema import from_struct
 from millrace.plans import flows, shape
-from millrace.sources import topics
+from millrace.sources import datasets, topics
 from millrace.sources.datasets import scan_dataset, scan_dataset_stream
 from millrace.sources.keyed_table import KeyedTable, scan_table
 from millrace.streaming import continuous
@@ -309,6 +309,20 @@ def test_sources_share_a_dataset(spark, broker, work):
     assert buckets.where("bucket >= '2000'").count() == 4 and buckets.where("bucket < '2000'").count() == 0
 
 
+def test_closed_hours_are_not_remembered(spark, broker, work, monkeypatch):
+    """What a stream remembers of a landed folder is bounded by age, not by the files that it has read; none is lost."""
+    monkeypatch.setattr(datasets, "KEEP_LANDED_FILES", "1ms")
+    for number in range(4):
+        topics.write_topic(spark.createDataFrame([(f"{number},a,x",)], "value string"), broker, "a")
+        flows.topic_to_dataset(spark, broker, "a", f"{work}/ds", checkpoint=f"{work}/cp", trigger=ONCE).awaitTermination()
+        seen = []
+        stream = scan_dataset_stream(spark, f"{work}/ds", SCHEMA).writeStream.foreachBatch(lambda df, _: seen.extend(rows(df)))
+        query = stream.option("checkpointLocation", f"{work}/follow").trigger(**ONCE).start()
+        query.awaitTermination()
+        assert seen == [(number, "a", "x")]
+        assert query._jsq.streamingQuery().sources().head().seenFiles().size() == 1
+
+
 def test_sources_that_cannot_share(spark, broker, work):
     topics.write_topic(spark.createDataFrame([("1,a,x",)], "value string"), broker, "a")
     drop(f"{work}/ds", "p0", "1,a,x\n")
