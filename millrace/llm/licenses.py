@@ -1,10 +1,10 @@
-"""Licence scan: passages that hold a template, judged by a trained classifier.
+"""Licence scan: a trained classifier predicts the licence families of paragraphs, a template or name confirms them.
 
-Consecutive lines are read as one run of words, so a statement may be wrapped.  Where most word pairs of a
-family's template stand close together is a passage, and where its licence is named after a lead (*released
-under the*), before *licensed* or as a heading.  A softmax regression on word n-grams gives it a
-probability for every licence family and for *unknown*; a temperature, set on paragraphs held out from the
-fit, calibrates them.
+A softmax regression on word n-grams gives every paragraph a probability for each licence family and for
+*unknown*; a temperature, set on templates and names held out from the fit, calibrates them.  Consecutive
+lines are paragraphs too, so a statement may be wrapped.  A family that is likelier than unknown is confirmed
+where most word pairs of one of its templates stand close together, or its licence is named after a
+lead (*released under the*), before *licensed* or as a heading.
 """
 
 from __future__ import annotations
@@ -146,9 +146,10 @@ OTHERS = [
 UNKNOWN = "unknown"
 #: Least share of a template's word pairs that a passage must hold.
 LEAST_CONTAINED = 0.8
-#: Words that a passage spans at most: so many times its template's, and so many more; and words of its lines that are
-#: judged with it on either side.
-REACH_TIMES, REACH_MORE, AROUND = 2, 16, 30
+#: Words that a passage spans at most: so many times its template's, and so many more.
+REACH_TIMES, REACH_MORE = 2, 16
+#: Words of a paragraph that is judged at once.
+PARAGRAPH = 60
 #: Words that mark a comment at the head of a line; marks without letters are no words.
 COMMENT = {b"rem", b"dnl"}
 #: Paragraphs of the corpus that the unknown class is learned from, and characters of each.
@@ -305,22 +306,40 @@ class Model:
                 hits.setdefault(t, []).append((at, pair))
         return [p for t, of in hits.items() if len(of) >= self.templates[t].least for p in self.templates[t].passages(of)]
 
+    def predicted(self, own: list[bytes], starts: list[int]) -> dict[str, list[tuple[range, float]]]:
+        """The families that the classifier sees in a block: the words of each of their paragraphs, and its probability.
+
+        Families that are stated side by side share the probability: each needs more than unknown has.
+        """
+        out: dict[str, list] = {}
+        nothing = self.probabilities([])
+        for at in paragraphs(starts):
+            words_of = own[at.start : at.stop]
+            p = self.probabilities(words_of) if any(w in self.known for w in words_of) else nothing
+            for k in np.flatnonzero(p > p[0]):
+                out.setdefault(self.families[k], []).append((at, float(p[k])))
+        return out
+
     def judge(self, lines: list[list[bytes]]) -> list[tuple[str, float, range]]:
-        """The confirmed statements of a block, given as the words of its lines: family, probability, and lines."""
+        """The statements of a block, given as the words of its lines: family, probability, and lines.
+
+        The classifier predicts families for every paragraph; a prediction is confirmed by a template of its family, or
+        the name of a licence of it where one is stated, that stands for the greater part inside the paragraph.
+        """
         own = [w for line in lines for w in line]
         starts = np.cumsum([0, *map(len, lines)]).tolist()
+        by_family = self.predicted(own, starts)
+        if not by_family:
+            return []
         found = names(own)
         held = [p for p in self.passages(own) if self._own_name(p, found)]
         out = []
         for passage in [*held, *stated(own, starts, found)]:
-            if passage.family not in self.families:
-                continue
-            first, last = bisect_right(starts, passage.first) - 1, bisect_right(starts, passage.last) - 1
-            p = self.probabilities(own[max(starts[first], passage.first - AROUND) : min(starts[last + 1], passage.last + 1 + AROUND)])
-            # Families that are stated side by side share the probability: each needs more than unknown has.
-            k = self.families.index(passage.family)
-            if p[k] > p[0]:
-                out.append((passage.family, float(p[k]), range(first, last + 1)))
+            most = (passage.last + 1 - passage.first) / 2
+            inside = [p for at, p in by_family.get(passage.family, ()) if min(at.stop, passage.last + 1) - max(at.start, passage.first) > most]
+            if inside:
+                first, last = bisect_right(starts, passage.first) - 1, bisect_right(starts, passage.last) - 1
+                out.append((passage.family, max(inside), range(first, last + 1)))
         return out
 
     @staticmethod
@@ -355,8 +374,20 @@ def blocks(lines: list[bytes]) -> Iterator[list[list[bytes]]]:
         yield block
 
 
-def _examples(corpus: list[bytes], templates: dict[str, list[str]]) -> list[tuple[list[bytes], str]]:
-    """Training paragraphs: templates plain, damaged and amid running text; corpus paragraphs without a template."""
+def paragraphs(starts: list[int]) -> Iterator[range]:
+    """What of a block the classifier judges, as ranges of words: every line, the lines from each one on as far as
+    ``PARAGRAPH`` words go, and longer lines in pieces of so many, half of each in the next."""
+    for k, (first, end) in enumerate(zip(starts, starts[1:], strict=False)):
+        for at in range(first, max(first + 1, end - PARAGRAPH // 2), PARAGRAPH // 2):
+            yield range(at, min(at + PARAGRAPH, end))
+        last = bisect_right(starts, first + PARAGRAPH) - 1
+        if last > k + 1:
+            yield range(first, starts[last])
+
+
+def _examples(corpus: list[bytes], templates: dict[str, list[str]]) -> list[tuple[list[bytes], str, tuple]]:
+    """Training paragraphs, their families and what they come from: templates and names, plain, damaged and amid
+    running text; corpus paragraphs without a template."""
     draw = random.Random(11)
     plain = [words(p) for p in corpus]
     filler = [p for p in plain if len(p) >= 4] or [[b"text"] * 8]
@@ -373,27 +404,39 @@ def _examples(corpus: list[bytes], templates: dict[str, list[str]]) -> list[tupl
                     kept = [*around[:cut][-30:], *kept]
                 elif k % 3 == 2:
                     kept = [*kept, *around[cut:][:30]]
-                out.append((kept, family))
+                out.append((kept, family, tuple(base)))
     for is_long, of in ((True, NAMES), (False, SHORT_NAMES)):
         for family, own in of.items():
             for base in [words(n.encode()) for n in own for _ in range(12)] if not family or family in templates else []:
                 lead = [] if is_long and draw.random() < 0.3 else words(f"{draw.choice(LEADS)} {draw.choice(['', 'the'])}".encode())
                 before, after = (draw.choice(filler)[: draw.choice([0, 0, 4, 30])] for _ in range(2))
-                out.append(([*before, *lead, *base, *after], family or UNKNOWN))
+                out.append(([*before, *lead, *base, *after], family or UNKNOWN, tuple(base)))
     for own in [*plain, *(words(x.encode()) for x in OTHERS for _ in range(12))]:
         have = pairs(own)
         if not any(len(t & have) >= 0.5 * len(t) for shape in shapes.values() for t in shape):
-            out.append((own, UNKNOWN))
+            out.append((own, UNKNOWN, tuple(own)))
     draw.shuffle(out)
     return out
 
 
 def fit(corpus: list[bytes], templates: dict[str, list[str]] | None = None) -> Model:
-    """A model from templates and a sample of the corpus's paragraphs."""
+    """A model from templates and a sample of the corpus's paragraphs.
+
+    The temperature is that of a trial model, on a quarter of the templates, names and paragraphs that the trial is
+    not fitted on in any form.
+    """
     templates = templates or TEMPLATES
     examples = _examples(corpus, templates)
-    held = max(1, len(examples) // 4)
-    fitted, rest = examples[held:], examples[:held]
+    sources = sorted({source for _, _, source in examples})
+    held = set(random.Random(12).sample(sources, len(sources) // 4))
+    trial = _fitted([x for x in examples if x[2] not in held], templates)
+    model = _fitted(examples, templates)
+    model.temperature = _temperature(trial, [(own, family) for own, family, source in examples if source in held])
+    return model
+
+
+def _fitted(examples: list[tuple[list[bytes], str, tuple]], templates: dict[str, list[str]]) -> Model:
+    fitted = [(own, family) for own, family, _ in examples]
     families = [UNKNOWN, *templates]
     seen: dict[bytes, set[int]] = {}
     for k, (own, _) in enumerate(fitted):
@@ -427,9 +470,7 @@ def fit(corpus: list[bytes], templates: dict[str, list[str]] | None = None) -> M
     for k, shape in enumerate(shapes):
         for pair in shape.pairs:
             places.setdefault(pair, []).append(k)
-    model = Model(families, known, w, bias, shapes, places)
-    model.temperature = _temperature(model, rest)
-    return model
+    return Model(families, known, w, bias, shapes, places)
 
 
 def _temperature(model: Model, held_out: list[tuple[list[bytes], str]]) -> float:

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -190,6 +191,24 @@ def test_licences_stated_side_by_side(text, families, licence_model):
     assert licence_model.scan(text.encode().split(b"\n"))[0] == families
 
 
+def test_classifier_decides_on_licences(licence_model):
+    """Without predictions nothing is confirmed, and a family that is predicted nowhere isn't either."""
+    text = [b"The weather was fine.", b"Released under the MIT License."]
+    assert licence_model.scan(text)[0] == {"mit"}
+    without = replace(licence_model, weights=np.zeros_like(licence_model.weights), bias=np.zeros_like(licence_model.bias))
+    assert without.scan(text)[0] == set()
+    weights = licence_model.weights.copy()
+    weights[:, licence_model.families.index("mit")] = -9
+    assert replace(licence_model, weights=weights).scan(text)[0] == set()
+
+
+def test_paragraphs_cover_every_word_and_wrapped_lines():
+    starts = [0, 5, 12, 12 + 3 * licenses.PARAGRAPH, 20 + 3 * licenses.PARAGRAPH]
+    found = list(licenses.paragraphs(starts))
+    assert {k for at in found for k in at} == set(range(starts[-1]))
+    assert range(0, 12) in found and range(5, 12) in found and all(len(at) <= licenses.PARAGRAPH for at in found)
+
+
 def test_licences_of_the_documents_table(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     found = licenses.scanned(docs, licenses.learned(docs))
