@@ -14,6 +14,7 @@ from bisect import bisect_right
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +151,8 @@ LEAST_CONTAINED = 0.8
 REACH_TIMES, REACH_MORE = 2, 16
 #: Words of a paragraph that is judged at once.
 PARAGRAPH = 60
+#: Bytes of texts whose words are held, and paragraphs whose n-grams are looked at, at once.
+BLOCK_BYTES, AT_ONCE = 1 << 19, 2048
 #: Words that mark a comment at the head of a line; marks without letters are no words.
 COMMENT = {b"rem", b"dnl"}
 #: Paragraphs of the corpus that the unknown class is learned from, and characters of each.
@@ -280,6 +283,21 @@ def stated(own: list[bytes], starts: list[int], found: list[Name]) -> Iterator[P
             yield Passage(name.family, at - lead if lead else name.first, end - 1, 1.0)
 
 
+class Lookup:
+    """The numbers of codes, for whole arrays at once."""
+
+    def __init__(self, numbers: dict[int, int]) -> None:
+        self.codes = np.array(sorted(numbers), np.int64)
+        self.numbers = np.array([numbers[c] for c in sorted(numbers)], np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each code; -1 for those without."""
+        if not len(self.codes):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.numbers[at], -1)
+
+
 @dataclass
 class Model:
     """Families (unknown first), number of each known n-gram, weights, templates, and the templates of each word pair."""
@@ -292,11 +310,60 @@ class Model:
     places: dict[tuple[bytes, bytes], list[int]]
     temperature: float = 1.0
 
+    def __post_init__(self) -> None:
+        # A pair is coded by the numbers of its words, a triple by those of its first pair and its last word; an n-gram is
+        # in as many examples as make it known only if its parts are.
+        pair, triple = {}, {}
+        for gram, k in self.known.items():
+            own = gram.split(b" ")
+            if len(own) == 2:
+                pair[self._code(self.known[own[0]], self.known[own[1]])] = k
+            elif len(own) == 3:
+                triple[self._code(self.known[b" ".join(own[:2])], self.known[own[2]])] = k
+        self.of_pair, self.of_triple = Lookup(pair), Lookup(triple)
+
+    def _code(self, first, last):
+        return first * len(self.known) + last
+
     def probabilities(self, own: list[bytes]) -> np.ndarray:
-        at = sorted(grams(own, self.known))
-        z = (self.weights[at].sum(axis=0) + self.bias) / self.temperature
-        p = np.exp(z - z.max())
-        return p / p.sum()
+        """Those of one paragraph."""
+        return self.of_paragraphs(own, [range(len(own))])[0]
+
+    def _numbers(self, own: list[bytes]) -> list[np.ndarray]:
+        """The numbers of the known words, pairs and triples that begin at each word; -1 for others."""
+        one = np.fromiter((self.known.get(w, -1) for w in own), np.int64, len(own))
+        two = np.where((one[:-1] < 0) | (one[1:] < 0), -1, self.of_pair.of(self._code(one[:-1], one[1:])))
+        three = np.where((two[:-1] < 0) | (one[2:] < 0), -1, self.of_triple.of(self._code(two[:-1], one[2:])))
+        return [one, two, three]
+
+    def of_paragraphs(self, own: list[bytes], found: list[range]) -> np.ndarray:
+        """The probabilities of paragraphs, given as ranges of words: a row each.  An n-gram counts once a paragraph."""
+        first, end = (np.array([getattr(at, x) for at in found], np.int64) for x in ("start", "stop"))
+        z = np.tile(self.bias, (len(found), 1))
+        for more, numbers in enumerate(self._numbers(own)):
+            places = np.flatnonzero(numbers >= 0)
+            numbers = numbers[places]
+            order = np.argsort(numbers, kind="stable")
+            again = numbers[order[1:]] == numbers[order[:-1]]
+            before = np.full(len(numbers), -1)
+            before[order[1:][again]] = order[:-1][again]
+            low = np.searchsorted(places, first)
+            n = np.maximum(np.searchsorted(places, end - more) - low, 0)
+            for k in range(0, len(found), AT_ONCE):
+                self._add(z[k : k + AT_ONCE], numbers, before, low[k : k + AT_ONCE], n[k : k + AT_ONCE])
+        z /= self.temperature
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
+
+    def _add(self, z: np.ndarray, numbers: np.ndarray, before: np.ndarray, low: np.ndarray, n: np.ndarray) -> None:
+        """Add the weights of the ``n`` numbers from each ``low`` on, but of those that came ``before`` there."""
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(row)) + np.repeat(low - np.cumsum(n) + n, n)
+        new = before[at] < low[row]
+        n = np.bincount(row[new], minlength=len(n))
+        some = n > 0
+        if some.any():
+            z[some] += np.add.reduceat(self.weights[numbers[at[new]]], (np.cumsum(n) - n)[some])
 
     def passages(self, own: list[bytes]) -> list[Passage]:
         """Where the words of a block hold a template."""
@@ -306,31 +373,12 @@ class Model:
                 hits.setdefault(t, []).append((at, pair))
         return [p for t, of in hits.items() if len(of) >= self.templates[t].least for p in self.templates[t].passages(of)]
 
-    def predicted(self, own: list[bytes], starts: list[int]) -> dict[str, list[tuple[range, float]]]:
-        """The families that the classifier sees in a block: the words of each of their paragraphs, and its probability.
-
-        Families that are stated side by side share the probability: each needs more than unknown has.
-        """
-        out: dict[str, list] = {}
-        nothing = self.probabilities([])
-        for at in paragraphs(starts):
-            words_of = own[at.start : at.stop]
-            p = self.probabilities(words_of) if any(w in self.known for w in words_of) else nothing
-            for k in np.flatnonzero(p > p[0]):
-                out.setdefault(self.families[k], []).append((at, float(p[k])))
-        return out
-
-    def judge(self, lines: list[list[bytes]]) -> list[tuple[str, float, range]]:
-        """The statements of a block, given as the words of its lines: family, probability, and lines.
+    def judge(self, own: list[bytes], starts: list[int], by_family: dict[str, list[tuple[range, float]]]) -> list[tuple[str, float, range]]:
+        """The statements of a block, given as its words and the first ones of its lines: family, probability, and lines.
 
-        The classifier predicts families for every paragraph; a prediction is confirmed by a template of its family, or
+        What the classifier predicts for the paragraphs is confirmed by a template of its family, or
         the name of a licence of it where one is stated, that stands for the greater part inside the paragraph.
         """
-        own = [w for line in lines for w in line]
-        starts = np.cumsum([0, *map(len, lines)]).tolist()
-        by_family = self.predicted(own, starts)
-        if not by_family:
-            return []
         found = names(own)
         held = [p for p in self.passages(own) if self._own_name(p, found)]
         out = []
@@ -348,15 +396,49 @@ class Model:
         inside = {n.family for n in found if n.first <= passage.last and n.end > passage.first}
         return not inside or passage.family in inside
 
+    def predicted(self, texts: list[list[list[list[bytes]]]]) -> Iterator[list[dict[str, list[tuple[range, float]]]]]:
+        """The families that the classifier sees in each block of each text: the words of their paragraphs, and its probability.
+
+        Families that are stated side by side share the probability: each needs more than unknown has.
+        """
+        own: list[bytes] = []
+        found: list[range] = []
+        starts_of, ends = [], []
+        for block in (block for text in texts for block in text):
+            starts_of.append(len(own))
+            found += [range(at.start + len(own), at.stop + len(own)) for at in paragraphs(_starts(block))]
+            own += [w for line in block for w in line]
+            ends.append(len(found))
+        p = self.of_paragraphs(own, found)
+        likely = np.argwhere(p > p[:, :1])
+        out: list[dict] = [{} for _ in ends]
+        for (k, family), b in zip(likely.tolist(), np.searchsorted(ends, likely[:, 0], side="right").tolist(), strict=True):
+            at = range(found[k].start - starts_of[b], found[k].stop - starts_of[b])
+            out[b].setdefault(self.families[family], []).append((at, float(p[k, family])))
+        rest = iter(out)
+        for text in texts:
+            yield [next(rest) for _ in text]
+
     def scan(self, lines: list[bytes]) -> tuple[set[str], int, float | None]:
-        """The confirmed families of a text's lines, on how many lines their statements stand, and the largest probability."""
-        families, n, most = set(), 0, None
-        for block in blocks(lines):
-            found = self.judge(block)
-            families |= {f for f, _, _ in found}
-            n += len({k for _, _, at in found for k in at})
-            most = max([p for _, p, _ in found] + ([] if most is None else [most]), default=None)
-        return families, n, most
+        """What ``scans`` says of a text."""
+        return next(self.scans([lines]))
+
+    def scans(self, texts: list[list[bytes]]) -> Iterator[tuple[set[str], int, float | None]]:
+        """Of texts, as lines: the confirmed families, on how many lines their statements stand, and the largest probability."""
+        of_texts = [list(blocks(lines)) for lines in texts]
+        for text, seen in zip(of_texts, self.predicted(of_texts), strict=True):
+            families, n, most = set(), 0, None
+            for block, by_family in zip(text, seen, strict=True):
+                found = self.judge([w for line in block for w in line], _starts(block), by_family) if by_family else []
+                families |= {f for f, _, _ in found}
+                n += len({k for _, _, at in found for k in at})
+                most = max([p for _, p, _ in found] + ([] if most is None else [most]), default=None)
+            yield families, n, most
+
+
+def _starts(block: list[list[bytes]]) -> list[int]:
+    """The first word of each line of a block, and its end."""
+    return [0, *accumulate(map(len, block))]
 
 
 def blocks(lines: list[bytes]) -> Iterator[list[list[bytes]]]:
@@ -511,13 +593,13 @@ def scanned(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches):
-            rows = []
-            for text in raw_texts(batch):
-                lines = (text or b"").split(b"\n")
-                families, n_licensed, confidence = model.scan(lines)
-                rows.append((",".join(sorted(families)) or None, sum(1 for x in lines if x.strip()), n_licensed, confidence))
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+        for batch in slices(batches, BLOCK_BYTES):
+            texts = [(text or b"").split(b"\n") for text in raw_texts(batch)]
+            rows = [
+                (",".join(sorted(families)) or None, sum(1 for x in lines if x.strip()), n_licensed, confidence)
+                for lines, (families, n_licensed, confidence) in zip(texts, model.scans(texts), strict=True)
+            ]
+            columns = list(zip(*rows, strict=True))
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64()]
             arrays = [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "licences", "n_paragraphs", "n_licensed", "confidence"])

@@ -202,6 +202,18 @@ def test_classifier_decides_on_licences(licence_model):
     assert replace(licence_model, weights=weights).scan(text)[0] == set()
 
 
+def test_paragraphs_judged_together_are_judged_as_each_alone(licence_model):
+    draw = random.Random(5)
+    texts = [t for of in licenses.TEMPLATES.values() for t in of] + brute.prose(20)
+    own = [w for _ in range(30) for w in licenses.words(draw.choice(texts).encode()) * draw.choice([1, 1, 3])]
+    found = [range(k, min(k + draw.randrange(80), len(own))) for k in (draw.randrange(len(own)) for _ in range(5000))]
+    p = licence_model.of_paragraphs(own, found)
+    for at, row in zip(found, p, strict=True):
+        z = licence_model.weights[sorted(licenses.grams(own[at.start : at.stop], licence_model.known))].sum(axis=0) + licence_model.bias
+        expected = np.exp(z / licence_model.temperature)
+        assert np.allclose(row, expected / expected.sum())
+
+
 def test_paragraphs_cover_every_word_and_wrapped_lines():
     starts = [0, 5, 12, 12 + 3 * licenses.PARAGRAPH, 20 + 3 * licenses.PARAGRAPH]
     found = list(licenses.paragraphs(starts))
