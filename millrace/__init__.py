@@ -13,6 +13,7 @@ from millrace.operators.related import (
     live_rows,
     related_rows,
     resolve_id,
+    resolve_label_stream,
     resolve_labels,
     to_records,
 )
@@ -29,6 +30,7 @@ from millrace.sources.topics import (
     write_topic,
     write_topic_stream,
 )
+from millrace.streaming.continuous import quarantined
 from millrace.streaming.landing import land_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -73,6 +73,7 @@ def _parser() -> argparse.ArgumentParser:
     command = job("dataset-to-table", "load a table", "path", "schema-path", "table")
     command.add_argument("--compact-every", type=int, help="micro-batches between two compactions; 0: none")
     command.add_argument("--keep-seconds", type=float, help="age at which replaced files are deleted")
+    command.add_argument("--quarantine", help="folder for rows of a continuous load that lack a required column")
     select(command)
     follow(command)
     command = job("dataset-to-topic", "send a dataset", "path", "schema-path", "bootstrap-servers", "topic")
@@ -140,6 +141,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, b
                 common["compact_every"] = args.compact_every
             if args.continuous and args.keep_seconds is not None:
                 common["keep_seconds"] = args.keep_seconds
+            if args.continuous and args.quarantine:
+                common["quarantine"] = args.quarantine
             query = flows.dataset_to_table(spark, args.path, schema(), args.table, args.select_expr, **common)
         else:
             query = flows.dataset_to_topic(

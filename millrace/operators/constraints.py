@@ -24,9 +24,14 @@ class Violations(NamedTuple):
     duplicates: DataFrame
 
 
+def lacks(columns: Iterable[str]) -> Column:
+    """Whether any of ``columns`` is NULL."""
+    return reduce(or_, [F.col(f"`{c}`").isNull() for c in columns], F.lit(False))
+
+
 def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which any of ``columns`` is NULL."""
-    return df.where(reduce(or_, [F.col(f"`{c}`").isNull() for c in columns], F.lit(False)))
+    return df.where(lacks(columns))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_as: str = "n") -> DataFrame:

@@ -109,6 +109,39 @@ def resolve_labels(
     Ids are keys, so they are matched as they are.  Rows are counted per name
     before the join: a name shared by very many rows reaches it as one row.
     """
+    asked = requests.select(named(parent_column), named(label_column)).distinct()
+    rows = _resolved(asked, df, parent_column, label_column, id_column, name_column, tombstone)
+    return rows.select(named(parent_column), named(label_column), F.col("_resolved").alias("id"), F.col("_outcome").alias("outcome"))
+
+
+def resolve_label_stream(
+    requests: DataFrame,
+    df: DataFrame,
+    *,
+    parent_column: str,
+    label_column: str = "label",
+    id_column: str = "id",
+    name_column: str = "name",
+    tombstone: str = TOMBSTONE,
+    id_as: str = "resolved_id",
+    outcome_as: str = "outcome",
+) -> DataFrame:
+    """Every row of a stream of requests, repeats included, with the id its label stands for and the outcome.
+
+    The rules are those of :func:`resolve_labels`.  ``df`` is static: its labels are counted and joined in each micro-batch,
+    and the stream keeps no state.  A label or parent that is NULL is ``missing``.
+    """
+    clash = {id_as.lower(), outcome_as.lower()} & {c.lower() for c in requests.columns}
+    if clash or id_as.lower() == outcome_as.lower():
+        raise ValueError(f"the requests have these columns already: {', '.join(sorted(clash)) or id_as}")
+    rows = _resolved(requests, df, parent_column, label_column, id_column, name_column, tombstone)
+    return rows.select(*[named(c) for c in requests.columns], F.col("_resolved").alias(id_as), F.col("_outcome").alias(outcome_as))
+
+
+def _resolved(
+    asked: DataFrame, df: DataFrame, parent_column: str, label_column: str, id_column: str, name_column: str, tombstone: str
+) -> DataFrame:
+    """The requests with ``_resolved`` and ``_outcome``."""
     rows = live_rows(df, tombstone).select(
         named(parent_column),
         named(id_column).cast("string").alias("_id"),
@@ -121,12 +154,11 @@ def resolve_labels(
         .groupBy(named(parent_column), F.col("_name").alias(label_column))
         .agg(F.count(F.lit(1)).alias("_named"), F.min("_id").alias("_first"))
     )
-    asked = requests.select(named(parent_column), named(label_column)).distinct()
     joined = asked.join(by_name, [parent_column, label_column], "left").join(by_id, [parent_column, label_column], "left")
     exact, count = F.col("_exact").isNotNull(), F.coalesce("_named", F.lit(0))
     outcome = F.when(exact | (count == 1), "found").when(count == 0, "missing").otherwise("ambiguous")
     resolved = F.when(exact, named(label_column)).when(count == 1, F.col("_first"))
-    return joined.select(named(parent_column), named(label_column), resolved.alias("id"), outcome.alias("outcome"))
+    return joined.withColumns({"_resolved": resolved, "_outcome": outcome})
 
 
 def resolve_id(df: DataFrame, label: str, *, id_column: str = "id", **find: Any) -> Any:

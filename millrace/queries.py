@@ -23,6 +23,7 @@ from millrace.sources import storage
 from millrace.sources.datasets import scan_dataset, scan_dataset_stream
 from millrace.sources.keyed_table import KeyedTable, scan_table, upsert_table
 from millrace.sources.topics import Broker, inspect_topics, publish_keyed, write_topic, write_topic_stream
+from millrace.streaming.continuous import quarantined
 from millrace.streaming.landing import bucket_of, land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -557,6 +558,27 @@ def resolve_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related.resolve_labels(asked, orders, parent_column="parent")
 
 
+@query(
+    f"""WITH {_ORDER_LABELS},
+    counted AS (SELECT parent, label, count(*) AS n, max((id = label)::int) AS exact, min(id) AS single
+        FROM labels GROUP BY parent, label)
+    SELECT event_id, parent, label,
+        CASE WHEN n = 1 THEN single WHEN exact = 1 THEN label END AS resolved_id,
+        CASE WHEN n IS NULL THEN 'missing' WHEN n = 1 OR exact = 1 THEN 'found' ELSE 'ambiguous' END AS outcome
+    FROM (SELECT event_id, 'O' AS parent, user_id::varchar AS label FROM events) LEFT JOIN counted USING (parent, label)"""
+)
+def stream_resolve_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order that each event's user stands for, by its id or its customer, as events are landed."""
+    root = workspace(spark)
+    schema = land(table(spark, sf_dir, "events"), f"{root}/landed")
+    events = scan_dataset_stream(spark, f"{root}/landed", schema, options={"maxFilesPerTrigger": 100})
+    asked = events.select("event_id", F.lit("O").alias("parent"), F.col("user_id").cast("string").alias("label"))
+    found = related.resolve_label_stream(asked, _order_labels(spark, sf_dir)[1], parent_column="parent")
+    written = found.writeStream.format("parquet").option("path", f"{root}/out")
+    written.option("checkpointLocation", f"{root}/checkpoint").trigger(**ONCE).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @query(
     """SELECT c_custkey AS parent, 'self' AS "group", c_name, c_acctbal, NULL::bigint AS o_orderkey,
         NULL::double AS o_totalprice, NULL::bigint AS event_id FROM customer
@@ -906,6 +928,37 @@ def stream_dataset_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_table(spark, f"{root}/table"))
 
 
+@query(
+    "SELECT event_id, user_id, nullif(event_type, 'view') AS event_type, nullif(event_type, 'view') IS NULL AS quarantined FROM events"
+)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events go into a table that needs their type; those without one are put aside and the load goes on."""
+    root = workspace(spark)
+    for number, batch in enumerate(_event_batches(table(spark, sf_dir, "events"))):
+        schema = land(batch, f"{root}/landed/{number}")
+    target = [
+        {"column_name": "event_id", "column_type": "biginteger", "nullable": False, "primary_key": True},
+        {"column_name": "user_id", "column_type": "biginteger", "nullable": True},
+        {"column_name": "event_type", "column_type": "string", "nullable": False},
+    ]
+    KeyedTable.create(spark, f"{root}/table", target)
+    flows.dataset_to_table(
+        spark,
+        f"{root}/landed",
+        schema,
+        f"{root}/table",
+        ["event_id", "user_id", "nullif(event_type, 'view') AS event_type"],
+        continuous=True,
+        checkpoint=f"{root}/checkpoint",
+        trigger=ONCE,
+        source_options={"maxFilesPerTrigger": 4},
+        quarantine=f"{root}/quarantine",
+    ).awaitTermination()
+    loaded = scan_table(spark, f"{root}/table").withColumn("quarantined", F.lit(False))
+    aside = quarantined(spark, f"{root}/quarantine").drop("load", "batch").withColumn("quarantined", F.lit(True))
+    return loaded.unionByName(aside)
+
+
 @query("SELECT 1 AS id, count(*) AS n, max(event_id) AS m, min(event_type) AS first_type FROM events")
 def stream_dataset_to_table_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark)

@@ -18,11 +18,13 @@ from operator import and_
 from typing import Any
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.functions.rows import encode_rows
+from millrace.functions.schema import required_columns
+from millrace.operators.constraints import lacks
 from millrace.operators.project import named, project
 from millrace.plans.shape import PARTS, ROWS, STATE, WHOLE, growth, window_keys
 from millrace.sources import storage
@@ -113,11 +115,14 @@ def stream_to_table(
     scan_options: Mapping[str, Any] | None = None,
     compact_every: int | None = COMPACT_EVERY,
     keep_seconds: float = KEEP_SECONDS,
+    quarantine: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Upsert the projection of every new file into a keyed table.
 
-    A failed constraint fails its micro-batch and stops the query.  A replayed
+    A failed constraint fails its micro-batch and stops the query; with a folder for
+    ``quarantine``, rows that lack a required column go there instead (see
+    :func:`quarantined`) and the others are loaded.  A replayed
     micro-batch is recognised and not written twice.  The change log is folded
     after ``compact_every`` micro-batches (None: never), and what was replaced
     more than ``keep_seconds`` ago is deleted.  A projection with windows, or of
@@ -128,7 +133,11 @@ def stream_to_table(
 
     def load(batch: DataFrame, epoch: int) -> None:
         table = KeyedTable.open(batch.sparkSession, table_path)
-        table.upsert(rows_of(batch), writer=writer_name, epoch=epoch, changed_only=how in (PARTS, WHOLE))
+        rows, changed_only = rows_of(batch), how in (PARTS, WHOLE)
+        if quarantine is None:
+            table.upsert(rows, writer=writer_name, epoch=epoch, changed_only=changed_only)
+        else:
+            _upsert_split(table, rows, quarantine, writer_name, epoch, changed_only)
         if compact_every and (epoch + 1) % compact_every == 0:
             table.compact()
             table.vacuum(older_than=keep_seconds)
@@ -136,6 +145,34 @@ def stream_to_table(
     return _start(stream.writeStream.foreachBatch(load), how, checkpoint, trigger, name)
 
 
+def _upsert_split(table: KeyedTable, rows: DataFrame, quarantine: str, writer: str, epoch: int, changed_only: bool) -> None:
+    """Upsert the rows that have all required columns, and write the others to a folder of the micro-batch.
+
+    They are counted in the pass that loads the rest, so a micro-batch without any is read once.
+    """
+    have = {c.lower() for c in rows.columns}
+    lacking = lacks(c for c in {*required_columns(table.schema), *table.sequence_by} if c.lower() in have)
+    seen = Observation()
+    observed = rows.observe(seen, F.count_if(lacking).alias("lacking"))
+    done = table.upsert(observed.where(~lacking), writer=writer, epoch=epoch, changed_only=changed_only)
+    # A micro-batch that was committed before a failure is not counted again.
+    if not done or seen.get["lacking"]:
+        bad = rows.where(lacking)
+        bad.write.mode("overwrite").parquet(f"{quarantine}/load={writer}/batch={epoch}")
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that continuous loads kept out of their tables, as projected, with ``load`` (the writer) and ``batch``.
+
+    A replayed micro-batch replaces its rows.  A projection that is evaluated again for a partition or the whole dataset
+    gives its violating rows again each time.  Loads that share a folder should have the same columns; without any
+    quarantined row there is nothing to read, and the frame is empty and has only these two columns.
+    """
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], "load string, batch int")
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def stream_to_topic(
     spark: SparkSession,
     dataset_path: str,

@@ -362,6 +362,38 @@ def test_constraint_failure_stops_the_stream(spark, work):
     assert rows(scan_table(spark, f"{work}/t")) == []
 
 
+def test_violating_rows_are_put_aside(spark, work):
+    KeyedTable.create(spark, f"{work}/t", [*TABLE, {"column_name": "name", "column_type": "string", "nullable": False}])
+    exprs, aside = ["timestamp AS ID", "my_column", "nullif(name, 'y') AS name"], f"{work}/aside"
+    drop(f"{work}/ds", "p0", "1,a,x\n2,b,x\n")
+    run_table(spark, work, exprs, quarantine=aside)
+    assert not os.path.exists(aside) and continuous.quarantined(spark, aside).collect() == []
+    drop(f"{work}/ds", "p1", "bad,c,x\n3,d,x\n2,e,y\n")
+    run_table(spark, work, exprs, quarantine=aside)
+    assert rows(scan_table(spark, f"{work}/t")) == [(1, "a", "x"), (2, "b", "x"), (3, "d", "x")]
+    found = continuous.quarantined(spark, aside)
+    assert rows(found.select("ID", "my_column", "name", "batch")) == [(2, "e", None, 1), (None, "c", "x", 1)]
+    # A replay, after the table's commit and before the rows were put aside or after, gives the same.
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{work}/cp/commits/{name}"):
+            os.remove(f"{work}/cp/commits/{name}")
+    run_table(spark, work, exprs, quarantine=aside)
+    assert continuous.quarantined(spark, aside).count() == 2 and scan_table(spark, f"{work}/t").count() == 3
+
+
+def test_violating_rows_of_windows_are_put_aside(spark, work):
+    KeyedTable.create(spark, f"{work}/t", [TABLE[0], {"column_name": "before", "column_type": "string", "nullable": False}])
+    exprs = ["timestamp AS id", "lag(my_column) OVER (PARTITION BY name ORDER BY timestamp) AS before"]
+    drop(f"{work}/ds", "p0", "1,a,x\n2,b,x\n5,c,y\n")
+    run_table(spark, work, exprs, quarantine=f"{work}/aside")
+    assert rows(scan_table(spark, f"{work}/t")) == [(2, "a")]
+    assert rows(continuous.quarantined(spark, f"{work}/aside").select("id")) == [(1,), (5,)]
+    drop(f"{work}/ds", "p1", "6,d,y\n")
+    run_table(spark, work, exprs, quarantine=f"{work}/aside")
+    assert rows(scan_table(spark, f"{work}/t")) == [(2, "a"), (6, "c")]
+    assert rows(continuous.quarantined(spark, f"{work}/aside").select("id", "batch")) == [(1, 0), (5, 0), (5, 1)]
+
+
 def test_compaction_on_the_way(spark, work):
     KeyedTable.create(spark, f"{work}/t", TABLE, buckets=2)
     for n in range(5):

@@ -143,6 +143,13 @@ def test_resolve_labels_agrees_with_single_form(spark):
         ("p", "x", "t1", "found"),
         ("p", "y", None, "ambiguous"),
     ]
+    one_by_one = related.resolve_label_stream(asked.withColumn("ID", F.lit(1)), df, parent_column="parent").drop("ID")
+    assert rows(one_by_one.distinct()) == rows(related.resolve_labels(asked, df, parent_column="parent"))
+    assert one_by_one.count() == 7
+    nothing = spark.createDataFrame([("p", None), (None, "x")], "parent string, label string")
+    assert {r["outcome"] for r in related.resolve_label_stream(nothing, df, parent_column="parent").collect()} == {"missing"}
+    with pytest.raises(ValueError, match="outcome"):
+        related.resolve_label_stream(asked.withColumn("OUTCOME", F.lit(1)), df, parent_column="parent")
     found = related.find_labels(asked, df, parent_column="parent")
     assert rows(found.select("label", "id")) == [
         ("n", "n"), ("same", "same"), ("t2", "t2"), ("x", "t1"), ("y", "t2"), ("y", "t3"),
