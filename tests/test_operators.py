@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import related
 from millrace.operators.constraints import check_constraints, null_violations
 from millrace.operators.project import NoSuchColumnError, matches, project, select_columns
-from millrace.plans.shape import growth, is_row_local
+from millrace.plans.shape import growth, is_row_local, window_keys
 from tests.conftest import rows
 
 ROW_LOCAL = [
@@ -23,13 +23,15 @@ WHOLE_INPUT = [
     "count(DISTINCT user_id)",
     "explode(collect_set(event_type)) AS e",
     "max(value) / (SELECT max(id) FROM range(5)) AS r",
-    "count(*) OVER (PARTITION BY user_id) AS n",
-    "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn",
     "sum(value) OVER () AS s",
     "(SELECT max(id) FROM range(5)) AS m",
     "user_id IN (SELECT id FROM range(5)) AS i",
     "concat('a', (SELECT count(*) FROM range(3))) AS nested",
 ]
+PARTITIONED = [
+    "count(*) OVER (PARTITION BY user_id) AS n",
+    "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn",
+]
 
 
 @pytest.mark.parametrize("expr", ROW_LOCAL)
@@ -42,6 +44,12 @@ def test_needs_whole_input(events, expr):
     assert growth(project(events, [expr])) == "whole"
 
 
+@pytest.mark.parametrize("expr", PARTITIONED)
+def test_partitioned_window_needs_touched_partitions(events, expr):
+    projected = project(events, [expr])
+    assert growth(projected) == "parts" and window_keys(projected) == ["user_id"] and not is_row_local(projected)
+
+
 @pytest.mark.parametrize("expr", STATE)
 def test_aggregate_goes_on_from_state(events, expr):
     assert growth(project(events, [expr], "value > 1")) == "state"
