@@ -9,7 +9,8 @@ values.  Candidates come from the longest common prefixes, in two rounds, and ea
 2. In the regions that still hold several components: every pair of sets of different components, one of them outside
    the region's main component.  Pairs are compared in the first region where they meet, by size and by a sketch of two bits a value;
    only those that come near the threshold go on.  The sets of regions that are large even at six values are not paired off:
-   those meet at their rare shingles, of which a similar set must hold all but as many as the threshold lets it lack.
+   each is taken as what it differs in from the shingles that most sets around it share.  Sets that differ little are linked
+   with the one that differs least; others must share some of their differences, and meet at the rarest of these only.
 
 Two sets of similarity 0.8 miss each other in all 40 trees with a probability of 7e-10 in regions of four values, 1.3e-7 of
 five and 5e-6 of six, and the sketch (five standard errors below the threshold) passes over 3e-7 of them; links of
@@ -214,72 +215,114 @@ def _regions(met: DataFrame, roots: DataFrame, path: str) -> tuple[DataFrame, Da
     return reduce(DataFrame.unionAll, small), large
 
 
-def _asking(large: DataFrame) -> DataFrame:
-    """The sets of large regions, and whether one of these has another main component than theirs."""
-    return large.groupBy("node").agg(F.max("group").alias("group"), F.max(F.col("group") != F.col("main")).alias("asks"))
+def _families(large: DataFrame, path: str) -> DataFrame:
+    """The sets of large regions with their ``group`` and ``family``: groups that meet in such regions, over any number of steps."""
+    roots = components(large.select(F.col("group").alias("a"), F.col("main").alias("b")), f"{path}/family-rounds")
+    own = large.select("node", "group").distinct().join(roots.withColumnRenamed("node", "group"), "group", "left")
+    return written(own.select("node", "group", F.coalesce("root", "group").alias("family")), f"{path}/families")
 
 
-def _across(small: DataFrame, large: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that meet in a small region and look alike, but those that meet at rare shingles."""
+def _across(small: DataFrame, families: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that meet in a small region and look alike, but those of one family."""
     # At most a region a tree; a pair is found in the first of its common ones.
     keys = small.groupBy("node").agg(F.collect_list("at").alias("keys"))
-    here = small.join(nodes.select("node", "n", *SKETCH).join(keys, "node"), "node").join(_asking(large).drop("group"), "node", "left")
+    here = small.join(nodes.select("node", "n", *SKETCH).join(keys, "node"), "node").join(families.drop("group"), "node", "left")
     x, y = here.where("group <> main").alias("x"), here.alias("y")
     # One of each pair stands outside the main component; of two such, the smaller one asks.
     once = (F.col("y.group") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    elsewhere = F.coalesce(F.col("x.asks"), F.lit(False)) & F.col("y.asks").isNotNull()
-    elsewhere |= F.coalesce(F.col("y.asks"), F.lit(False)) & F.col("x.asks").isNotNull()
+    elsewhere = F.coalesce(F.col("x.family") == F.col("y.family"), F.lit(False))
     met = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & once & ~elsewhere & _alike(percent)
     pairs = x.join(y, met & (F.col("x.at") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
-def _by_rare_shingles(large: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, path: str) -> DataFrame:
-    """Pairs of sets of large regions, of different components and alike, that rare shingles don't rule out.
-
-    By the sizes of two sets, one may lack so many of its shingles in the other, its slack, if they are similar enough.  If
-    more of its shingles are rare (in at most ``REGION`` of the sets), the other one holds all of these but the slack; only rare
-    shingles are met for that.  For pairs where fewer are rare, the rarest shingles of each, one more than its slack can ever
-    be, have one in common if all are ordered alike.
-    """
+def _centres(own: DataFrame, families: DataFrame) -> DataFrame:
+    """The shingles (``centre``) that more than half of a family's sets hold: at most twice as many as a set has on average."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_BYTES, "own"):
             own = [np.frombuffer(x, np.int64) for x in batch.column("own").to_pylist()]
-            node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(own))], ["node", "shingle"])
+            family = np.repeat(batch.column("family").to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(family), pa.array(np.concatenate(own))], ["family", "shingle"])
+
+    each = in_tasks(own.select("family", "own"), run, "family bigint, shingle bigint")
+    times = each.groupBy("family", "shingle").agg(F.count("*").alias("times"))
+    common = times.join(families.groupBy("family").agg(F.count("*").alias("members")), "family").where("2 * times > members")
+    return common.groupBy("family").agg(F.collect_list("shingle").alias("centre"))
+
+
+def _apart(own: DataFrame, centres: DataFrame) -> DataFrame:
+    """What each set differs in from its family's centre: the shingles that only one of the two holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in slices(batches, BLOCK_BYTES, "own"):
+            pairs = zip(batch.column("own").to_pylist(), batch.column("centre"), strict=True)
+            apart = [np.setxor1d(np.frombuffer(x, np.int64), c.values.to_numpy(), assume_unique=True) for x, c in pairs]
+            columns = [batch.column("node"), batch.column("family"), pa.array(apart, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "family", "apart"])
+
+    rows = own.join(centres, "family", "left").withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
+    return in_tasks(rows.select("node", "family", "own", "centre"), run, "node bigint, family bigint, apart array<bigint>")
+
+
+def _by_differences(families: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, path: str) -> DataFrame:
+    """Pairs of sets of one family, of different components, that their differences from the family's centre don't rule out.
+
+    Where ``d`` shingles tell each of two sets from the centre, and ``o`` of them are the same, the sets differ in
+    ``d + d' - 2 * o`` shingles, whatever the centre is.  They are similar enough if that is at most
+    ``(100 - percent) * (n + n') / (100 + percent)``, so ``o`` must be at least the sum of what each has in ``excess``, over
+    ``2 * (100 + percent)``.  If that takes none, both are similar enough to the set of the least excess: one such pair for
+    each component links all of these.  Other pairs must share differences, and if all are ordered alike, rarest first, the
+    first one they share is followed by enough others on both sides.
+    """
 
     def widely(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_BYTES, "own"):
             values = np.stack([signature(np.frombuffer(x, np.uint64), WIDE) for x in batch.column("own").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(sketch(values)), pa.list_(pa.int64()))], ["node", "wide"])
 
-    here = _asking(large)
-    own = written(sets.join(here.select("node"), "node", "left_semi"), f"{path}/large")
-    each = written(in_tasks(own, run, "node bigint, shingle bigint"), f"{path}/shingles")
-    ranked = written(each.join(each.groupBy("shingle").agg(F.count("*").alias("times")), "shingle"), f"{path}/ranked")
-    rare = ranked.groupBy("node").agg(F.count_if(F.col("times") <= REGION).alias("rare"))
-    wide = in_tasks(own, widely, "node bigint, wide array<bigint>")
-    facts = nodes.select("node", "n", *SKETCH).join(here, "node").join(rare, "node").join(wide, "node")
-    facts = written(facts.withColumn("slack", F.col("n") - F.ceil(percent * F.col("n") / 100)), f"{path}/facts")
-    other = (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group")) & _alike(percent)
-    held = F.col("x.rare") - F.col("x.n") + F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
-
-    met = ranked.where((F.col("times") > 1) & (F.col("times") <= REGION)).select("node", F.col("shingle").alias("at"))
-    met = met.join(facts, "node")
-    x, y = met.where("asks").alias("x"), met.alias("y")
-    many = x.join(y, other & (held > 0) & _alike_widely(percent)).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    many = many.agg(F.count("*").alias("n"), F.max(held).alias("least")).where("n >= least").select("a", "b")
-
-    ordered = ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("all"))
-    ordered = ordered.join(facts, "node").withColumn("first", F.slice("all", F.lit(1), F.col("slack").cast("int") + 1)["shingle"])
+    def shared(excess: Column) -> Column:
+        return F.ceil(excess / (2 * (100 + percent)))
+
+    own = written(sets.join(families, "node"), f"{path}/large")
+    apart = written(_apart(own, written(_centres(own, families), f"{path}/centres")), f"{path}/apart")
+    excess = ((100 + percent) * F.col("d") - (100 - percent) * F.col("n")).alias("excess")
+    facts = own.select("node", "group", "family").join(apart.select("node", F.size("apart").cast("long").alias("d")), "node")
+    facts = facts.join(nodes.select("node", "n"), "node").select("node", "group", "family", "d", excess)
+    best = facts.groupBy("family").agg(F.min(F.struct("excess", "node", "group")).alias("best"))
+    facts = written(facts.join(best, "family").withColumn("near", F.col("excess") + F.col("best.excess") <= 0), f"{path}/facts")
+
+    near = facts.where("near").groupBy("group").agg(F.min("node").alias("node"), F.any_value("best").alias("best"))
+    stars = near.where("group <> best.group").select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+    joined = near.select("group", F.col("best.group").alias("joined"))
+    facts = facts.join(joined, "group", "left").withColumn("group", F.coalesce("joined", "group")).drop("joined", "best", "near")
+    sizes = facts.groupBy("family", "group").agg(F.count("*").alias("members"))
+    main = sizes.groupBy("family").agg(F.max(F.struct("members", "group"))["group"].alias("main"))
+    facts = facts.join(main, "family").withColumn("asks", F.col("group") != F.col("main")).drop("main")
+    facts = written(facts, f"{path}/groups")
+    # A set outside the main group may meet any other, one of the main group those outside only.
+    bounds = facts.groupBy("family").agg(F.min("excess").alias("any"), F.min(F.when(F.col("asks"), F.col("excess"))).alias("outside"))
+    bound = F.when(F.col("asks"), F.col("any")).otherwise(F.col("outside"))
+    facts = facts.join(bounds.where("outside IS NOT NULL"), "family").withColumn("most", F.col("d") - shared(F.col("excess") + bound))
+    wide = in_tasks(own.select("node", "own"), widely, "node bigint, wide array<bigint>")
+    facts = facts.drop("any", "outside").where("most >= 0").join(nodes.select("node", "n", *SKETCH), "node").join(wide, "node")
+
+    each = apart.select("node", "family", F.explode("apart").alias("at"))
+    each = each.join(each.groupBy("family", "at").agg(F.count("*").alias("times")), ["family", "at"])
+    ordered = each.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "at"))).alias("all"))
+    ordered = ordered.join(facts, "node").withColumn("first", F.slice("all", F.lit(1), F.col("most").cast("int") + 1))
     # The rarest of a short set go along, so that a pair is found at the first of its common ones.
-    head = F.when(F.col("slack") <= REGION, F.col("first")).alias("head")
-    first = written(ordered.select(*facts.columns, head, F.explode("first").alias("at")), f"{path}/rarest")
+    head = F.when(F.col("most") <= REGION, F.col("first")["at"]).alias("head")
+    first = ordered.select(*facts.columns, head, F.posexplode("first").alias("place", "one")).where("one.times > 1")
+    first = written(first.withColumn("at", F.col("one.at")).drop("one", "most"), f"{path}/rarest")
     x, y = first.where("asks").alias("x"), first.alias("y")
-    once = F.coalesce(F.get(F.array_intersect("x.head", "y.head"), 0) == F.col("x.at"), F.lit(True))
-    few = x.join(y, other & (held <= 0) & once & _alike_widely(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    return many.unionAll(few).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = (F.col("x.family") == F.col("y.family")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.group") != F.col("y.group"))
+    met &= ~F.col("y.asks") | (F.col("x.node") < F.col("y.node"))
+    least = shared(F.col("x.excess") + F.col("y.excess"))
+    met &= (F.col("x.place") <= F.col("x.d") - least) & (F.col("y.place") <= F.col("y.d") - least) & _alike(percent)
+    met &= F.coalesce(F.get(F.array_intersect("x.head", "y.head"), 0) == F.col("x.at"), F.lit(True))
+    pairs = x.join(y, met & _alike_widely(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return pairs.unionAll(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _sets(needed: DataFrame, docs: DataFrame, words: int, text_column: str, path: str) -> DataFrame:
@@ -348,11 +391,12 @@ def near_duplicates(
     links = _confirmed(pairs, sets, percent, f"{path}/first")
     roots = written(components(links, f"{path}/first-rounds"), f"{path}/roots")
     small, large = _regions(met, roots, path)
-    pairs = written(_across(small, large, nodes, percent), f"{path}/across")
-    ends = _ends(pairs).unionAll(large.select("node")).distinct()
+    families = _families(large, path)
+    pairs = written(_across(small, families, nodes, percent), f"{path}/across")
+    ends = _ends(pairs).unionAll(families.select("node")).distinct()
     sets = _sets(ends.join(texts, "node"), docs, words, text_column, f"{path}/second")
-    rare = _by_rare_shingles(large, sets, nodes, percent, f"{path}/second")
-    more = _confirmed(pairs.unionAll(rare).distinct(), sets, percent, f"{path}/second")
+    others = written(_by_differences(families, sets, nodes, percent, f"{path}/second"), f"{path}/differences")
+    more = _confirmed(pairs.unionAll(others).distinct(), sets, percent, f"{path}/second")
     roots = written(components(links.unionAll(more), f"{path}/second-rounds"), f"{path}/all-roots")
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     group = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

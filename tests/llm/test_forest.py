@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import forest
@@ -81,6 +82,52 @@ def test_large_groups_chains_and_outliers(spark, monkeypatch):
     assert found(frame) == expected(list(enumerate(some)))
 
 
+def test_few_pairs_of_a_large_group_are_confirmed(spark, monkeypatch):
+    """Outliers of a large group of near copies come close to most of its sets, but are not compared with each."""
+    monkeypatch.setattr(forest, "REGION", 16)
+    asked, confirmed = [], forest._confirmed
+
+    def counted(pairs, *more):
+        asked.append(pairs.count())
+        return confirmed(pairs, *more)
+
+    monkeypatch.setattr(forest, "_confirmed", counted)
+    draw = random.Random(10)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, edited(draw, base, draw.randint(0, 24))) for k in range(240)]
+    rows += [(240 + k, edited(draw, [f"v{j}" if j < 30 else w for j, w in enumerate(base)], draw.randint(0, 5))) for k in range(60)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows)
+    assert asked[1] <= 2 * len(rows), asked
+
+
+@pytest.mark.parametrize("percent", [50, 67, 80, 100])
+def test_differences_find_what_all_pairs_do(spark, tmp_path, percent):
+    """Sets around one centre, two, or none, each a component of its own: what is found links all that is similar enough."""
+    draw = random.Random(percent)
+    made, family = [], []
+    for f, bases in enumerate([[range(40)], [range(40), range(25, 70)], [range(k, k + 30) for k in range(0, 300, 40)]]):
+        for k in range(60):
+            own = set(bases[k % len(bases)])
+            own -= set(draw.sample(sorted(own), draw.randint(0, 14)))
+            own |= {draw.randrange(400, 440) for _ in range(draw.randint(0, 10))} | {500 + k // 2}
+            made.append({1000 * f + x for x in own})
+            family.append(f)
+    hashes = np.random.default_rng(3).integers(0, 1 << 64, 4000, dtype=np.uint64)
+    own = [np.sort(hashes[sorted(x)]) for x in made]
+    sketches = forest.sketch(np.stack([forest.signature(x) for x in own])).tolist()
+    facts = [(k, len(x), *s) for k, (x, s) in enumerate(zip(own, sketches, strict=True))]
+    nodes = spark.createDataFrame(facts, f"node long, n long, {', '.join(f'{s} long' for s in forest.SKETCH)}")
+    families = spark.createDataFrame([(k, k, f) for k, f in enumerate(family)], "node long, group long, family long")
+    sets = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(own)], "node long, own binary")
+    pairs = forest._by_differences(families, sets, nodes, percent, str(tmp_path / "work")).collect()
+    linked = list(range(len(made)))
+    for a, b in pairs:
+        both = len(made[a] & made[b])
+        if 100 * both >= percent * (len(made[a]) + len(made[b]) - both):
+            linked = [min(linked[a], linked[b]) if x in (linked[a], linked[b]) else x for x in linked]
+    assert linked == groups(made, percent)
+
+
 def test_empty_table_null_ids_and_hot_copies(spark):
     empty = spark.createDataFrame([], brute.DOCUMENT)
     assert forest.near_duplicates(empty).collect() == []
